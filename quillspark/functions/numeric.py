@@ -50,3 +50,16 @@ def abs_pct_error(label: str | Column, prediction: str | Column) -> Column:
     """``|(y - p) / y|``; NULL for a zero label so ``avg`` skips it."""
     y, p = _c(label), _c(prediction)
     return F.abs(F.try_divide(y - p, y))
+
+
+def fixed_point_mean(col: str | Column, decimals: int = 2) -> Column:
+    """Mean of values with ``decimals`` fixed decimals (money), computed as an
+    exact integer sum of scaled units divided once by the count.
+
+    Unlike a floating ``avg`` the result does not depend on the order the
+    partial sums are combined in, so reruns, retried tasks and other
+    engines give the same double.
+    """
+    scale = 10 ** decimals
+    units = F.round(_c(col) * scale).cast("long")
+    return F.sum(units.cast("decimal(38,0)")).cast("double") / F.count(units) / scale

@@ -20,16 +20,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct_change
+from ..functions.numeric import fixed_point_mean, pct_change
 from .windows import add_lags
 
 
 def weekly_market(series: DataFrame, ts: str, value: str, out: str = "avg_weekly_close",
-                  change: str = "weekly_close_change") -> DataFrame:
+                  change: str = "weekly_close_change", decimals: int | None = None) -> DataFrame:
     """Mean value per (year, ISO week), previous week's mean
-    (global lag over the weekly rows) and percent change; NULLs -> 0."""
+    (global lag over the weekly rows) and percent change; NULLs -> 0.
+    ``decimals``: the values are fixed-point (e.g. money), averaged exactly."""
+    mean = fixed_point_mean(value, decimals) if decimals is not None else F.avg(value)
     weekly = series.groupBy(F.year(ts).alias("year"), F.weekofyear(ts).alias("week_of_year")).agg(
-        F.avg(value).alias(out))
+        mean.alias(out))
     w = Window.orderBy("year", "week_of_year")
     lagged = weekly.select("*", F.lag(out, 1).over(w).alias(f"{out}_lag_1"))
     return lagged.withColumn(change, pct_change(out, f"{out}_lag_1")).na.fill(0)

@@ -48,13 +48,12 @@ def group_error(pred: DataFrame, label: str, prediction: str, sensitive: str,
     """Mean squared error overall and per equal-width bin of a
     sensitive column (left-closed bins, maximum in the last bin).
 
-    The range comes from two scalar aggregates; the bin rows and the overall
+    The range comes from one scalar (min, max) aggregate; the bin rows and the overall
     row come from one ``GROUPING SETS ((bin), ())`` pass. ``bin`` is NULL on
     the overall row.
     """
-    rng = pred.agg(F.min(sensitive).alias("lo"), F.max(sensitive).alias("hi"))
-    lo = rng.select("lo").scalar()
-    hi = rng.select("hi").scalar()
+    rng = pred.select(F.struct(F.min(sensitive).alias("lo"), F.max(sensitive).alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     binned = pred.select(equal_width_bin(F.col(sensitive), lo, hi, bins).alias("bin"),
                          ((F.col(label) - F.col(prediction)) ** 2).alias("_se"))
     return binned.groupingSets([["bin"], []], "bin").agg(

@@ -12,9 +12,13 @@ nature of the question; the blocks only keep it evenly spread.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def entity_vectors(counts: DataFrame, entity: str, period: str, value: str) -> DataFrame:
     """Dense zero-filled vector per entity over all observed periods, plus the
@@ -38,11 +42,12 @@ def pair_correlation(counts: DataFrame, entity: str, period: str, value: str,
                      block_size: int = 1024) -> DataFrame:
     """L1: Pearson correlation of every entity pair (entity_a < entity_b) of
     zero-filled per-period series."""
-    vecs = entity_vectors(counts, entity, period, value)
-    n_ent = vecs.select(F.count(F.lit(1))).scalar()
-    n_blocks = F.greatest(F.lit(1), F.ceil(n_ent / F.lit(block_size))).cast("int")
-    blocked = vecs.select(entity, "z", F.pmod(F.xxhash64(entity), n_blocks).cast("int").alias("blk"),
-                          n_blocks.alias("nb"))
+    # One row per entity (a period-length vector each): small, and read by
+    # both join sides and the block count, so it is computed once.
+    vecs = materialize(entity_vectors(counts, entity, period, value))
+    n_blocks = max(1, math.ceil(vecs.count() / block_size))
+    blocked = vecs.select(entity, "z", F.pmod(F.xxhash64(entity), F.lit(n_blocks)).cast("int").alias("blk"),
+                          F.lit(n_blocks).alias("nb"))
     left = blocked.select(F.col(entity).alias("a"), F.col("z").alias("za"), F.col("blk").alias("bi"),
                           F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bj"))
     right = blocked.select(F.col(entity).alias("b"), F.col("z").alias("zb"), F.col("blk").alias("bj_r"),

@@ -61,8 +61,8 @@ pk AS (SELECT c.c_nationkey AS k,
 
 TWO_PERIOD_STATS = f"""
 WITH {_PER_NATION}
-SELECT count(*) AS n_keys, round(avg(n1), 6) AS mean_first, round(stddev_pop(n1), 6) AS sd_first,
-       round(avg(n2), 6) AS mean_second, round(stddev_pop(n2), 6) AS sd_second,
+SELECT count(*) AS n_keys, avg(n1) AS mean_first, round(stddev_pop(n1), 6) AS sd_first,
+       avg(n2) AS mean_second, round(stddev_pop(n2), 6) AS sd_second,
        round((avg(n1) - avg(n2)) / nullif(sqrt((var_samp(n1) + var_samp(n2)) / count(*)), 0), 6) AS t_stat,
        2 * count(*) - 2 AS dof
 FROM pk
@@ -73,7 +73,7 @@ def _rate(key_sql: str, key: str, id_col: str, flag_sql: str, table: str) -> str
     return f"""
 SELECT CAST({key_sql} AS INTEGER) AS {key}, count({id_col}) AS total,
        CAST(sum(CAST({flag_sql} AS INTEGER)) AS BIGINT) AS flagged,
-       round(sum(CAST({flag_sql} AS INTEGER)) / count({id_col}) * 100, 6) AS pct
+       sum(CAST({flag_sql} AS INTEGER)) / count({id_col}) * 100 AS pct
 FROM {table} GROUP BY 1
 """
 
@@ -88,7 +88,7 @@ WITH e AS (SELECT hour(ts) AS h, dayofweek(ts) + 1 AS d, month(ts) AS m, event_i
 SELECT CASE WHEN grouping(h) = 0 THEN 'hour' WHEN grouping(d) = 0 THEN 'day_of_week' ELSE 'month' END AS dimension,
        CAST(CASE WHEN grouping(h) = 0 THEN h WHEN grouping(d) = 0 THEN d ELSE m END AS INTEGER) AS key,
        count(event_id) AS total, CAST(sum(f) AS BIGINT) AS flagged,
-       round(sum(f) / count(event_id) * 100, 6) AS pct
+       sum(f) / count(event_id) * 100 AS pct
 FROM e GROUP BY GROUPING SETS ((h), (d), (m))
 """
 
@@ -99,7 +99,7 @@ WITH w AS (SELECT doc_id, n_chars, unnest(regexp_split_to_array(text, '\\s+')) A
                        WHEN contains(word, 'haw') THEN 'haw' END AS substring,
                   CAST(n_chars AS DOUBLE) AS volume
            FROM w WHERE word <> '')
-SELECT year, substring, round(avg(volume), 6) AS avg_volume FROM l
+SELECT year, substring, avg(volume) AS avg_volume FROM l
 WHERE substring IS NOT NULL GROUP BY 1, 2
 """
 
@@ -139,7 +139,9 @@ GROUP BY 1 ORDER BY rec_score DESC, recommended_item LIMIT 50
 
 _MARKET = """
 li AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(week(l_shipdate) AS INTEGER) AS week_of_year,
-              avg(l_extendedprice) AS a FROM lineitem GROUP BY 1, 2),
+              CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE)
+                  / count(CAST(round(l_extendedprice * 100) AS BIGINT)) / 100 AS a
+       FROM lineitem GROUP BY 1, 2),
 mk AS (SELECT year, week_of_year, a AS avg_weekly_close,
               coalesce(lag(a) OVER (ORDER BY year, week_of_year), 0) AS avg_weekly_close_lag_1,
               coalesce((a - lag(a) OVER (ORDER BY year, week_of_year))
@@ -149,10 +151,7 @@ mk AS (SELECT year, week_of_year, a AS avg_weekly_close,
 
 WEEKLY_METRICS = f"""
 WITH {_MARKET}
-SELECT year, week_of_year, round(avg_weekly_close, 6) AS avg_weekly_close,
-       round(avg_weekly_close_lag_1, 6) AS avg_weekly_close_lag_1,
-       round(weekly_close_change, 6) AS weekly_close_change
-FROM mk
+SELECT year, week_of_year, avg_weekly_close, avg_weekly_close_lag_1, weekly_close_change FROM mk
 """
 
 _LAGGED = ("total_orders", "total_fulfilled", "total_pending")
@@ -182,16 +181,16 @@ t AS (SELECT j.*, fr.entity_index, total_high_priority + total_low_priority AS t
 lg AS (SELECT *, {_LAG_SQL}
        FROM t WINDOW w AS (PARTITION BY entity ORDER BY year, week_of_year)),
 dm AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS beat_padded, CAST(count(*) AS DOUBLE) AS population,
-              avg(c_acctbal) AS med_income, max(c_acctbal) AS max_acctbal, min(c_acctbal) AS min_acctbal
+              CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE)
+                  / count(CAST(round(c_acctbal * 100) AS BIGINT)) / 100 AS med_income,
+              max(c_acctbal) AS max_acctbal, min(c_acctbal) AS min_acctbal
        FROM customer GROUP BY c_nationkey),
-wf AS (SELECT entity, entity_index, year, week_of_year, round(avg_weekly_close, 6) AS avg_weekly_close,
-              round(weekly_close_change, 6) AS weekly_close_change,
+wf AS (SELECT entity, entity_index, year, week_of_year, avg_weekly_close, weekly_close_change,
               coalesce(total_high_priority, 0) AS total_high_priority,
               coalesce(total_low_priority, 0) AS total_low_priority,
               total_fulfilled, total_pending, num_segments, num_statuses, num_customers, num_priorities,
               coalesce(total_orders, 0) AS total_orders, {_LAG_OUT},
-              round(population, 6) AS population, round(med_income, 6) AS med_income,
-              round(max_acctbal, 6) AS max_acctbal, round(min_acctbal, 6) AS min_acctbal
+              population, med_income, max_acctbal, min_acctbal
        FROM lg JOIN dm ON lg.entity = dm.beat_padded)
 """
 
@@ -207,9 +206,9 @@ REGRESSION_METRICS = f"""
 WITH {WEEKLY_FEATURES_CTE},
 p AS (SELECT CAST(total_orders AS DOUBLE) AS y, CAST(total_orders_lag_1 AS DOUBLE) AS p, total_high_priority FROM wf),
 s AS (SELECT 'all' AS subset, y, p FROM p UNION ALL SELECT 'high_priority', y, p FROM p WHERE total_high_priority > 0)
-SELECT subset, count(*) AS n, round(sqrt(sum((y - p) * (y - p)) / count(*)), 6) AS rmse,
+SELECT subset, count(*) AS n, sqrt(sum((y - p) * (y - p)) / count(*)) AS rmse,
        round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2,
-       round(avg(abs(y - p)), 6) AS mae, round(avg(abs((y - p) / nullif(y, 0))), 6) AS mape
+       avg(abs(y - p)) AS mae, round(avg(abs((y - p) / nullif(y, 0))), 6) AS mape
 FROM s GROUP BY subset
 """
 
@@ -220,7 +219,7 @@ b AS (SELECT CASE WHEN r.hi = r.lo THEN 0
                   ELSE least(CAST(floor((med_income - r.lo) / ((r.hi - r.lo) / 5)) AS INTEGER), 4) END AS bin,
              (CAST(total_orders AS DOUBLE) - CAST(total_orders_lag_1 AS DOUBLE)) ** 2 AS se
       FROM wf, r)
-SELECT bin, round(avg(se), 6) AS mse, count(*) AS n FROM b GROUP BY GROUPING SETS ((bin), ())
+SELECT bin, avg(se) AS mse, count(*) AS n FROM b GROUP BY GROUPING SETS ((bin), ())
 """
 
 _NEXT_COLS = ", ".join("tgt.ty AS year" if c == "year" else "tgt.tw AS week_of_year" if c == "week_of_year"

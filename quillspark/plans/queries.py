@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import block_start
-from ..functions.parsing import cast_columns, digits_only, in_list_flag, pad_key, safe_timestamp
+from ..functions.numeric import block_start, fixed_point_mean
+from ..functions.parsing import (cast_columns, digits_only, in_list_flag, int_text_in_range, pad_key,
+                                 safe_timestamp)
 from ..functions.time import month_label, next_week
 from ..operators import aggregates as agg
 from ..operators.features import weekly_features, weekly_market
@@ -24,8 +25,9 @@ from ..operators.pairs import pair_counts, recommend
 from ..operators.split import balanced_parts, row_position
 from ..operators.stats import pair_correlation, pooled_t_test, two_period_counts, two_period_summary
 from ..operators.windows import add_lags, carry_previous_block, cumulative_sum, forward_fill, rolling_mean
-from ..sources.tables import Tables
-from ..sources.text import naive_split, parse_csv_lines, parse_ngram_lines
+from ..session import materialize
+from ..sources.tables import Tables, spread
+from ..sources.text import naive_split, parse_csv_lines
 
 # Fixed values of the bindings (shared with oracle.py).
 RECENT_YEARS_BACK = 3            # D2: max - 3 <= year <= max
@@ -116,7 +118,10 @@ def _per_nation_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def two_period_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_period_summary(_per_nation_periods(spark, sf_dir), digits=6)
+    s = two_period_summary(_per_nation_periods(spark, sf_dir))
+    # Means of integer counts are exact; the deviations and t are rounded.
+    return s.select("n_keys", "mean_first", F.round("sd_first", 6).alias("sd_first"), "mean_second",
+                    F.round("sd_second", 6).alias("sd_second"), F.round("t_stat", 6).alias("t_stat"), "dof")
 
 
 def two_period_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,42 +139,41 @@ def _events_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rate_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events_flagged(spark, sf_dir).withColumn("hour", F.hour("ts"))
-    return agg.rate_by(e, "hour", "event_id", "flag", digits=6)
+    return agg.rate_by(e, "hour", "event_id", "flag")
 
 
 def rate_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events_flagged(spark, sf_dir).withColumn("day_of_week", F.dayofweek("ts"))
-    return agg.rate_by(e, "day_of_week", "event_id", "flag", digits=6)
+    return agg.rate_by(e, "day_of_week", "event_id", "flag")
 
 
 def rate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _t(spark, sf_dir).orders.select(
         "o_orderkey", F.month("o_orderdate").alias("month"),
         (F.col("o_orderstatus") == "F").cast("int").alias("flag"))
-    return agg.rate_by(o, "month", "o_orderkey", "flag", digits=6)
+    return agg.rate_by(o, "month", "o_orderkey", "flag")
 
 
 def rate_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events_flagged(spark, sf_dir)
     dims = {"hour": F.hour("ts"), "day_of_week": F.dayofweek("ts"), "month": F.month("ts")}
-    return agg.rates_grouping_sets(e, dims, "event_id", "flag", digits=6)
+    return agg.rates_grouping_sets(e, dims, "event_id", "flag")
 
 
 # --------------------------------------------------------------- J1: A6 C11 C12 D4 F3
-def ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every word of every document as an n-gram line ``word year 1 volume``
-    (year := base + doc_id mod span, volume := n_chars)."""
-    docs = _t(spark, sf_dir).documents.select("doc_id", "text", "n_chars")
+def ngram_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of every document as an n-gram record (word, year text,
+    volume): year := base + doc_id mod span, volume := n_chars. Years are
+    validated like the line reader does (``0 < year <= 2024``)."""
+    docs = spread(_t(spark, sf_dir).documents.select("doc_id", "text", "n_chars"))
     words = words_of(docs, "text", keep=["doc_id", "n_chars"])
     year = (F.lit(NGRAM_BASE_YEAR) + F.pmod("doc_id", F.lit(NGRAM_YEAR_SPAN))).cast("string")
-    return words.select(F.concat_ws(" ", "word", year, F.lit("1"), F.col("n_chars").cast("string"))
-                        .alias("value"))
+    return (words.select("word", year.alias("year"), F.col("n_chars").cast("double").alias("volume"))
+            .where(int_text_in_range("year", 0, 2024)))
 
 
 def label_mean_by_year_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ngrams = parse_ngram_lines(ngram_lines(spark, sf_dir), "value")
-    out = label_mean_by_year(ngrams)
-    return out.select("year", "substring", F.round("avg_volume", 6).alias("avg_volume"))
+    return label_mean_by_year(ngram_records(spark, sf_dir))
 
 
 # --------------------------------------------------------------- J2: F4 H5
@@ -208,11 +212,11 @@ def recommend_items_symmetric(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- J7: weekly table
 def _market(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir).lineitem.select("l_shipdate", "l_extendedprice")
-    return weekly_market(li, "l_shipdate", "l_extendedprice")
+    return weekly_market(li, "l_shipdate", "l_extendedprice", decimals=2)
 
 
 def weekly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(_market(spark, sf_dir))
+    return _market(spark, sf_dir)
 
 
 def weekly_features_frame(spark: SparkSession, sf_dir: str, approx_distinct: bool = False) -> DataFrame:
@@ -222,7 +226,7 @@ def weekly_features_frame(spark: SparkSession, sf_dir: str, approx_distinct: boo
     market = _market(spark, sf_dir).select("year", "week_of_year", "avg_weekly_close", "weekly_close_change")
     demographics = t.customer.groupBy("c_nationkey").agg(
         F.count(F.lit(1)).cast("double").alias("population"),
-        F.avg("c_acctbal").alias("med_income"),
+        fixed_point_mean("c_acctbal", 2).alias("med_income"),
         F.max("c_acctbal").alias("max_acctbal"),
         F.min("c_acctbal").alias("min_acctbal"),
     ).select(pad_key(F.col("c_nationkey").cast("string")).alias("beat_padded"),
@@ -238,7 +242,7 @@ def weekly_features_frame(spark: SparkSession, sf_dir: str, approx_distinct: boo
         demo_key="beat_padded", total="total_orders",
         lag_columns=("total_orders", "total_fulfilled", "total_pending"),
         approx_distinct=approx_distinct)
-    return _round(table.withColumnRenamed("entityIndex", "entity_index"))
+    return table.withColumnRenamed("entityIndex", "entity_index")
 
 
 def weekly_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,23 +250,26 @@ def weekly_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lag_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weekly_features_frame(spark, sf_dir).withColumn(
+    return materialize(weekly_features_frame(spark, sf_dir)).withColumn(
         "prediction", F.col("total_orders_lag_1").cast("double"))
 
 
 def regression_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = _lag_forecast(spark, sf_dir)
-    return regression_metrics(pred, "total_orders", "prediction",
-                              subsets={"high_priority": F.col("total_high_priority") > 0}, digits=6)
+    m = regression_metrics(pred, "total_orders", "prediction",
+                           subsets={"high_priority": F.col("total_high_priority") > 0})
+    # Integer labels and predictions: n, rmse (sqrt of an exact sum) and mae
+    # are exact; r2 and mape involve inexact sums and are rounded.
+    return m.withColumn("r2", F.round("r2", 6)).withColumn("mape", F.round("mape", 6))
 
 
 def group_error_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_error(_lag_forecast(spark, sf_dir), "total_orders", "prediction", "med_income",
-                       bins=5, digits=6)
+    # Squared errors of integer counts: the per-bin means are exact.
+    return group_error(_lag_forecast(spark, sf_dir), "total_orders", "prediction", "med_income", bins=5)
 
 
 def next_period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wf = weekly_features_frame(spark, sf_dir)
+    wf = materialize(weekly_features_frame(spark, sf_dir))
     latest = wf.select(F.max(F.struct("year", "week_of_year")).alias("l")).scalar()
     target_year, target_week = next_week(latest.getField("year"), latest.getField("week_of_year"))
     source = wf.where((F.col("year") == target_year - 1) & (F.col("week_of_year") == target_week))
@@ -353,7 +360,7 @@ def dirty_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- J10 messages
 def message_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns rendered as mail files: (path, text, put_order)."""
-    c = _t(spark, sf_dir).conversations
+    c = spread(_t(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text"))
     local = F.timestamp_seconds(F.lit(MAIL_BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420)
     to = (F.when(F.col("role") == "user", F.lit(f"To: assistant@{MAIL_DOMAIN}"))
           .when(F.col("role") == "assistant", F.lit(f"To: user@{MAIL_DOMAIN},\n\tlog@{MAIL_DOMAIN}")))
@@ -397,10 +404,11 @@ def split_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    docs = text_lines(t.documents.select(F.col("doc_id").alias("k1"), F.lit(0).cast("long").alias("k2"), "text"),
-                      "text", ["k1", "k2"])
-    conv = text_lines(t.conversations.select(F.col("conv_id").alias("k1"), F.col("turn").alias("k2"), "text"),
+    docs = text_lines(spread(t.documents.select(F.col("doc_id").alias("k1"),
+                                                F.lit(0).cast("long").alias("k2"), "text")),
                       "text", ["k1", "k2"])
+    conv = text_lines(spread(t.conversations.select(F.col("conv_id").alias("k1"), F.col("turn").alias("k2"),
+                                                    "text")), "text", ["k1", "k2"])
     merged = merge_lines({"documents": docs, "conversations": conv}, ["k1", "k2", "line_no"])
     return merged.groupBy("source_no", "source").agg(
         F.count(F.lit(1)).alias("n_lines"),

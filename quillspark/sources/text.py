@@ -111,8 +111,7 @@ def parse_ngram_lines(df: DataFrame, line: str, max_year: int = 2024) -> DataFra
 # ---------------------------------------------------------------- A8
 def read_message_files(spark: SparkSession, root: str) -> DataFrame:
     """One message per file anywhere below ``root`` -> (path, text)."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .text(root).select(F.col("_metadata.file_path").alias("path"),
+    return (spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"),
                                F.col("value").alias("text")))
 
 
