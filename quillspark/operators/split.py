@@ -43,7 +43,8 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     placed = _attach(keyed, cuts, partition).withColumn("_chunk", F.size(F.filter("_cuts", lambda c: c < F.col("_lead")))).drop("_cuts")
     local = placed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*partition, "_chunk").orderBy(*order)))
-    sizes = placed.groupBy(*partition, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
+    # Sizes from the windowed frame reuse its shuffle instead of a new pass.
+    sizes = local.groupBy(*partition, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(*partition, "_chunk", F.coalesce(F.sum("_size").over(
         Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))

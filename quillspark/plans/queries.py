@@ -24,7 +24,8 @@ from ..operators.metrics import group_error, regression_metrics
 from ..operators.pairs import pair_counts, recommend
 from ..operators.split import balanced_parts, row_position
 from ..operators.stats import pair_correlation, pooled_t_test, two_period_counts, two_period_summary
-from ..operators.windows import add_lags, carry_previous_block, cumulative_sum, forward_fill, rolling_mean
+from ..operators import segmented
+from ..operators.windows import carry_previous_block
 from ..session import materialize
 from ..sources.tables import Tables, spread
 from ..sources.text import naive_split, parse_csv_lines
@@ -292,14 +293,18 @@ def bars_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("val_acctbal"),
         F.substring("o_orderpriority", 1, 1).alias("val_priority"))
     numbered = row_position(bars, ["time_stamp", "o_orderkey"], ["trade_id"], out="bar_num").drop("o_orderkey")
-    return cast_columns(numbered, lambda c: None if c == "time_stamp"
-                        else "double" if c.startswith("val") or c == "profit" else "int")
+    typed = cast_columns(numbered, lambda c: None if c == "time_stamp"
+                         else "double" if c.startswith("val") or c == "profit" else "int")
+    # The numbered bars feed several joins with their own aggregates (block
+    # carry, chunk offsets); a checkpoint in the shared folder stops each of
+    # those branches from re-running the scan, join and numbering.
+    return materialize(typed)
 
 
 def _carried_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = bars_frame(spark, sf_dir).withColumn("bar_num_group_10", block_start("bar_num", 10))
     carried = carry_previous_block(bars, "trade_id", "bar_num", "profit", 10, "bar_num_group_10")
-    return forward_fill(carried, ["trade_id"], ["bar_num"], "avg_profit")
+    return segmented.forward_fill(carried, ["trade_id"], "bar_num", "avg_profit")
 
 
 def forward_fill_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,11 +315,13 @@ def forward_fill_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bar_features_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = _carried_bars(spark, sf_dir)
     vals = [c for c in filled.columns if c.startswith("val")]
-    lagged = add_lags(filled, ["trade_id"], ["bar_num"], vals, [1, 2, 3], name="{col}_lag{k}",
-                      lag_major=False)
+    # Lags over the full series, before the filter; rolling and running
+    # values after it (the filter drops a prefix, positions stay consecutive).
+    lagged = segmented.lags(filled, ["trade_id"], "bar_num", vals, [1, 2, 3], name="{col}_lag{k}",
+                            lag_major=False)
     kept = lagged.where(F.col("avg_profit").isNotNull())
-    rolled = rolling_mean(kept, ["trade_id"], ["bar_num"], "profit", 4, "rolling_avg_profit")
-    cum = cumulative_sum(rolled, ["trade_id"], ["bar_num"], "profit", "cumulative_profit")
+    rolled = segmented.rolling_mean(kept, ["trade_id"], "bar_num", "profit", 4, "rolling_avg_profit")
+    cum = segmented.cumulative_sum(rolled, ["trade_id"], "bar_num", "profit", "cumulative_profit")
     return cum.withColumn("month", month_label("time_stamp"))
 
 
