@@ -1,0 +1,3 @@
+"""quillspark: batch analytics operators on PySpark DataFrames."""
+
+__version__ = "0.1.0"

@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+The reference has no stream processing: its "streaming" jobs are batch
+stdin/stdout map-reduce scripts, and no watermark, event-time window or
+state logic exists (SURVEY 2.10). Nothing is registered here; every job is
+a batch DataFrame query in ``quillspark.plans``.
+"""
