@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point_mean, pct_change
+from ..session import materialize
 from .windows import add_lags
 
 
@@ -71,7 +72,10 @@ def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame
             + [F.count(F.lit(1)).alias("_rows")])
     weeks = facts.groupBy(F.col(entity), F.year(ts).alias("year"),
                           F.weekofyear(ts).alias("week_of_year")).agg(*aggs)
-    weeks = weeks.join(market, ["year", "week_of_year"])
+    # Entity-weeks are an aggregate (entities x weeks rows) read by the rank
+    # and by the lag/demographics branch: checkpointed once so the fact scan
+    # and joins are not re-run per branch.
+    weeks = materialize(weeks.join(market, ["year", "week_of_year"]))
     indexed = frequency_index(weeks, entity, weight="_rows").drop("_rows")
     parts = [F.coalesce(F.col(n), F.lit(0)) if fixed else F.col(n) for n in class_flags]
     total_col = parts[0]

@@ -84,7 +84,8 @@ def top_keys_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     o = t.orders.select("o_custkey", F.year("o_orderdate").alias("yr"))
     newest = o.select(F.max("yr")).scalar()
-    recent = o.where(F.col("yr").between(newest - RECENT_YEARS_BACK, newest))
+    # One reference to the scalar subquery (each reference is its own job).
+    recent = o.where((newest - F.col("yr")).between(0, RECENT_YEARS_BACK))
     per_cust = agg.count_by(recent, ["o_custkey"], "n")
     named = per_cust.join(t.customer.select("c_custkey", "c_name"),
                           per_cust.o_custkey == F.col("c_custkey"))
