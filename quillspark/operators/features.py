@@ -43,6 +43,9 @@ def frequency_index(df: DataFrame, key: str, weight: str | None = None, out: str
     ties alphabetical. ``weight`` sums pre-aggregated row counts."""
     out = out or f"{key}Index"
     freq = df.groupBy(key).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_f"))
+    # One row per key (a dimension-sized table, like the weekly series): the
+    # ranking window runs on it alone, never on the fact rows. For key sets
+    # too large for one task, ``split.row_position`` ranks it in ranges.
     ranked = freq.select(key, (F.row_number().over(Window.orderBy(F.desc("_f"), F.asc(key))) - 1)
                          .cast("double").alias(out))
     return df.join(ranked, key)

@@ -48,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     here. ``allow_local`` (tests, local runs) creates a scratch folder when
     the setting is absent.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext access: callers fall back to persist
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

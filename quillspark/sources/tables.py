@@ -26,10 +26,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     parsing). A table stored as one file with one row group is read by a
     single task; a large table has many splits and is left untouched, so
     this never adds a shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 class Tables:
