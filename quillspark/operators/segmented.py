@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .split import join_null_safe
+
 DEFAULT_CHUNK_ROWS = 100_000
 
 
@@ -85,7 +87,7 @@ def cumulative_sum(df: DataFrame, partition: Sequence[str], position: str, colum
     offsets = totals.select(*partition, "_chunk", F.sum("_total").over(
         Window.partitionBy(*partition).orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))
-    joined = local.join(offsets, [*partition, "_chunk"], "left")
+    joined = join_null_safe(local, offsets, [*partition, "_chunk"], "left")
     total = F.when(F.col("_offset").isNull(), F.col("_local")).otherwise(
         F.col("_offset") + F.coalesce(F.col("_local"), F.lit(0)))
     return joined.withColumn(out, total).drop("_chunk", "_local", "_offset")
@@ -102,5 +104,5 @@ def forward_fill(df: DataFrame, partition: Sequence[str], position: str, column:
     carried = last_in_chunk.select(*partition, "_chunk", F.last("_last", ignorenulls=True).over(
         Window.partitionBy(*partition).orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    joined = local.join(carried, [*partition, "_chunk"], "left")
+    joined = join_null_safe(local, carried, [*partition, "_chunk"], "left")
     return joined.withColumn(out, F.coalesce("_ff", "_carry")).drop("_chunk", "_ff", "_carry")

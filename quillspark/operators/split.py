@@ -31,16 +31,32 @@ def _numeric(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL, as window partitions
+    group them. Still planned as a hash/sort-merge join on the keys."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
                  out: str = "row_pos", chunks: int = 64, accuracy: int = 10000) -> DataFrame:
     """1-based position of each row in ``order`` within ``partition``
     (ties in the full order are broken arbitrarily, as ``row_number``)."""
     lead = order[0]
-    lead_num = _numeric(F.col(lead), dict(df.dtypes)[lead])
-    fractions = [i / chunks for i in range(1, chunks)]
-    keyed = df.withColumn("_lead", lead_num)
-    cuts = keyed.groupBy(*partition).agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
-    placed = _attach(keyed, cuts, partition).withColumn("_chunk", F.size(F.filter("_cuts", lambda c: c < F.col("_lead")))).drop("_cuts")
+    keyed = df.withColumn("_lead", _numeric(F.col(lead), dict(df.dtypes)[lead]))
+    if chunks > 1:
+        fractions = [i / chunks for i in range(1, chunks)]
+        cuts = keyed.groupBy(*partition).agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
+        # NULL cuts (a partition whose lead values are all NULL) and NULL
+        # leads (sorted first) both fall in range 0.
+        chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_lead"))), F.lit(0))
+        placed = _attach(keyed, cuts, partition).withColumn("_chunk", chunk).drop("_cuts")
+    else:
+        placed = keyed.withColumn("_chunk", F.lit(0))
     local = placed.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*partition, "_chunk").orderBy(*order)))
     # Sizes from the windowed frame reuse its shuffle instead of a new pass.
@@ -48,14 +64,14 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     offsets = sizes.select(*partition, "_chunk", F.coalesce(F.sum("_size").over(
         Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))
-    return (local.join(offsets, [*partition, "_chunk"])
+    return (join_null_safe(local, offsets, [*partition, "_chunk"])
             .withColumn(out, F.col("_offset") + F.col("_local"))
             .drop("_lead", "_chunk", "_local", "_offset"))
 
 
 def _attach(keyed: DataFrame, cuts: DataFrame, partition: Sequence[str]) -> DataFrame:
     if partition:
-        return keyed.join(cuts, list(partition))
+        return join_null_safe(keyed, cuts, list(partition))
     # One global row of at most ``chunks - 1`` cut points: a scalar subquery.
     return keyed.withColumn("_cuts", cuts.select("_cuts").scalar())
 

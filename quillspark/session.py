@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of frames that went out of scope are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -9,7 +9,7 @@ from quillspark.operators import windows as win
 def _frame(spark):
     rnd = random.Random(9)
     rows = []
-    for trade, n, start in (("hot", 300, 1), ("a", 13, 1), ("b", 1, 1), ("suffix", 40, 9)):
+    for trade, n, start in (("hot", 300, 1), ("a", 13, 1), ("b", 1, 1), ("suffix", 40, 9), (None, 20, 1)):
         for pos in range(start, start + n):
             v = None if rnd.random() < 0.6 else float(rnd.randint(-5, 50))
             rows.append((trade, pos, float(rnd.randint(1, 99)), v))
