@@ -48,13 +48,21 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     (ties in the full order are broken arbitrarily, as ``row_number``)."""
     lead = order[0]
     keyed = df.withColumn("_lead", _numeric(F.col(lead), dict(df.dtypes)[lead]))
-    if chunks > 1:
-        fractions = [i / chunks for i in range(1, chunks)]
+    fractions = [i / chunks for i in range(1, chunks)]
+    if fractions and partition:
         cuts = keyed.groupBy(*partition).agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
         # NULL cuts (a partition whose lead values are all NULL) and NULL
         # leads (sorted first) both fall in range 0.
         chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_lead"))), F.lit(0))
-        placed = _attach(keyed, cuts, partition).withColumn("_chunk", chunk).drop("_cuts")
+        placed = join_null_safe(keyed, cuts, list(partition)).withColumn("_chunk", chunk).drop("_cuts")
+    elif fractions:
+        # One global ordering: at most ``chunks - 1`` sampled cut points, the
+        # same bounded sample a range partitioner takes.
+        points = sorted(set(keyed.approxQuantile("_lead", fractions, 1.0 / accuracy)))
+        chunk = F.lit(0)
+        for p in points:
+            chunk = chunk + F.when(F.col("_lead") > F.lit(p), 1).otherwise(0)
+        placed = keyed.withColumn("_chunk", chunk)
     else:
         placed = keyed.withColumn("_chunk", F.lit(0))
     local = placed.withColumn(
@@ -69,13 +77,6 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
             .drop("_lead", "_chunk", "_local", "_offset"))
 
 
-def _attach(keyed: DataFrame, cuts: DataFrame, partition: Sequence[str]) -> DataFrame:
-    if partition:
-        return join_null_safe(keyed, cuts, list(partition))
-    # One global row of at most ``chunks - 1`` cut points: a scalar subquery.
-    return keyed.withColumn("_cuts", cuts.select("_cuts").scalar())
-
-
 def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
     """Part (1..parts) of a 1-based position when ``total`` rows are
     split into contiguous parts and the first ``total % parts`` parts get one
@@ -91,6 +92,6 @@ def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
 def balanced_parts(df: DataFrame, order: Sequence[str], parts: int, out: str = "part",
                    chunks: int = 64) -> DataFrame:
     """Tag every row with its contiguous balanced part."""
-    total = df.select(F.count(F.lit(1))).scalar()
+    total = F.lit(df.count())
     return row_position(df, order, out="_pos", chunks=chunks) \
         .withColumn(out, ntile_part("_pos", total, parts)).drop("_pos")
