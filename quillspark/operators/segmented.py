@@ -106,3 +106,51 @@ def forward_fill(df: DataFrame, partition: Sequence[str], position: str, column:
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
     joined = join_null_safe(local, carried, [*partition, "_chunk"], "left")
     return joined.withColumn(out, F.coalesce("_ff", "_carry")).drop("_chunk", "_ff", "_carry")
+
+
+def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
+                lag_columns: Sequence[str] = (), lag_values: Sequence[int] = (),
+                lag_name: str = "{col}_lag_{k}", lag_major: bool = True,
+                rolling: Sequence[tuple] = (), cumulative: Sequence[tuple] = (),
+                chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Lags, rolling means and running sums in one chunked window pass.
+
+    ``rolling``: (column, rows, out, condition or None) -- mean over the
+    current and ``rows - 1`` previous rows of the values whose condition
+    holds. ``cumulative``: (column, out, condition or None) -- running sum of
+    the values whose condition holds. A condition that is false only on a
+    leading run of each entity makes these equal to computing them after
+    filtering that run away, without a second pass. All outputs share one
+    halo'd partitioning by (entity, chunk); running sums add the totals of
+    earlier chunks from the small (entity, chunk) table.
+    """
+    k = max([*lag_values, *[r[1] - 1 for r in rolling], 0])
+    if k >= chunk_rows:
+        raise ValueError("chunk_rows must exceed the longest lag or frame")
+    both = _with_halo(df, position, chunk_rows, k)
+    w = Window.partitionBy(*partition, "_chunk").orderBy(position)
+    pairs = ([(c, v) for v in lag_values for c in lag_columns] if lag_major
+             else [(c, v) for c in lag_columns for v in lag_values])
+    cols = [F.lag(c, v).over(w).alias(lag_name.format(col=c, k=v)) for c, v in pairs]
+
+    def cond_value(c: str, cond):
+        return F.col(c) if cond is None else F.when(cond, F.col(c))
+    for c, rows, out, cond in rolling:
+        cols.append(F.avg(cond_value(c, cond)).over(w.rowsBetween(-(rows - 1), 0)).alias(out))
+    own = ~F.col("_halo")
+    for c, out, cond in cumulative:
+        value = F.when(own, cond_value(c, cond))
+        cols.append(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_local_{out}"))
+        cols.append(value.alias(f"_value_{out}"))
+    res = both.select("*", *cols).where(own)
+    for c, out, cond in cumulative:
+        totals = res.groupBy(*partition, "_chunk").agg(F.sum(f"_value_{out}").alias("_total"))
+        offsets = totals.select(*partition, "_chunk", F.sum("_total").over(
+            Window.partitionBy(*partition).orderBy("_chunk")
+            .rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))
+        res = join_null_safe(res, offsets, [*partition, "_chunk"], "left")
+        local = F.col(f"_local_{out}")
+        res = res.withColumn(out, F.when(F.col("_offset").isNull(), local)
+                             .otherwise(F.col("_offset") + F.coalesce(local, F.lit(0))))
+        res = res.drop("_offset", f"_local_{out}", f"_value_{out}")
+    return res.drop("_chunk", "_halo")

@@ -316,13 +316,15 @@ def forward_fill_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bar_features_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = _carried_bars(spark, sf_dir)
     vals = [c for c in filled.columns if c.startswith("val")]
-    # Lags over the full series, before the filter; rolling and running
-    # values after it (the filter drops a prefix, positions stay consecutive).
-    lagged = segmented.lags(filled, ["trade_id"], "bar_num", vals, [1, 2, 3], name="{col}_lag{k}",
-                            lag_major=False)
-    kept = lagged.where(F.col("avg_profit").isNotNull())
-    rolled = segmented.rolling_mean(kept, ["trade_id"], "bar_num", "profit", 4, "rolling_avg_profit")
-    cum = segmented.cumulative_sum(rolled, ["trade_id"], "bar_num", "profit", "cumulative_profit")
+    # Lags over the full series (before the filter); rolling and running
+    # profit over the rows the filter keeps. The filter drops a leading run
+    # of each trade (avg_profit is forward-filled), so all three come from
+    # one chunked window pass with the filter as a condition.
+    kept = F.col("avg_profit").isNotNull()
+    cum = segmented.window_pass(
+        filled, ["trade_id"], "bar_num", lag_columns=vals, lag_values=[1, 2, 3], lag_name="{col}_lag{k}",
+        lag_major=False, rolling=[("profit", 4, "rolling_avg_profit", kept)],
+        cumulative=[("profit", "cumulative_profit", kept)]).where(kept)
     return cum.withColumn("month", month_label("time_stamp"))
 
 

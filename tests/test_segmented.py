@@ -43,3 +43,19 @@ def test_segmented_spreads_a_hot_entity(spark):
     out = seg.lags(df, ["t"], "pos", ["x"], [1], chunk_rows=25)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_chunk" in plan and out.count() == 300
+
+
+def test_window_pass_equals_separate_windows_after_prefix_filter(spark):
+    df = _frame(spark)
+    # ``keep`` is false on a leading run of each entity only.
+    df = df.withColumn("keep", F.col("pos") > F.when(F.col("t") == "hot", 40).otherwise(3))
+    kept = F.col("keep")
+    for chunk in (7, 50, 1000):
+        fused = seg.window_pass(df, ["t"], "pos", lag_columns=["x", "v"], lag_values=[1, 2, 3],
+                                rolling=[("x", 4, "r", kept)], cumulative=[("x", "c", kept), ("v", "cv", None)],
+                                chunk_rows=chunk).where(kept)
+        lagged = win.add_lags(df, ["t"], ["pos"], ["x", "v"], [1, 2, 3])
+        cv = win.cumulative_sum(lagged, ["t"], ["pos"], "v", "cv").where(kept)
+        plain = win.cumulative_sum(win.rolling_mean(cv, ["t"], ["pos"], "x", 4, "r"), ["t"], ["pos"], "x", "c")
+        cols = [c for c in plain.columns if "_lag_" in c] + ["r", "c", "cv"]
+        assert _as_dict(fused, cols) == _as_dict(plain, cols)
