@@ -57,7 +57,7 @@ def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame
                     demo_key: str, total: str = "total_crimes",
                     lag_columns: Sequence[str] = ("total_crimes", "total_arrests", "total_domestic_crimes"),
                     lags: Sequence[int] = (1, 2, 3, 4), fixed: bool = False,
-                    approx_distinct: bool = False) -> DataFrame:
+                    approx_distinct: bool = False, fact_filter: Column | None = None) -> DataFrame:
     """One row per (entity, year, ISO week) with class totals, flag sums,
     distinct counts, lags of the totals and the entity's static attributes.
 
@@ -67,7 +67,11 @@ def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame
     ``fixed`` coalesces them first; the final fill turns NULLs to 0 only
     after the lags. ``approx_distinct`` swaps exact distinct counts (an
     Expand of the input per distinct column) for HyperLogLog sketches.
+    ``fact_filter`` (e.g. ``col.isin(classes)``) restricts the facts first;
+    it is pushed to the fact scan.
     """
+    if fact_filter is not None:
+        facts = facts.where(fact_filter)
     counted = F.approx_count_distinct if approx_distinct else F.count_distinct
     aggs = ([F.sum(F.when(c == 1, 1)).alias(n) for n, c in class_flags.items()]
             + [F.sum(c).alias(n) for n, c in flag_sums.items()]
