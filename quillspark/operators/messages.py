@@ -24,15 +24,19 @@ def message_table(raw: DataFrame, path: str = "path", text: str = "text",
         parsed = parsed.join(raw.select(F.regexp_extract(path, r"([^/]+/[^/]+)$", 1).alias("row_key"),
                                         F.col(put_order).alias("_order")), "row_key")
         return latest_per_key(parsed, "row_key", "_order").drop("_order")
-    return latest_per_key(parsed, "row_key", "ts")
+    return latest_per_key(parsed.withColumn("_v", version_order(parsed, "ts")), "row_key", "_v").drop("_v")
 
 
-def filter_messages(table: DataFrame, recipient: str | None = None, date_substring: str | None = None,
-                    month: str | None = None, columns: tuple[str, ...] = ("row_key", "recipient",
-                                                                          "date_text", "body")) -> DataFrame:
-    """Exact recipient AND case-insensitive substring of the date
-    text (and/or the typed ``yyyy-MM`` month of the parsed timestamp), then
-    the requested columns."""
+def version_order(parsed: DataFrame, order: str = "ts"):
+    """Order of versions of one key: the timestamp, ties broken by a content
+    hash, so reruns (and retried tasks) pick the same version."""
+    return F.struct(F.col(order).alias("o"), F.xxhash64(*[F.col(c) for c in parsed.columns]).alias("h"))
+
+
+def message_condition(recipient: str | None = None, date_substring: str | None = None,
+                      month: str | None = None):
+    """D8-D10 predicate: exact recipient AND case-insensitive date-text
+    substring AND typed ``yyyy-MM`` month of the parsed timestamp."""
     cond = F.lit(True)
     if recipient is not None:
         cond = cond & (F.col("recipient") == F.lit(recipient))
@@ -40,4 +44,27 @@ def filter_messages(table: DataFrame, recipient: str | None = None, date_substri
         cond = cond & F.lower(F.col("date_text")).contains(date_substring.lower())
     if month is not None:
         cond = cond & (month_label("ts") == F.lit(month))
-    return table.where(cond).select(*columns)
+    return cond
+
+
+def scan_latest(parsed: DataFrame, cond, key: str = "row_key", order: str = "ts",
+                columns: tuple[str, ...] = ("row_key", "recipient", "date_text", "body")) -> DataFrame:
+    """D8-D10 over the keyed table without building it: the latest version of
+    every key is found from (key, order, content hash) alone, the predicate
+    is applied to the parsed rows, and a matching row is kept only if it is
+    its key's latest version. Same rows as filtering ``message_table``, but
+    only matching bodies are shuffled."""
+    tagged = parsed.withColumn("_v", version_order(parsed, order))
+    latest = tagged.groupBy(key).agg(F.max("_v").alias("_latest"))
+    hits = tagged.where(cond)
+    joined = hits.join(latest, key).where(F.col("_v") == F.col("_latest"))
+    return joined.dropDuplicates([key]).select(*columns)
+
+
+def filter_messages(table: DataFrame, recipient: str | None = None, date_substring: str | None = None,
+                    month: str | None = None, columns: tuple[str, ...] = ("row_key", "recipient",
+                                                                          "date_text", "body")) -> DataFrame:
+    """Exact recipient AND case-insensitive substring of the date
+    text (and/or the typed ``yyyy-MM`` month of the parsed timestamp), then
+    the requested columns."""
+    return table.where(message_condition(recipient, date_substring, month)).select(*columns)

@@ -19,7 +19,7 @@ from ..operators import aggregates as agg
 from ..operators.features import weekly_features, weekly_market
 from ..operators.folds import walk_forward_folds
 from ..operators.lines import label_mean_by_year, merge_lines, text_lines, words_of
-from ..operators.messages import filter_messages, message_table
+from ..operators.messages import message_condition, message_table, scan_latest
 from ..operators.metrics import group_error, regression_metrics
 from ..operators.pairs import pair_counts, recommend
 from ..operators.split import balanced_parts, row_position
@@ -28,7 +28,7 @@ from ..operators import segmented
 from ..operators.windows import carry_previous_block
 from ..session import materialize
 from ..sources.tables import Tables, spread
-from ..sources.text import naive_split, parse_csv_lines
+from ..sources.text import naive_split, parse_csv_lines, parse_messages
 
 # Fixed values of the bindings (shared with oracle.py).
 RECENT_YEARS_BACK = 3            # D2: max - 3 <= year <= max
@@ -393,8 +393,8 @@ def message_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_messages(_messages(spark, sf_dir), recipient=FILTER_RECIPIENT,
-                           date_substring=FILTER_MONTH_TEXT)
+    parsed = parse_messages(message_texts(spark, sf_dir))
+    return scan_latest(parsed, message_condition(recipient=FILTER_RECIPIENT, date_substring=FILTER_MONTH_TEXT))
 
 
 # --------------------------------------------------------------- L14 folds

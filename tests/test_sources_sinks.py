@@ -122,3 +122,21 @@ def test_fold_report_and_merge_and_split(spark, tmp_dir):
     writers.write_balanced_parts(spark.range(10).withColumnRenamed("id", "k"), f"{tmp_dir}/parts", ["k"], 4)
     sizes = [len(_read_lines(d)) for d in sorted(glob.glob(f"{tmp_dir}/parts/part=*"))]
     assert sizes == [3, 3, 2, 2]
+
+
+def test_scan_latest_equals_filter_of_keyed_table(spark):
+    from quillspark.operators.messages import message_condition, scan_latest
+    from quillspark.sources.text import parse_messages
+
+    def msg(to, day, body):
+        return f"To: {to}\nDate: Fri, {day} Dec 2001 10:06:42 -0800 (PST)\nFrom: x@y\n\n{body}"
+    rows = [("f/a", msg("k@x", 7, "old match")), ("f/a", msg("other@x", 8, "newer, no match")),
+            ("f/b", msg("k@x", 3, "older")), ("f/b", msg("k@x", 9, "latest match")),
+            ("f/c", msg("k@x", 5, "dup")), ("f/c", msg("k@x", 5, "dup"))]
+    raw = spark.createDataFrame(rows, "path string, text string")
+    cond = message_condition(recipient="k@x", date_substring="dec 2001")
+    fast = sorted(tuple(r) for r in scan_latest(parse_messages(raw), cond).collect())
+    slow = sorted(tuple(r) for r in filter_messages(message_table(raw), recipient="k@x",
+                                                   date_substring="dec 2001").collect())
+    assert fast == slow
+    assert [r[0] for r in fast] == ["f/b", "f/c"]
