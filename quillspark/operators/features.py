@@ -54,8 +54,8 @@ def frequency_index(df: DataFrame, key: str, weight: str | None = None, out: str
 def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame, *,
                     entity: str, ts: str, class_flags: Mapping[str, Column],
                     flag_sums: Mapping[str, Column], distincts: Mapping[str, str],
-                    demo_key: str, total: str = "total_crimes",
-                    lag_columns: Sequence[str] = ("total_crimes", "total_arrests", "total_domestic_crimes"),
+                    demo_key: str, total: str = "total",
+                    lag_columns: Sequence[str] = ("total",),
                     lags: Sequence[int] = (1, 2, 3, 4), fixed: bool = False,
                     approx_distinct: bool = False, fact_filter: Column | None = None) -> DataFrame:
     """One row per (entity, year, ISO week) with class totals, flag sums,

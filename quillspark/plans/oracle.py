@@ -180,7 +180,7 @@ t AS (SELECT j.*, fr.entity_index, total_high_priority + total_low_priority AS t
       FROM j JOIN fr USING (entity)),
 lg AS (SELECT *, {_LAG_SQL}
        FROM t WINDOW w AS (PARTITION BY entity ORDER BY year, week_of_year)),
-dm AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS beat_padded, CAST(count(*) AS DOUBLE) AS population,
+dm AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS entity_padded, CAST(count(*) AS DOUBLE) AS population,
               CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE)
                   / count(CAST(round(c_acctbal * 100) AS BIGINT)) / 100 AS med_income,
               max(c_acctbal) AS max_acctbal, min(c_acctbal) AS min_acctbal
@@ -191,7 +191,7 @@ wf AS (SELECT entity, entity_index, year, week_of_year, avg_weekly_close, weekly
               total_fulfilled, total_pending, num_segments, num_statuses, num_customers, num_priorities,
               coalesce(total_orders, 0) AS total_orders, {_LAG_OUT},
               population, med_income, max_acctbal, min_acctbal
-       FROM lg JOIN dm ON lg.entity = dm.beat_padded)
+       FROM lg JOIN dm ON lg.entity = dm.entity_padded)
 """
 
 WEEKLY_FEATURES = f"WITH {WEEKLY_FEATURES_CTE} SELECT * FROM wf"

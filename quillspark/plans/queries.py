@@ -231,7 +231,7 @@ def weekly_features_frame(spark: SparkSession, sf_dir: str, approx_distinct: boo
         fixed_point_mean("c_acctbal", 2).alias("med_income"),
         F.max("c_acctbal").alias("max_acctbal"),
         F.min("c_acctbal").alias("min_acctbal"),
-    ).select(pad_key(F.col("c_nationkey").cast("string")).alias("beat_padded"),
+    ).select(pad_key(F.col("c_nationkey").cast("string")).alias("entity_padded"),
              "population", "med_income", "max_acctbal", "min_acctbal")
     table = weekly_features(
         facts, market, demographics, entity="entity", ts="o_orderdate",
@@ -241,7 +241,7 @@ def weekly_features_frame(spark: SparkSession, sf_dir: str, approx_distinct: boo
                    "total_pending": in_list_flag("o_orderstatus", ["P"])},
         distincts={"num_segments": "c_mktsegment", "num_statuses": "o_orderstatus",
                    "num_customers": "o_custkey", "num_priorities": "o_orderpriority"},
-        demo_key="beat_padded", total="total_orders",
+        demo_key="entity_padded", total="total_orders",
         lag_columns=("total_orders", "total_fulfilled", "total_pending"),
         approx_distinct=approx_distinct)
     return table.withColumnRenamed("entityIndex", "entity_index")

@@ -62,19 +62,19 @@ def test_csv_directory_max_duration(spark, tmp_dir):
 
 
 def test_message_files_parse_and_filter(spark, tmp_dir):
-    _write(f"{tmp_dir}/mail/allen-p/1.", "To: k..allen@enron.com\nDate: Fri, 7 Dec 2001 10:06:42 -0800 (PST)\n"
-           "From: a@enron.com\n\nBody one\n\nmore")
-    _write(f"{tmp_dir}/mail/allen-p/2.", "To: k..allen@enron.com,\n\tb@enron.com\nDate: Mon, 31 DEC 2001 17:18:31 -0800 (PST)\n"
-           "From: c@enron.com\n\nBody two")
-    _write(f"{tmp_dir}/mail/other/3.", "Date: Tue, 4 Dec 2001 01:00:00 -0800 (PST)\nFrom: d@enron.com")
+    _write(f"{tmp_dir}/mail/user-a/1.", "To: k..lee@mail.example\nDate: Fri, 7 Dec 2001 10:06:42 -0800 (PST)\n"
+           "From: a@mail.example\n\nBody one\n\nmore")
+    _write(f"{tmp_dir}/mail/user-a/2.", "To: k..lee@mail.example,\n\tb@mail.example\nDate: Mon, 31 DEC 2001 17:18:31 -0800 (PST)\n"
+           "From: c@mail.example\n\nBody two")
+    _write(f"{tmp_dir}/mail/other/3.", "Date: Tue, 4 Dec 2001 01:00:00 -0800 (PST)\nFrom: d@mail.example")
     raw = text.read_message_files(spark, f"{tmp_dir}/mail")
     table = {r["row_key"]: r for r in message_table(raw).collect()}
-    assert table["allen-p/1."]["body"] == "Body one\n\nmore"
-    assert table["allen-p/2."]["recipient"] == "k..allen@enron.com,b@enron.com"
-    assert table["allen-p/2."]["ts"] is not None
+    assert table["user-a/1."]["body"] == "Body one\n\nmore"
+    assert table["user-a/2."]["recipient"] == "k..lee@mail.example,b@mail.example"
+    assert table["user-a/2."]["ts"] is not None
     assert table["other/3."]["recipient"] == "unknown" and table["other/3."]["body"] == ""
-    hits = filter_messages(message_table(raw), recipient="k..allen@enron.com", date_substring="Dec 2001").collect()
-    assert [r["row_key"] for r in hits] == ["allen-p/1."]
+    hits = filter_messages(message_table(raw), recipient="k..lee@mail.example", date_substring="Dec 2001").collect()
+    assert [r["row_key"] for r in hits] == ["user-a/1."]
     typed = filter_messages(message_table(raw), month="2001-12").collect()
     # 31 Dec 17:18 -0800 is 1 Jan in UTC, so the typed month filter leaves it out.
     assert len(typed) == 2
