@@ -283,7 +283,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 GROUP BY 1
 """
 
-_LOCAL_TS = (f"(TIMESTAMP '2001-11-20 08:00:00' + conv_id * INTERVAL 1 DAY + turn * INTERVAL 420 SECOND)")
+_LOCAL_TS = f"(TIMESTAMP '{q.MAIL_BASE_LOCAL}' + conv_id * INTERVAL 1 DAY + turn * INTERVAL 7 MINUTE)"
 
 _MESSAGES = f"""
 m AS (SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS row_key,

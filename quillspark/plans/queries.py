@@ -41,7 +41,7 @@ RECOMMEND_TARGET = 150
 LIKED_QUANTITY = 3               # D11: rating > 3
 SPLIT_PARTS = 7
 MAIL_DOMAIN = "chat.example"
-MAIL_BASE_EPOCH = 1006243200     # 2001-11-20 08:00:00 local wall time
+MAIL_BASE_LOCAL = "2001-11-20 08:00:00"
 MAIL_ZONE = " -0800 (PST)"
 MAIL_ZONE_SECONDS = 8 * 3600
 FILTER_RECIPIENT = f"assistant@{MAIL_DOMAIN}"
@@ -371,7 +371,10 @@ def dirty_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns rendered as mail files: (path, text, put_order)."""
     c = spread(_t(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text"))
-    local = F.timestamp_seconds(F.lit(MAIL_BASE_EPOCH) + F.col("conv_id") * 86400 + F.col("turn") * 420)
+    # Wall-clock time without a zone (timestamp_ntz): the rendered text does
+    # not depend on the session time zone.
+    local = (F.lit(MAIL_BASE_LOCAL).cast("timestamp_ntz")
+             + F.make_dt_interval(F.col("conv_id"), F.lit(0), F.col("turn") * 7, F.lit(0)))
     to = (F.when(F.col("role") == "user", F.lit(f"To: assistant@{MAIL_DOMAIN}"))
           .when(F.col("role") == "assistant", F.lit(f"To: user@{MAIL_DOMAIN},\n\tlog@{MAIL_DOMAIN}")))
     date = F.concat(F.lit("Date: "), F.date_format(local, "EEE, d MMM yyyy HH:mm:ss"), F.lit(MAIL_ZONE))
