@@ -249,3 +249,29 @@ def test_regression_metrics_and_group_error(spark):
         sel = bins == b
         assert abs(ge[b] - np.mean((y[sel] - p[sel]) ** 2)) < 1e-9
     assert abs(ge[None] - np.mean((y - p) ** 2)) < 1e-9 and len(edges) == 6
+
+
+def test_weekly_features_options(spark):
+    import datetime as dt
+
+    from quillspark.operators.features import weekly_features, weekly_market
+
+    days = [dt.datetime(2020, 1, 6) + dt.timedelta(days=d) for d in range(0, 35)]
+    facts = spark.createDataFrame(
+        [(f"{e:04d}", t, c, s, f"cust{(i * 7) % 5}") for i, (e, t) in enumerate((e, t) for e in range(3) for t in days)
+         for c, s in [("A" if i % 3 else "B", "F" if i % 2 else "O")]],
+        "entity string, ts timestamp, cls string, status string, cust string")
+    market = weekly_market(spark.createDataFrame([(t, 10.0 + i) for i, t in enumerate(days)], "ts timestamp, v double"),
+                           "ts", "v", decimals=2).select("year", "week_of_year", "avg_weekly_close", "weekly_close_change")
+    demo = spark.createDataFrame([(f"{e:04d}", float(e)) for e in range(3)], "key string, attr double")
+    args = dict(entity="entity", ts="ts", class_flags={"n_a": (F.col("cls") == "A").cast("int"),
+                                                       "n_b": (F.col("cls") == "B").cast("int")},
+                flag_sums={"n_f": (F.col("status") == "F").cast("int")}, distincts={"n_cust": "cust"},
+                demo_key="key", lag_columns=("total",), lags=(1,))
+    exact = {(r["entity"], r["week_of_year"]): r for r in weekly_features(facts, market, demo, **args).collect()}
+    approx = {(r["entity"], r["week_of_year"]): r for r in
+              weekly_features(facts, market, demo, approx_distinct=True, **args).collect()}
+    assert exact.keys() == approx.keys() and len(exact) == 3 * 5
+    assert all(exact[k]["n_cust"] == approx[k]["n_cust"] for k in exact)        # tiny sets: HLL is exact
+    only_a = weekly_features(facts, market, demo, fact_filter=F.col("cls") == "A", **args).collect()
+    assert all(r["n_b"] == 0 and r["total"] == 0 for r in only_a)             # NULL class total -> total 0
