@@ -32,6 +32,11 @@ def month_label(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM")
 
 
+def utc_month_label(ts: str | Column) -> Column:
+    """``yyyy-MM`` of an instant in UTC, whatever the session time zone."""
+    return F.date_format(F.to_utc_timestamp(_c(ts), F.current_timezone()), "yyyy-MM")
+
+
 def next_week(year: str | Column, week: str | Column, last_week: int = 52) -> tuple[Column, Column]:
     """C20: the week after (year, week); weeks >= ``last_week`` roll the year.
 

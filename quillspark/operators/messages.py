@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import month_label
+from ..functions.time import utc_month_label
 from ..sources.text import parse_messages
 from .aggregates import latest_per_key
 
@@ -36,14 +36,14 @@ def version_order(parsed: DataFrame, order: str = "ts"):
 def message_condition(recipient: str | None = None, date_substring: str | None = None,
                       month: str | None = None):
     """D8-D10 predicate: exact recipient AND case-insensitive date-text
-    substring AND typed ``yyyy-MM`` month of the parsed timestamp."""
+    substring AND typed ``yyyy-MM`` month (UTC) of the parsed timestamp."""
     cond = F.lit(True)
     if recipient is not None:
         cond = cond & (F.col("recipient") == F.lit(recipient))
     if date_substring is not None:
         cond = cond & F.lower(F.col("date_text")).contains(date_substring.lower())
     if month is not None:
-        cond = cond & (month_label("ts") == F.lit(month))
+        cond = cond & (utc_month_label("ts") == F.lit(month))
     return cond
 
 

@@ -31,6 +31,7 @@ SQL_CHECKED: dict[str, Query] = {
     "dirty_csv_parse": q.dirty_csv_parse,
     "message_parse": q.message_parse,
     "message_filter": q.message_filter,
+    "message_filter_month": q.message_filter_month,
     "regression_metrics": q.regression_metrics_q,
     "group_error_by_bin": q.group_error_by_bin,
     "walk_forward_folds": q.walk_forward_folds_q,

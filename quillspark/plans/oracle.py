@@ -304,6 +304,13 @@ SELECT row_key, recipient, date_text, body FROM m
 WHERE recipient = '{q.FILTER_RECIPIENT}' AND contains(lower(date_text), lower('{q.FILTER_MONTH_TEXT}'))
 """
 
+MESSAGE_FILTER_MONTH = f"""
+WITH {_MESSAGES}
+SELECT row_key, recipient, date_text, body FROM m
+WHERE recipient = '{q.FILTER_RECIPIENT}'
+  AND strftime(TIMESTAMP '1970-01-01 00:00:00' + ts_epoch * INTERVAL 1 SECOND, '%Y-%m') = '{q.FILTER_MONTH}'
+"""
+
 WALK_FORWARD_FOLDS = """
 WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS rows FROM orders GROUP BY 1),
      i AS (SELECT month, rows, row_number() OVER (ORDER BY month) - 1 AS midx FROM m),
@@ -356,6 +363,7 @@ ORACLE = {
     "dirty_csv_parse": DIRTY_CSV_PARSE,
     "message_parse": MESSAGE_PARSE,
     "message_filter": MESSAGE_FILTER,
+    "message_filter_month": MESSAGE_FILTER_MONTH,
     "regression_metrics": REGRESSION_METRICS,
     "group_error_by_bin": GROUP_ERROR_BY_BIN,
     "walk_forward_folds": WALK_FORWARD_FOLDS,
