@@ -17,95 +17,107 @@ partition; what crosses a chunk boundary is carried explicitly:
 Positions must be consecutive within an entity (a prefix may be missing,
 as after dropping the leading rows of a series). Results equal the plain
 windows exactly.
+
+Plan shape: the entity columns are packed into one struct key (never NULL;
+equal structs with NULL fields match), so the window partitioning
+(key, chunk) is reused by the side-table joins instead of re-shuffling the
+rows, and side tables are read off the window outputs (the running value at
+a chunk's last row), so both branches share one shuffle of the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .split import join_null_safe
-
 DEFAULT_CHUNK_ROWS = 100_000
+PK = "_pk"
+
+
+def entity_key(partition: Sequence[str]) -> Column:
+    """One non-null join/partition key for the entity columns."""
+    return F.struct(*partition) if partition else F.lit(0)
+
 
+def _spec(position: str) -> Window:
+    return Window.partitionBy(PK, "_chunk").orderBy(position)
 
-def _chunked(df: DataFrame, position: str, chunk_rows: int) -> DataFrame:
-    return df.withColumn("_chunk", F.floor((F.col(position) - 1) / chunk_rows))
 
+def _chunked(df: DataFrame, partition: Sequence[str], position: str, chunk_rows: int) -> DataFrame:
+    return df.withColumn(PK, entity_key(partition)).withColumn(
+        "_chunk", F.floor((F.col(position) - 1) / chunk_rows))
 
-def _with_halo(df: DataFrame, position: str, chunk_rows: int, k: int) -> DataFrame:
+
+def _with_halo(df: DataFrame, partition: Sequence[str], position: str, chunk_rows: int, k: int) -> DataFrame:
     """Every row once in its own chunk; the last ``k`` rows of a chunk a
     second time, flagged as halo, in the next chunk. One generator over one
     pass of the input (a union would evaluate the input twice)."""
+    keyed = df.withColumn(PK, entity_key(partition))
     chunk = F.floor((F.col(position) - 1) / chunk_rows)
     if k <= 0:
-        return df.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
+        return keyed.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
     tail = F.pmod(F.col(position) - 1, F.lit(chunk_rows)) >= chunk_rows - k
     copies = F.when(tail, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h")),
                                   F.struct((chunk + 1).alias("c"), F.lit(True).alias("h")))) \
         .otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h"))))
-    return (df.select("*", F.explode(copies).alias("_copy"))
+    return (keyed.select("*", F.explode(copies).alias("_copy"))
             .select("*", F.col("_copy.c").alias("_chunk"), F.col("_copy.h").alias("_halo")).drop("_copy"))
 
 
+def _carry(local: DataFrame, position: str, value: str, how: str) -> DataFrame:
+    """Per chunk, the combination of ``value`` at the last row of every
+    earlier chunk of the entity: running total (``sum``) or last non-null
+    (``last``). Read off the window output, over the small (key, chunk) table."""
+    # The whole last row is taken (then one field read), so column pruning
+    # leaves this branch's input identical to the main branch's and the
+    # shuffle under the window is reused instead of recomputed.
+    last_row = F.max_by(F.struct(*[F.col(c) for c in local.columns]), F.col(position))
+    ends = local.groupBy(PK, "_chunk").agg(last_row.getField(value).alias("_end"))
+    earlier = Window.partitionBy(PK).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    combined = F.sum("_end") if how == "sum" else F.last("_end", ignorenulls=True)
+    return ends.select(PK, "_chunk", combined.over(earlier).alias("_carry"))
+
+
+def _add_carried_sum(local: DataFrame, position: str, running: str, out: str) -> DataFrame:
+    joined = local.join(_carry(local, position, running, "sum"), [PK, "_chunk"], "left")
+    total = F.when(F.col("_carry").isNull(), F.col(running)).otherwise(
+        F.col("_carry") + F.coalesce(F.col(running), F.lit(0)))
+    return joined.withColumn(out, total).drop("_carry", running)
+
+
 def lags(df: DataFrame, partition: Sequence[str], position: str, columns: Sequence[str],
          lag_values: Sequence[int], name: str = "{col}_lag_{k}", lag_major: bool = True,
          chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``lag(c, k)`` by position for every column and lag (see ``windows.add_lags``)."""
-    k_max = max(lag_values)
-    if k_max >= chunk_rows:
-        raise ValueError("chunk_rows must exceed the largest lag")
-    both = _with_halo(df, position, chunk_rows, k_max)
-    w = Window.partitionBy(*partition, "_chunk").orderBy(position)
-    pairs = ([(c, k) for k in lag_values for c in columns] if lag_major
-             else [(c, k) for c in columns for k in lag_values])
-    out = both.select("*", *[F.lag(c, k).over(w).alias(name.format(col=c, k=k)) for c, k in pairs])
-    return out.where(~F.col("_halo")).drop("_chunk", "_halo")
+    return window_pass(df, partition, position, lag_columns=columns, lag_values=lag_values,
+                       lag_name=name, lag_major=lag_major, chunk_rows=chunk_rows)
 
 
 def rolling_mean(df: DataFrame, partition: Sequence[str], position: str, column: str,
                  rows: int = 4, out: str | None = None,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Mean of the current row and the ``rows - 1`` before it."""
-    both = _with_halo(df, position, chunk_rows, rows - 1)
-    w = Window.partitionBy(*partition, "_chunk").orderBy(position).rowsBetween(-(rows - 1), 0)
-    res = both.withColumn(out or f"rolling_avg_{column}", F.avg(column).over(w))
-    return res.where(~F.col("_halo")).drop("_chunk", "_halo")
+    return window_pass(df, partition, position, chunk_rows=chunk_rows,
+                       rolling=[(column, rows, out or f"rolling_avg_{column}", None)])
 
 
 def cumulative_sum(df: DataFrame, partition: Sequence[str], position: str, column: str,
                    out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Running sum by position (positions are unique, so RANGE == ROWS)."""
-    out = out or f"cumulative_{column}"
-    w = Window.partitionBy(*partition, "_chunk").orderBy(position)
-    local = _chunked(df, position, chunk_rows).withColumn("_local", F.sum(column).over(w))
-    # Chunk totals come from the windowed frame: same partitioning, so the
-    # input is shuffled and evaluated once for both uses.
-    totals = local.groupBy(*partition, "_chunk").agg(F.sum(column).alias("_total"))
-    offsets = totals.select(*partition, "_chunk", F.sum("_total").over(
-        Window.partitionBy(*partition).orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))
-    joined = join_null_safe(local, offsets, [*partition, "_chunk"], "left")
-    total = F.when(F.col("_offset").isNull(), F.col("_local")).otherwise(
-        F.col("_offset") + F.coalesce(F.col("_local"), F.lit(0)))
-    return joined.withColumn(out, total).drop("_chunk", "_local", "_offset")
+    return window_pass(df, partition, position, chunk_rows=chunk_rows,
+                       cumulative=[(column, out or f"cumulative_{column}", None)])
 
 
 def forward_fill(df: DataFrame, partition: Sequence[str], position: str, column: str,
                  out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Last non-null ``column`` value up to and including the row."""
     out = out or column
-    w = Window.partitionBy(*partition, "_chunk").orderBy(position)
-    local = _chunked(df, position, chunk_rows).withColumn("_ff", F.last(column, ignorenulls=True).over(w))
-    last_in_chunk = local.groupBy(*partition, "_chunk").agg(
-        F.max_by(F.col(column), F.when(F.col(column).isNotNull(), F.col(position))).alias("_last"))
-    carried = last_in_chunk.select(*partition, "_chunk", F.last("_last", ignorenulls=True).over(
-        Window.partitionBy(*partition).orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    joined = join_null_safe(local, carried, [*partition, "_chunk"], "left")
-    return joined.withColumn(out, F.coalesce("_ff", "_carry")).drop("_chunk", "_ff", "_carry")
+    local = _chunked(df, partition, position, chunk_rows).withColumn(
+        "_ff", F.last(column, ignorenulls=True).over(_spec(position)))
+    joined = local.join(_carry(local, position, "_ff", "last"), [PK, "_chunk"], "left")
+    return joined.withColumn(out, F.coalesce("_ff", "_carry")).drop(PK, "_chunk", "_ff", "_carry")
 
 
 def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
@@ -127,8 +139,8 @@ def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
     k = max([*lag_values, *[r[1] - 1 for r in rolling], 0])
     if k >= chunk_rows:
         raise ValueError("chunk_rows must exceed the longest lag or frame")
-    both = _with_halo(df, position, chunk_rows, k)
-    w = Window.partitionBy(*partition, "_chunk").orderBy(position)
+    both = _with_halo(df, partition, position, chunk_rows, k)
+    w = _spec(position)
     pairs = ([(c, v) for v in lag_values for c in lag_columns] if lag_major
              else [(c, v) for c in lag_columns for v in lag_values])
     cols = [F.lag(c, v).over(w).alias(lag_name.format(col=c, k=v)) for c, v in pairs]
@@ -140,17 +152,8 @@ def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
     own = ~F.col("_halo")
     for c, out, cond in cumulative:
         value = F.when(own, cond_value(c, cond))
-        cols.append(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_local_{out}"))
-        cols.append(value.alias(f"_value_{out}"))
+        cols.append(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run_{out}"))
     res = both.select("*", *cols).where(own)
     for c, out, cond in cumulative:
-        totals = res.groupBy(*partition, "_chunk").agg(F.sum(f"_value_{out}").alias("_total"))
-        offsets = totals.select(*partition, "_chunk", F.sum("_total").over(
-            Window.partitionBy(*partition).orderBy("_chunk")
-            .rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))
-        res = join_null_safe(res, offsets, [*partition, "_chunk"], "left")
-        local = F.col(f"_local_{out}")
-        res = res.withColumn(out, F.when(F.col("_offset").isNull(), local)
-                             .otherwise(F.col("_offset") + F.coalesce(local, F.lit(0))))
-        res = res.drop("_offset", f"_local_{out}", f"_value_{out}")
-    return res.drop("_chunk", "_halo")
+        res = _add_carried_sum(res, position, f"_run_{out}", out)
+    return res.drop(PK, "_chunk", "_halo")

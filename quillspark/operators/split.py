@@ -31,30 +31,25 @@ def _numeric(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL, as window partitions
-    group them. Still planned as a hash/sort-merge join on the keys."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
                  out: str = "row_pos", chunks: int = 64, accuracy: int = 10000) -> DataFrame:
     """1-based position of each row in ``order`` within ``partition``
-    (ties in the full order are broken arbitrarily, as ``row_number``)."""
+    (ties in the full order are broken arbitrarily, as ``row_number``).
+
+    The partition columns travel as one struct key (NULL-safe in equi-joins),
+    so the (key, range) partitioning of the window is reused by the offset
+    join, and range sizes are read off the window output.
+    """
     lead = order[0]
-    keyed = df.withColumn("_lead", _numeric(F.col(lead), dict(df.dtypes)[lead]))
+    keyed = df.withColumn("_lead", _numeric(F.col(lead), dict(df.dtypes)[lead])) \
+        .withColumn("_pk", F.struct(*partition) if partition else F.lit(0))
     fractions = [i / chunks for i in range(1, chunks)]
     if fractions and partition:
-        cuts = keyed.groupBy(*partition).agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
+        cuts = keyed.groupBy("_pk").agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
         # NULL cuts (a partition whose lead values are all NULL) and NULL
         # leads (sorted first) both fall in range 0.
         chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_lead"))), F.lit(0))
-        placed = join_null_safe(keyed, cuts, list(partition)).withColumn("_chunk", chunk).drop("_cuts")
+        placed = keyed.join(cuts, "_pk").withColumn("_chunk", chunk).drop("_cuts")
     elif fractions:
         # One global ordering: at most ``chunks - 1`` sampled cut points, the
         # same bounded sample a range partitioner takes.
@@ -66,15 +61,14 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     else:
         placed = keyed.withColumn("_chunk", F.lit(0))
     local = placed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*partition, "_chunk").orderBy(*order)))
-    # Sizes from the windowed frame reuse its shuffle instead of a new pass.
-    sizes = local.groupBy(*partition, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(*partition, "_chunk", F.coalesce(F.sum("_size").over(
-        Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
+        "_local", F.row_number().over(Window.partitionBy("_pk", "_chunk").orderBy(*order)))
+    sizes = local.groupBy("_pk", "_chunk").agg(F.max("_local").alias("_size"))
+    offsets = sizes.select("_pk", "_chunk", F.coalesce(F.sum("_size").over(
+        Window.partitionBy("_pk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))
-    return (join_null_safe(local, offsets, [*partition, "_chunk"])
+    return (local.join(offsets, ["_pk", "_chunk"])
             .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_lead", "_chunk", "_local", "_offset"))
+            .drop("_lead", "_pk", "_chunk", "_local", "_offset"))
 
 
 def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
