@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point_mean, pct_change
 from ..session import materialize
-from .windows import add_lags
+from .windows import add_lags, global_lag
 
 
 def weekly_market(series: DataFrame, ts: str, value: str, out: str = "avg_weekly_close",
@@ -33,8 +33,7 @@ def weekly_market(series: DataFrame, ts: str, value: str, out: str = "avg_weekly
     mean = fixed_point_mean(value, decimals) if decimals is not None else F.avg(value)
     weekly = series.groupBy(F.year(ts).alias("year"), F.weekofyear(ts).alias("week_of_year")).agg(
         mean.alias(out))
-    w = Window.orderBy("year", "week_of_year")
-    lagged = weekly.select("*", F.lag(out, 1).over(w).alias(f"{out}_lag_1"))
+    lagged = global_lag(weekly, ["year", "week_of_year"], out, 1, f"{out}_lag_1")
     return lagged.withColumn(change, pct_change(out, f"{out}_lag_1")).na.fill(0)
 
 
