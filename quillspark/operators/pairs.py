@@ -54,9 +54,10 @@ def recommend(ratings: DataFrame, user: str, item: str, target, liked: Column |
     holders = (likes.where(F.col("item") == F.lit(target))
                .groupBy("user").agg(F.count(F.lit(1)).alias("t_n")))
     other = F.col("item") != F.lit(target) if symmetric else F.col("item") < F.lit(target)
-    per_user_item = likes.where(other).groupBy("user", "item").agg(F.count(F.lit(1)).alias("c"))
-    scores = (per_user_item.join(holders, "user")
-              .groupBy("item").agg(F.sum(F.col("c") * F.col("t_n")).alias("rec_score"))
+    # Each liked (user, item) row contributes the user's target count:
+    # sum over rows = sum over users of c(u, m) * c(u, target).
+    scores = (likes.where(other).join(holders, "user")
+              .groupBy("item").agg(F.sum("t_n").alias("rec_score"))
               .select(F.col("item").alias("recommended_item"), "rec_score"))
     if k is None:
         return scores
