@@ -2,8 +2,11 @@
 
 Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
 the whole tables. Computed columns carry the same names as the DuckDB
-oracle statements in ``oracle.py``; doubles are rounded where two engines
-could differ in the last bits.
+oracle statements in ``oracle.py``. Doubles are exact where the arithmetic
+allows it (fixed-point money means, ratios of integer counts, means of
+integer sums), so they do not depend on partial-sum order; only inherently
+inexact statistics (deviations, correlations, t, r2, MAPE, rolling and
+running sums of floating values) are rounded.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from ..functions.parsing import (cast_columns, digits_only, in_list_flag, int_te
                                  safe_timestamp)
 from ..functions.time import month_label, next_week
 from ..operators import aggregates as agg
+from ..operators import segmented
 from ..operators.features import weekly_features, weekly_market
 from ..operators.folds import walk_forward_folds
 from ..operators.lines import label_mean_by_year, merge_lines, text_lines, words_of
@@ -24,7 +28,6 @@ from ..operators.metrics import group_error, regression_metrics
 from ..operators.pairs import pair_counts, recommend
 from ..operators.split import balanced_parts, row_position
 from ..operators.stats import pair_correlation, pooled_t_test, two_period_counts, two_period_summary
-from ..operators import segmented
 from ..operators.windows import carry_previous_block
 from ..session import materialize
 from ..sources.tables import Tables, spread
