@@ -44,3 +44,24 @@ def test_random_split_is_seeded(spark):
     b, _ = models.split(df)
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert random.Random(0).random() >= 0
+
+
+def test_linear_model_metrics_against_numpy(spark):
+    from pyspark.sql import functions as F
+
+    from quillspark.session import materialize
+
+    wf = materialize(q.weekly_features_frame(spark, SF_SMALL).withColumn(
+        "total_orders", F.col("total_orders").cast("double")))
+    train, test = models.split(wf)
+    train, test = materialize(train), materialize(test)
+    pred = models.fit_pipeline(train, bindings.WEEKLY_INPUTS, "total_orders", "lr").transform(test)
+    got = pred.select(F.sqrt(F.avg((F.col("total_orders") - F.col("prediction")) ** 2))).first()[0]
+    tr = np.array([[r[c] for c in bindings.WEEKLY_INPUTS] + [r["total_orders"]] for r in train.collect()], float)
+    te = np.array([[r[c] for c in bindings.WEEKLY_INPUTS] + [r["total_orders"]] for r in test.collect()], float)
+    X = np.column_stack([np.ones(len(tr)), tr[:, :-1]])
+    if np.linalg.matrix_rank(X) < X.shape[1]:
+        return  # collinear inputs: least-squares solutions differ off the training rows
+    beta = np.linalg.lstsq(X, tr[:, -1], rcond=None)[0]
+    ref = np.sqrt(np.mean((te[:, -1] - np.column_stack([np.ones(len(te)), te[:, :-1]]) @ beta) ** 2))
+    assert abs(got - ref) < 1e-6 * max(1.0, ref)

@@ -44,3 +44,31 @@ def test_rows_only_queries_run(spark):
     for key in ("two_period_pvalue", "lr_metrics", "walk_forward_glm"):
         assert entry.queries()[key](spark, SF_SMALL).count() > 0
     assert SF_CHECK.endswith("0.01")
+
+
+def test_two_period_pvalue_against_brute_force(spark, duck):
+    import math
+
+    import numpy as np
+
+    import __spark_entry__ as entry
+    from quillspark.plans import queries as q
+    from test_operators import _t_two_sided_p
+
+    (a, b), (c, d) = q.FIRST_PERIOD, q.SECOND_PERIOD
+    rows = duck.execute(f"""
+        SELECT c.c_nationkey,
+               count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '{a}' AND o_orderdate < TIMESTAMP '{b}'),
+               count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '{c}' AND o_orderdate < TIMESTAMP '{d}')
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        WHERE (o_orderdate >= TIMESTAMP '{a}' AND o_orderdate < TIMESTAMP '{b}')
+           OR (o_orderdate >= TIMESTAMP '{c}' AND o_orderdate < TIMESTAMP '{d}')
+        GROUP BY 1""").fetchall()
+    x = np.array([r[1] for r in rows], float)
+    y = np.array([r[2] for r in rows], float)
+    n = len(x)
+    t = (x.mean() - y.mean()) / math.sqrt((x.var(ddof=1) + y.var(ddof=1)) / n)
+    got = entry.queries()["two_period_pvalue"](spark, SF_SMALL).first()
+    assert got["n_keys"] == n and got["dof"] == 2 * n - 2
+    assert abs(got["t_stat"] - t) < 1e-9 * max(1.0, abs(t))
+    assert abs(got["p_value"] - _t_two_sided_p(t, 2 * n - 2)) < 1e-9
