@@ -32,9 +32,12 @@ def _numeric(c: Column, dtype: str) -> Column:
 
 
 def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
-                 out: str = "row_pos", chunks: int = 64, accuracy: int = 10000) -> DataFrame:
+                 out: str = "row_pos", chunks: int = 64, accuracy: int = 10000,
+                 total: str | None = None) -> DataFrame:
     """1-based position of each row in ``order`` within ``partition``
     (ties in the full order are broken arbitrarily, as ``row_number``).
+    ``total`` names an optional column with the row count of the row's
+    partition, read off the same small range table (no extra pass).
 
     The partition columns travel as one struct key (NULL-safe in equi-joins),
     so the (key, range) partitioning of the window is reused by the offset
@@ -65,10 +68,12 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     sizes = local.groupBy("_pk", "_chunk").agg(F.max("_local").alias("_size"))
     offsets = sizes.select("_pk", "_chunk", F.coalesce(F.sum("_size").over(
         Window.partitionBy("_pk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_offset"))
-    return (local.join(offsets, ["_pk", "_chunk"])
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_lead", "_pk", "_chunk", "_local", "_offset"))
+        F.lit(0)).alias("_offset"), F.sum("_size").over(Window.partitionBy("_pk")).alias("_total"))
+    res = (local.join(offsets, ["_pk", "_chunk"])
+           .withColumn(out, F.col("_offset") + F.col("_local")))
+    if total:
+        res = res.withColumn(total, F.col("_total"))
+    return res.drop("_lead", "_pk", "_chunk", "_local", "_offset", "_total")
 
 
 def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
@@ -85,7 +90,7 @@ def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
 
 def balanced_parts(df: DataFrame, order: Sequence[str], parts: int, out: str = "part",
                    chunks: int = 64) -> DataFrame:
-    """Tag every row with its contiguous balanced part."""
-    total = F.lit(df.count())
-    return row_position(df, order, out="_pos", chunks=chunks) \
-        .withColumn(out, ntile_part("_pos", total, parts)).drop("_pos")
+    """Tag every row with its contiguous balanced part (the row total
+    comes with the positions, so no separate counting pass)."""
+    return row_position(df, order, out="_pos", chunks=chunks, total="_n") \
+        .withColumn(out, ntile_part("_pos", F.col("_n"), parts)).drop("_pos", "_n")
