@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point_mean, pct_change
 from ..session import materialize
+from .split import row_position
 from .windows import add_lags, global_lag
 
 
@@ -37,16 +38,24 @@ def weekly_market(series: DataFrame, ts: str, value: str, out: str = "avg_weekly
     return lagged.withColumn(change, pct_change(out, f"{out}_lag_1")).na.fill(0)
 
 
-def frequency_index(df: DataFrame, key: str, weight: str | None = None, out: str | None = None) -> DataFrame:
+def frequency_index(df: DataFrame, key: str, weight: str | None = None, out: str | None = None,
+                    ranged: bool = False) -> DataFrame:
     """L3: ``StringIndexer`` order as a column: 0 for the most frequent key,
-    ties alphabetical. ``weight`` sums pre-aggregated row counts."""
+    ties alphabetical. ``weight`` sums pre-aggregated row counts.
+
+    The rank runs on the one-row-per-key table, never on fact rows. By
+    default that is one window (key sets are dimension-sized, like the
+    weekly series); ``ranged=True`` ranks it with range-chunked positions
+    (``split.row_position``) for key sets too large for one task.
+    """
     out = out or f"{key}Index"
     freq = df.groupBy(key).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_f"))
-    # One row per key (a dimension-sized table, like the weekly series): the
-    # ranking window runs on it alone, never on the fact rows. For key sets
-    # too large for one task, ``split.row_position`` ranks it in ranges.
-    ranked = freq.select(key, (F.row_number().over(Window.orderBy(F.desc("_f"), F.asc(key))) - 1)
-                         .cast("double").alias(out))
+    if ranged:
+        ranked = row_position(freq.withColumn("_neg_f", -F.col("_f")), ["_neg_f", key], out="_pos") \
+            .select(key, (F.col("_pos") - 1).cast("double").alias(out))
+    else:
+        ranked = freq.select(key, (F.row_number().over(Window.orderBy(F.desc("_f"), F.asc(key))) - 1)
+                             .cast("double").alias(out))
     return df.join(ranked, key)
 
 

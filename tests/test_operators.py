@@ -275,3 +275,14 @@ def test_weekly_features_options(spark):
     assert all(exact[k]["n_cust"] == approx[k]["n_cust"] for k in exact)        # tiny sets: HLL is exact
     only_a = weekly_features(facts, market, demo, fact_filter=F.col("cls") == "A", **args).collect()
     assert all(r["n_b"] == 0 and r["total"] == 0 for r in only_a)             # NULL class total -> total 0
+
+
+def test_frequency_index_ranged_equals_window(spark):
+    from quillspark.operators.features import frequency_index
+
+    rnd = random.Random(12)
+    rows = [(f"k{rnd.randint(0, 60):02d}",) for _ in range(800)]
+    df = spark.createDataFrame(rows, "k string")
+    a = {r["k"]: r["kIndex"] for r in frequency_index(df, "k").select("k", "kIndex").distinct().collect()}
+    b = {r["k"]: r["kIndex"] for r in frequency_index(df, "k", ranged=True).select("k", "kIndex").distinct().collect()}
+    assert a == b and sorted(a.values()) == [float(i) for i in range(len(a))]
