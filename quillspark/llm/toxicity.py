@@ -24,8 +24,10 @@ from .words import Powers, chunks, flat, scramble, spans
 BITS = 20  # coordinates are 2 ** BITS
 PART_ROWS = 8192  # labelled rows learned by one task
 MOST_ROWS = 65536  # labelled rows learned at most
-EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.7, 1.0
+EPOCHS = 6
+ALPHA, BETA = 8.0, 1.0  # rate per coordinate: ALPHA / (BETA + root of its squared gradients)
+L1_PER_ROW = 6e-4  # sparsity; it grows with the rows that a task learns
+LEAST_SEEN = 3  # rows of a task that must hold a coordinate
 PREDICT = 0.7
 
 # Word characters: letters, digits and all bytes of other scripts.
@@ -56,13 +58,13 @@ class Ftrl:
     """FTRL-proximal with binary features; coordinate 0 is the bias, which is
     not thinned."""
 
-    def __init__(self, size: int):
-        self.z, self.n = np.zeros(size + 1), np.zeros(size + 1)
+    def __init__(self, size: int, l1: float):
+        self.z, self.n, self.l1 = np.zeros(size), np.zeros(size), l1
 
     def weights(self, i: np.ndarray) -> np.ndarray:
         z = self.z[i]
-        l1 = np.where(i == 0, 0.0, L1)
-        w = -(z - np.sign(z) * l1) / ((BETA + np.sqrt(self.n[i])) / ALPHA + L2)
+        l1 = np.where(i == 0, 0.0, self.l1)
+        w = -(z - np.sign(z) * l1) / (BETA + np.sqrt(self.n[i])) * ALPHA
         return np.where(np.abs(z) <= l1, 0.0, w)
 
     def learn(self, i: np.ndarray, label: int) -> None:
@@ -74,7 +76,7 @@ class Ftrl:
 
 
 def _train_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    powers, rows = Powers(), []
+    powers, rows, mask = Powers(), [], (1 << BITS) - 1
     pdf = pdf.sort_values(["part", "label", "text"], kind="stable")
     data, bounds = flat(pa.array(pdf["text"].fillna("").tolist(), pa.large_string()))
     for first, last in chunks(bounds):
@@ -82,14 +84,19 @@ def _train_part(pdf: pd.DataFrame) -> pd.DataFrame:
         i, of = grams(data[low:bounds[last]], bounds[first:last + 1] - low, powers, BITS)
         pairs = np.unique(of * (1 << BITS) + i)
         cut = np.searchsorted(pairs, np.arange(last - first + 1) << BITS)
-        rows += [np.concatenate([[0], (pairs[a:b] & ((1 << BITS) - 1)) + 1]).astype(np.int32)
-                 for a, b in zip(cut, cut[1:])]
-    model, labels = Ftrl(1 << BITS), pdf["label"].tolist()
+        rows += [(pairs[a:b] & mask).astype(np.int32) for a, b in zip(cut, cut[1:])]
+    seen = np.zeros(1 << BITS, dtype=np.int32)
+    for i in rows:
+        seen[i] += 1
+    place = np.cumsum(seen >= LEAST_SEEN)  # from 1: the bias comes first
+    rows = [np.append(0, place[i[seen[i] >= LEAST_SEEN]]) for i in rows]
+    model, labels = Ftrl(int(place[-1]) + 1, L1_PER_ROW * len(rows)), pdf["label"].tolist()
     for _ in range(EPOCHS):
         for i, label in zip(rows, labels):
             model.learn(i, label)
-    seen = np.flatnonzero(model.n)
-    return pd.DataFrame({"i": seen.astype(np.int32), "w": model.weights(seen), "n": model.n[seen]})
+    every = np.arange(len(model.z))
+    return pd.DataFrame({"i": np.append(0, np.flatnonzero(seen >= LEAST_SEEN) + 1).astype(np.int32),
+                         "w": model.weights(every), "n": model.n})
 
 
 def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +107,8 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     found = rows.withColumn("task", part).groupBy("task").applyInPandas(
         lambda pdf: _train_part(pdf), "i int, w double, n double")
     # A part without evidence on a coordinate has no say on it.
-    mixed = found.groupBy("i").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")) \
-        .where("w <> 0").toPandas().sort_values("i")
+    mixed = found.where("n > 0").groupBy("i") \
+        .agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).where("w <> 0").toPandas().sort_values("i")
     return mixed["i"].to_numpy(np.int64), mixed["w"].to_numpy()
 
 
