@@ -123,8 +123,9 @@ def rerank(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     Counts are partial sums; the rows of a frequent core meet its count in a
     join that may be split, never in one group.
     """
-    often = rows.groupBy("core").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    alive = stored(rows.join(often.select("core"), "core"))
+    often = stored(rows.groupBy("core").agg(F.count(F.lit(1)).alias("times"))
+                   .where("times > 1").select("core"))
+    alive = stored(rows.join(often, "core"))
     one = F.min(F.struct("id", "hash", "block", "at", "n", "back")).alias("one")
     classes = stored(alive.groupBy("core", "context").agg(F.count(F.lit(1)).alias("times"), one))
     whole = alive.join(classes.where("times > 1").select("core", "context"), ["core", "context"])
