@@ -38,12 +38,12 @@ def equal_width_bin(value: str | Column, low: str | Column, high: str | Column,
     """Left-closed equal-width bin label 0..bins-1 over [low, high].
 
     The maximum belongs to the last bin. A constant column (high == low)
-    puts every value in bin 0.
+    is widened to both sides, so every value falls in the middle bin.
     """
     v, lo, hi = _c(value), _c(low), _c(high)
     width = (hi - lo) / bins
     raw = F.floor(F.try_divide(v - lo, width)).cast("int")
-    return F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
+    return F.when(hi == lo, F.lit(bins // 2)).otherwise(F.least(raw, F.lit(bins - 1)))
 
 
 def abs_pct_error(label: str | Column, prediction: str | Column) -> Column:

@@ -27,9 +27,40 @@ WEEKLY_INPUTS = (["entity_index", "year", "week_of_year", "avg_weekly_close", "w
 BAR_EXCLUDED = ("time_stamp", "bar_num", "direction", "trade_id", "id", "month", "profit", "avg_profit")
 
 
+def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(q.weekly_features_frame(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double")))
+
+
 def _weekly_split(spark: SparkSession, sf_dir: str):
-    wf = materialize(q.weekly_features_frame(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double")))
-    return models.split(wf)
+    return models.split(_weekly(spark, sf_dir))
+
+
+def _key_split(weekly: DataFrame):
+    key = F.col("entity").cast("int") * 7 + F.col("year") * 53 + F.col("week_of_year")
+    return models.key_split(weekly, key)
+
+
+def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three models over one checkpointed split by key: rows on
+    either side, and whether the test error is below that of the train mean."""
+    train, test = _key_split(_weekly(spark, sf_dir))
+    n_train, mean = train.agg(F.count(F.lit(1)), F.avg(LABEL)).first()
+    rows = []
+    for name in ("rf", "gbt", "lr"):
+        pred = models.fit_pipeline(train, WEEKLY_INPUTS, LABEL, name).transform(test)
+        n, error, base = pred.agg(F.count(F.lit(1)), F.sum((F.col(LABEL) - F.col("prediction")) ** 2),
+                                  F.sum((F.col(LABEL) - F.lit(mean)) ** 2)).first()
+        rows.append((name, n_train, n, error < base))
+    return spark.createDataFrame(rows, "model string, n_train long, n_test long, beats_mean boolean")
+
+
+def linear_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares of one input, which SQL can check."""
+    train, _ = _key_split(_weekly(spark, sf_dir))
+    fitted = models.fit_pipeline(train, [f"{LABEL}_lag_1"], LABEL, "lr").stages[-1]
+    return spark.createDataFrame(
+        [(train.count(), round(float(fitted.coefficients[0]), 6), round(float(fitted.intercept), 6))],
+        "n_train long, slope double, intercept double")
 
 
 def _model_metrics(name: str):
@@ -54,9 +85,10 @@ def model_group_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 def next_week_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest trained on the split's training part, applied to
     the synthesised next-week rows."""
-    train, _ = _weekly_split(spark, sf_dir)
+    weekly = _weekly(spark, sf_dir)
+    train, _ = models.split(weekly)
     model = models.fit_pipeline(train, WEEKLY_INPUTS, LABEL, "rf")
-    nxt = q.next_period_rows(spark, sf_dir)
+    nxt = q.next_period_of(weekly, q.Tables(spark, sf_dir).orders, "o_orderdate")
     return model.transform(nxt).select("entity", "year", "week_of_year",
                                        F.col("prediction").alias("predicted_total"))
 
@@ -71,6 +103,8 @@ def walk_forward_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "model_checks": model_checks,
+    "linear_one_input": linear_one_input,
     "rf_metrics": _model_metrics("rf"),
     "gbt_metrics": _model_metrics("gbt"),
     "lr_metrics": _model_metrics("lr"),

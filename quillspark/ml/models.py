@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.folds import fold_membership, month_index
@@ -41,8 +41,10 @@ def regressor(name: str, features: str = "features", label: str = "label", seed:
 
 def fit_pipeline(train: DataFrame, inputs: Sequence[str], label: str, name: str,
                  seed: int = SEED) -> PipelineModel:
-    """``VectorAssembler`` + estimator as one pipeline."""
-    assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
+    """``VectorAssembler`` + estimator as one pipeline; rows with a
+    missing input take no part."""
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol="features",
+                                handleInvalid="skip")
     return Pipeline(stages=[assembler, regressor(name, label=label, seed=seed)]).fit(train)
 
 
@@ -60,60 +62,21 @@ def evaluate(pred: DataFrame, label: str, prediction: str = "prediction",
     return regression_metrics(pred, label, prediction, subsets)
 
 
-def grouped_least_squares(df: DataFrame, group: str, inputs: Sequence[str], label: str) -> dict:
-    """Ordinary least squares with intercept for every group in one pass.
-
-    The sufficient statistics (n, sums of x, x*x' and x*y per group) are a
-    single ``groupBy(group)`` aggregate with map-side partial sums, the same
-    statistics Spark's weighted least squares solver aggregates for one
-    model. Each group's (d+1) x (d+1) system is solved on the driver after
-    standardising the features; zero-variance features get coefficient 0.
-    Returns {group: (intercept, [coef per input])}. The gaussian/identity
-    GLM without regularisation has exactly this solution.
-    """
-    import numpy as np
-
-    x = [F.col(c).cast("double") for c in inputs]
-    y = F.col(label).cast("double")
-    d = len(x)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
-    aggs += [F.sum(x[i]).alias(f"sx{i}") for i in range(d)]
-    aggs += [F.sum(x[i] * y).alias(f"sxy{i}") for i in range(d)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"sxx{i}_{j}") for i in range(d) for j in range(i, d)]
-    out = {}
-    for r in df.where(y.isNotNull()).groupBy(group).agg(*aggs).collect():
-        n = float(r["n"])
-        mx = np.array([r[f"sx{i}"] for i in range(d)]) / n
-        my = r["sy"] / n
-        cov = np.empty((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                cov[i, j] = cov[j, i] = r[f"sxx{i}_{j}"] / n - mx[i] * mx[j]
-        cxy = np.array([r[f"sxy{i}"] / n - mx[i] * my for i in range(d)])
-        sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-        live = sd > 1e-12 * np.maximum(1.0, np.abs(mx))
-        coef = np.zeros(d)
-        if live.any():
-            s_ = sd[live]
-            corr = cov[np.ix_(live, live)] / np.outer(s_, s_)
-            beta_std = np.linalg.lstsq(corr, cxy[live] / s_, rcond=None)[0]
-            coef[live] = beta_std / s_
-        out[r[group]] = (float(my - mx @ coef), [float(c) for c in coef])
-    return out
+def key_split(df: DataFrame, key: Column, folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Rows whose integer key is divisible by ``folds`` test, the others
+    train; the same rows on every run and engine."""
+    return df.where(key % folds != 0), df.where(key % folds == 0)
 
 
 def walk_forward(df: DataFrame, month: str, inputs: Sequence[str], label: str,
-                 train: int = 6, step: int = 6, name: str = "glm",
-                 engine: str = "grouped") -> list[tuple]:
+                 train: int = 6, step: int = 6, name: str = "glm") -> list[tuple]:
     """Rolling-origin evaluation over calendar months.
 
-    The input is materialised once; the fold table comes from
-    ``folds.fold_membership`` (array functions per month, no driver loop)
-    and is joined to the rows. ``engine="grouped"`` (gaussian/identity GLM
-    only) fits every fold from one grouped aggregate and scores all test
-    rows in one more pass: coefficients per fold are a folds x inputs table
-    joined on the fold id. ``engine="spark_ml"`` fits one Spark ML pipeline
-    per fold. Returns (fold, train_start, train_end, test_month, mape).
+    The input is checkpointed once; the fold table comes from
+    ``folds.fold_membership`` (array functions per month) and is joined to the
+    rows. Each fold is one Spark ML pipeline; rows with a missing input are
+    left out of fitting and scoring. The driver sees one row per fold.
+    Returns (fold, train_start, train_end, test_month, mape).
     """
     data = materialize(df)
     months = month_index(data, month)
@@ -125,21 +88,9 @@ def walk_forward(df: DataFrame, month: str, inputs: Sequence[str], label: str,
         F.max(F.when(F.col("role") == "train", F.col(month))).alias("train_end"),
         F.max(F.when(F.col("role") == "test", F.col(month))).alias("test_month"))
         .orderBy("fold").collect())
-    if engine == "grouped" and name == "glm":
-        fits = grouped_least_squares(tagged.where(F.col("role") == "train"), "fold", inputs, label)
-        spark = df.sparkSession
-        coefs = spark.createDataFrame([(f, b0, b) for f, (b0, b) in fits.items()],
-                                      "fold int, b0 double, b array<double>")
-        pred = F.col("b0") + sum(F.col("b")[i] * F.col(c).cast("double") for i, c in enumerate(inputs))
-        scored = (tagged.where(F.col("role") == "test").join(coefs, "fold")
-                  .select("fold", F.col(label), pred.alias("prediction")))
-        mape = {r["fold"]: r["mape"] for r in scored.groupBy("fold").agg(
-            regression_metric_columns(label, "prediction")[-1]).collect()}
-        return [(int(f["fold"]), f["train_start"], f["train_end"], f["test_month"], mape.get(f["fold"]))
-                for f in folds]
     out = []
     for f in folds:
-        in_fold = tagged.where(F.col("fold") == f["fold"])
+        in_fold = tagged.where(F.col("fold") == f["fold"]).dropna(subset=[label])
         model = fit_pipeline(in_fold.where(F.col("role") == "train"), inputs, label, name)
         p = model.transform(in_fold.where(F.col("role") == "test"))
         mape = p.select(regression_metric_columns(label, "prediction")[-1]).first()[0]

@@ -42,11 +42,6 @@ def max_by_key(df: DataFrame, key: str | Sequence[str], value: str, out: str = "
             .groupBy(*keys).agg(F.max(value).alias(out)))
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "avg_value") -> DataFrame:
-    """unweighted mean of ``value`` per key."""
-    return df.groupBy(*keys).agg(F.avg(value).alias(out))
-
-
 def _rate_aggs(id_col: str, flag_col: str, digits: int | None) -> list[Column]:
     total = F.count(F.col(id_col))
     flagged = F.sum(F.col(flag_col))

@@ -17,13 +17,13 @@ from .aggregates import latest_per_key
 
 def message_table(raw: DataFrame, path: str = "path", text: str = "text",
                   put_order: str | None = None) -> DataFrame:
-    """A8 + B8: parse messages and keep one row per key (greatest
-    ``put_order``; the parsed timestamp when not given)."""
-    parsed = parse_messages(raw, path, text)
+    """A8 + B8: parse messages and keep one row per key: the greatest
+    ``put_order``, a column of ``raw`` that each message carries along (the
+    parsed timestamp when not given)."""
     if put_order is not None:
-        parsed = parsed.join(raw.select(F.regexp_extract(path, r"([^/]+/[^/]+)$", 1).alias("row_key"),
-                                        F.col(put_order).alias("_order")), "row_key")
-        return latest_per_key(parsed, "row_key", "_order").drop("_order")
+        parsed = parse_messages(raw, path, text, keep=[put_order])
+        return latest_per_key(parsed, "row_key", put_order).drop(put_order)
+    parsed = parse_messages(raw, path, text)
     return latest_per_key(parsed.withColumn("_v", version_order(parsed, "ts")), "row_key", "_v").drop("_v")
 
 
@@ -49,16 +49,14 @@ def message_condition(recipient: str | None = None, date_substring: str | None =
 
 def scan_latest(parsed: DataFrame, cond, key: str = "row_key", order: str = "ts",
                 columns: tuple[str, ...] = ("row_key", "recipient", "date_text", "body")) -> DataFrame:
-    """D8-D10 over the keyed table without building it: the latest version of
-    every key is found from (key, order, content hash) alone, the predicate
-    is applied to the parsed rows, and a matching row is kept only if it is
-    its key's latest version. Same rows as filtering ``message_table``, but
-    only matching bodies are shuffled."""
-    tagged = parsed.withColumn("_v", version_order(parsed, order))
-    latest = tagged.groupBy(key).agg(F.max("_v").alias("_latest"))
-    hits = tagged.where(cond)
-    joined = hits.join(latest, key).where(F.col("_v") == F.col("_latest"))
-    return joined.dropDuplicates([key]).select(*columns)
+    """D8-D10 over the keyed table without building it: one pass and one
+    grouping by key keep, of the latest version, whether it matches and, only
+    if it does, the columns asked for. Same rows as filtering
+    ``message_table``, but bodies that do not match are never shuffled."""
+    hit = F.coalesce(cond, F.lit(False))
+    found = F.struct(hit.alias("hit"), F.when(hit, F.struct(*columns)).alias("row"))
+    latest = parsed.groupBy(key).agg(F.max_by(found, version_order(parsed, order)).alias("m"))
+    return latest.where("m.hit").select("m.row.*")
 
 
 def filter_messages(table: DataFrame, recipient: str | None = None, date_substring: str | None = None,

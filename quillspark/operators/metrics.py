@@ -60,13 +60,6 @@ def group_error(pred: DataFrame, label: str, prediction: str, sensitive: str,
         _r(F.avg("_se"), digits).alias("mse"), F.count(F.lit(1)).alias("n"))
 
 
-def fold_summary(folds: DataFrame, metric: str = "mape", digits: int = 2) -> DataFrame:
-    """mean, max and min of a per-fold metric, rounded."""
-    return folds.agg(F.round(F.avg(metric), digits).alias(f"mean_{metric}"),
-                     F.round(F.max(metric), digits).alias(f"max_{metric}"),
-                     F.round(F.min(metric), digits).alias(f"min_{metric}"))
-
-
 def feature_columns(columns: Sequence[str], exclude: Sequence[str]) -> list[str]:
     """Every column not in the exclusion set, in frame order."""
     skip = set(exclude)

@@ -27,19 +27,22 @@ def pair_counts(ratings: DataFrame, user: str, item: str, liked: Column | None =
                 max_items: int = 2000) -> DataFrame:
     """``count(*)`` of (m1, m2), m1 < m2, over pairs of liked rows of
     the same user. Duplicate (user, item) rows multiply, as in SQL."""
-    likes = _likes(ratings, user, item, liked)
+    # One row per (user, item) with its count, by partial sums: repeats of a
+    # row never multiply in the join.
+    likes = _likes(ratings, user, item, liked).groupBy("user", "item") \
+        .agg(F.count(F.lit(1)).alias("c"))
     per_user = likes.groupBy("user").agg(F.count(F.lit(1)).alias("n_u"))
     salted = (likes.join(per_user, "user")
               .withColumn("s", F.greatest(F.lit(1), F.ceil(F.col("n_u") / max_items)).cast("int"))
               .withColumn("b", F.pmod(F.xxhash64("item"), F.col("s")).cast("int")))
-    left = salted.select("user", F.col("item").alias("m1"), F.col("b").alias("ba"),
+    left = salted.select("user", F.col("item").alias("m1"), F.col("c").alias("c1"), F.col("b").alias("ba"),
                          F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("bb"))
     right = salted.select(F.col("user").alias("user_r"), F.col("item").alias("m2"),
-                          F.col("b").alias("bb_r"),
+                          F.col("c").alias("c2"), F.col("b").alias("bb_r"),
                           F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("ba_r"))
     joined = left.join(right, (F.col("user") == F.col("user_r")) & (F.col("ba") == F.col("ba_r"))
                        & (F.col("bb") == F.col("bb_r")) & (F.col("m1") < F.col("m2")))
-    return joined.groupBy("m1", "m2").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    return joined.groupBy("m1", "m2").agg(F.sum(F.col("c1") * F.col("c2")).alias("pair_cnt"))
 
 
 def recommend(ratings: DataFrame, user: str, item: str, target, liked: Column | None = None,

@@ -14,9 +14,12 @@ partition; what crosses a chunk boundary is carried explicitly:
 * forward fill: the last non-null value of each chunk -> the last non-null
   of all earlier chunks over the same small table, joined back.
 
-Positions must be consecutive within an entity (a prefix may be missing,
-as after dropping the leading rows of a series). Results equal the plain
-windows exactly.
+Chunks and halos count on consecutive positions. Any position column that
+orders an entity will do: by default rows are numbered anew by it
+(``split.row_position``). ``dense=True`` says that the positions are
+consecutive already (a prefix may be missing, as after dropping the leading
+rows of a series) and saves that sort. Results equal the plain windows
+exactly.
 
 Plan shape: the entity columns are packed into one struct key (never NULL;
 equal structs with NULL fields match), so the window partitioning
@@ -32,6 +35,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .split import row_position
+
 DEFAULT_CHUNK_ROWS = 100_000
 PK = "_pk"
 
@@ -41,6 +46,14 @@ def entity_key(partition: Sequence[str]) -> Column:
     return F.struct(*partition) if partition else F.lit(0)
 
 
+def _numbered(df: DataFrame, partition: Sequence[str], position: str,
+              dense: bool) -> tuple[DataFrame, str]:
+    """The frame and its column of consecutive positions."""
+    if dense:
+        return df, position
+    return row_position(df, [position], partition, out="_dense"), "_dense"
+
+
 def _spec(position: str) -> Window:
     return Window.partitionBy(PK, "_chunk").orderBy(position)
 
@@ -80,51 +93,60 @@ def _carry(local: DataFrame, position: str, value: str, how: str) -> DataFrame:
     return ends.select(PK, "_chunk", combined.over(earlier).alias("_carry"))
 
 
-def _add_carried_sum(local: DataFrame, position: str, running: str, out: str) -> DataFrame:
+def _add_carried_sum(local: DataFrame, position: str, running: str, out: str,
+                     shown: str | None = None) -> DataFrame:
+    """Running total over chunks: the totals (``running`` at their ends) of the
+    earlier ones plus ``shown`` (``running`` itself by default)."""
+    shown = shown or running
     joined = local.join(_carry(local, position, running, "sum"), [PK, "_chunk"], "left")
-    total = F.when(F.col("_carry").isNull(), F.col(running)).otherwise(
-        F.col("_carry") + F.coalesce(F.col(running), F.lit(0)))
-    return joined.withColumn(out, total).drop("_carry", running)
+    total = F.when(F.col("_carry").isNull(), F.col(shown)).otherwise(
+        F.col("_carry") + F.coalesce(F.col(shown), F.lit(0)))
+    return joined.withColumn(out, total).drop("_carry", running, shown)
 
 
 def lags(df: DataFrame, partition: Sequence[str], position: str, columns: Sequence[str],
          lag_values: Sequence[int], name: str = "{col}_lag_{k}", lag_major: bool = True,
-         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+         chunk_rows: int = DEFAULT_CHUNK_ROWS, dense: bool = False) -> DataFrame:
     """``lag(c, k)`` by position for every column and lag (see ``windows.add_lags``)."""
     return window_pass(df, partition, position, lag_columns=columns, lag_values=lag_values,
-                       lag_name=name, lag_major=lag_major, chunk_rows=chunk_rows)
+                       lag_name=name, lag_major=lag_major, chunk_rows=chunk_rows, dense=dense)
 
 
 def rolling_mean(df: DataFrame, partition: Sequence[str], position: str, column: str,
                  rows: int = 4, out: str | None = None,
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS, dense: bool = False) -> DataFrame:
     """Mean of the current row and the ``rows - 1`` before it."""
-    return window_pass(df, partition, position, chunk_rows=chunk_rows,
+    return window_pass(df, partition, position, chunk_rows=chunk_rows, dense=dense,
                        rolling=[(column, rows, out or f"rolling_avg_{column}", None)])
 
 
 def cumulative_sum(df: DataFrame, partition: Sequence[str], position: str, column: str,
-                   out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                   out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                   dense: bool = False) -> DataFrame:
     """Running sum by position (positions are unique, so RANGE == ROWS)."""
-    return window_pass(df, partition, position, chunk_rows=chunk_rows,
+    return window_pass(df, partition, position, chunk_rows=chunk_rows, dense=dense,
                        cumulative=[(column, out or f"cumulative_{column}", None)])
 
 
 def forward_fill(df: DataFrame, partition: Sequence[str], position: str, column: str,
-                 out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                 dense: bool = False) -> DataFrame:
     """Last non-null ``column`` value up to and including the row."""
     out = out or column
+    df, position = _numbered(df, partition, position, dense)
     local = _chunked(df, partition, position, chunk_rows).withColumn(
         "_ff", F.last(column, ignorenulls=True).over(_spec(position)))
     joined = local.join(_carry(local, position, "_ff", "last"), [PK, "_chunk"], "left")
-    return joined.withColumn(out, F.coalesce("_ff", "_carry")).drop(PK, "_chunk", "_ff", "_carry")
+    return joined.withColumn(out, F.coalesce("_ff", "_carry")) \
+        .drop(PK, "_chunk", "_ff", "_carry", "_dense")
 
 
 def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
                 lag_columns: Sequence[str] = (), lag_values: Sequence[int] = (),
                 lag_name: str = "{col}_lag_{k}", lag_major: bool = True,
                 rolling: Sequence[tuple] = (), cumulative: Sequence[tuple] = (),
-                chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, dense: bool = False,
+                exclude_current: bool = False) -> DataFrame:
     """Lags, rolling means and running sums in one chunked window pass.
 
     ``rolling``: (column, rows, out, condition or None) -- mean over the
@@ -134,9 +156,13 @@ def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
     leading run of each entity makes these equal to computing them after
     filtering that run away, without a second pass. All outputs share one
     halo'd partitioning by (entity, chunk); running sums add the totals of
-    earlier chunks from the small (entity, chunk) table.
+    earlier chunks from the small (entity, chunk) table. ``exclude_current``
+    leaves the row itself out: rolling means cover the ``rows`` rows before it,
+    running sums what comes before it.
     """
-    k = max([*lag_values, *[r[1] - 1 for r in rolling], 0])
+    df, position = _numbered(df, partition, position, dense)
+    lead = 1 if exclude_current else 0
+    k = max([*lag_values, *[r[1] - 1 + lead for r in rolling], 0])
     if k >= chunk_rows:
         raise ValueError("chunk_rows must exceed the longest lag or frame")
     both = _with_halo(df, partition, position, chunk_rows, k)
@@ -148,12 +174,16 @@ def window_pass(df: DataFrame, partition: Sequence[str], position: str, *,
     def cond_value(c: str, cond):
         return F.col(c) if cond is None else F.when(cond, F.col(c))
     for c, rows, out, cond in rolling:
-        cols.append(F.avg(cond_value(c, cond)).over(w.rowsBetween(-(rows - 1), 0)).alias(out))
+        cols.append(F.avg(cond_value(c, cond)).over(w.rowsBetween(-(rows - 1) - lead, -lead)).alias(out))
     own = ~F.col("_halo")
     for c, out, cond in cumulative:
         value = F.when(own, cond_value(c, cond))
         cols.append(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run_{out}"))
+        if exclude_current:
+            cols.append(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
+                        .alias(f"_before_{out}"))
     res = both.select("*", *cols).where(own)
     for c, out, cond in cumulative:
-        res = _add_carried_sum(res, position, f"_run_{out}", out)
-    return res.drop(PK, "_chunk", "_halo")
+        res = _add_carried_sum(res, position, f"_run_{out}", out,
+                               f"_before_{out}" if exclude_current else None)
+    return res.drop(PK, "_chunk", "_halo", "_dense")

@@ -2,17 +2,10 @@
 
 ``row_number()`` over a window with no or a skewed partition key sorts the
 whole (or a third of the) data in one task. ``row_position`` gives the same
-numbers with bounded tasks:
-
-1. approximate quantiles of the leading sort column (per partition key)
-   cut each partition into up to ``chunks`` contiguous ranges;
-2. ``row_number`` runs inside (partition, range) only;
-3. range sizes -> running offsets over the small (partition, range) table,
-   joined back.
-
-Quantiles only choose cut points, so the result is exact whatever their
-error. Ties of the leading column stay in one range, which keeps ranges
-contiguous in the full order.
+numbers from one range sort on the real columns: Spark samples the range
+bounds over all sort columns, so a busy lead value is split by the next
+column, and as many tasks sort as there are shuffle partitions. The place of a
+row is then the rows of the ranges before its own plus its place in there.
 """
 
 from __future__ import annotations
@@ -22,58 +15,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def _numeric(c: Column, dtype: str) -> Column:
-    if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if dtype == "date":
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+_RANGE_BITS = 33  # monotonically_increasing_id: range above, row in it below
 
 
 def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
-                 out: str = "row_pos", chunks: int = 64, accuracy: int = 10000,
-                 total: str | None = None) -> DataFrame:
-    """1-based position of each row in ``order`` within ``partition``
-    (ties in the full order are broken arbitrarily, as ``row_number``).
-    ``total`` names an optional column with the row count of the row's
-    partition, read off the same small range table (no extra pass).
+                 out: str = "row_pos", total: str | None = None) -> DataFrame:
+    """1-based position of each row in ``order`` within ``partition``, as
+    ``row_number`` (ties in the full order are broken arbitrarily, nulls come
+    first). Columns of any sortable type will do. ``total`` names an optional
+    column with the row count of the row's partition.
 
-    The partition columns travel as one struct key (NULL-safe in equi-joins),
-    so the (key, range) partitioning of the window is reused by the offset
-    join, and range sizes are read off the window output.
+    The sorted rows are checkpointed once, so that every branch sees the same
+    ranges; the tables joined back have one row per range and per partition key.
     """
-    lead = order[0]
-    keyed = df.withColumn("_lead", _numeric(F.col(lead), dict(df.dtypes)[lead])) \
-        .withColumn("_pk", F.struct(*partition) if partition else F.lit(0))
-    fractions = [i / chunks for i in range(1, chunks)]
-    if fractions and partition:
-        cuts = keyed.groupBy("_pk").agg(F.percentile_approx("_lead", fractions, accuracy).alias("_cuts"))
-        # NULL cuts (a partition whose lead values are all NULL) and NULL
-        # leads (sorted first) both fall in range 0.
-        chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_lead"))), F.lit(0))
-        placed = keyed.join(cuts, "_pk").withColumn("_chunk", chunk).drop("_cuts")
-    elif fractions:
-        # One global ordering: at most ``chunks - 1`` sampled cut points, the
-        # same bounded sample a range partitioner takes.
-        points = sorted(set(keyed.approxQuantile("_lead", fractions, 1.0 / accuracy)))
-        chunk = F.lit(0)
-        for p in points:
-            chunk = chunk + F.when(F.col("_lead") > F.lit(p), 1).otherwise(0)
-        placed = keyed.withColumn("_chunk", chunk)
-    else:
-        placed = keyed.withColumn("_chunk", F.lit(0))
-    local = placed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pk", "_chunk").orderBy(*order)))
-    sizes = local.groupBy("_pk", "_chunk").agg(F.max("_local").alias("_size"))
-    offsets = sizes.select("_pk", "_chunk", F.coalesce(F.sum("_size").over(
-        Window.partitionBy("_pk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_offset"), F.sum("_size").over(Window.partitionBy("_pk")).alias("_total"))
-    res = (local.join(offsets, ["_pk", "_chunk"])
-           .withColumn(out, F.col("_offset") + F.col("_local")))
+    placed = materialize(df.withColumn("_pk", F.struct(*partition) if partition else F.struct(F.lit(0)))
+                         .orderBy(*partition, *order)
+                         .withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_range", F.shiftright("_id", _RANGE_BITS)) \
+        .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << _RANGE_BITS) - 1)))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    rank = F.col("_start") + F.col("_row")
+    ranked = placed.join(starts, "_range").withColumn("_rank", rank)
+    firsts = placed.groupBy("_pk").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    firsts = firsts.withColumn("_range", F.shiftright("_first", _RANGE_BITS)).join(starts, "_range") \
+        .select("_pk", "_n", (F.col("_start") + F.col("_first").bitwiseAND(
+            F.lit((1 << _RANGE_BITS) - 1))).alias("_base"))
+    res = ranked.join(firsts, "_pk").withColumn(out, F.col("_rank") - F.col("_base") + 1)
     if total:
-        res = res.withColumn(total, F.col("_total"))
-    return res.drop("_lead", "_pk", "_chunk", "_local", "_offset", "_total")
+        res = res.withColumn(total, F.col("_n"))
+    return res.drop("_pk", "_id", "_range", "_row", "_start", "_rank", "_n", "_base")
 
 
 def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
@@ -88,9 +62,8 @@ def ntile_part(position: str | Column, total: Column, parts: int) -> Column:
             .otherwise(r + F.floor(F.try_divide(i - big, q)))).cast("int") + 1
 
 
-def balanced_parts(df: DataFrame, order: Sequence[str], parts: int, out: str = "part",
-                   chunks: int = 64) -> DataFrame:
+def balanced_parts(df: DataFrame, order: Sequence[str], parts: int, out: str = "part") -> DataFrame:
     """Tag every row with its contiguous balanced part (the row total
     comes with the positions, so no separate counting pass)."""
-    return row_position(df, order, out="_pos", chunks=chunks, total="_n") \
-        .withColumn(out, ntile_part("_pos", F.col("_n"), parts)).drop("_pos", "_n")
+    return row_position(df, order, out="_pos", total="_n_all") \
+        .withColumn(out, ntile_part("_pos", F.col("_n_all"), parts)).drop("_pos", "_n_all")

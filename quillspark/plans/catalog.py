@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as q
+from . import roundtrips
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,14 +39,13 @@ SQL_CHECKED: dict[str, Query] = {
     "next_period_rows": q.next_period_rows,
     "split_balanced": q.split_balanced,
     "merged_lines": q.merged_lines,
-}
-
-ROWS_ONLY: dict[str, Query] = {
+    "priority_share_sql": q.priority_share_sql,
+    "split_balanced_names": q.split_balanced_names,
     "two_period_pvalue": q.two_period_pvalue,
+    **roundtrips.QUERIES,
 }
 
-
 def all_queries() -> dict[str, Query]:
     from ..ml import bindings as ml
 
-    return {**SQL_CHECKED, **ROWS_ONLY, **ml.QUERIES}
+    return {**SQL_CHECKED, **ml.QUERIES}

@@ -9,6 +9,7 @@ in DuckDB, INT in Spark; ``sum`` of integers is HUGEINT; ``dayofweek`` is
 from __future__ import annotations
 
 from . import queries as q
+from . import roundtrips
 
 _P1, _P2 = q.FIRST_PERIOD, q.SECOND_PERIOD
 _HIGH = ", ".join(f"'{v}'" for v in q.HIGH_PRIORITY)
@@ -215,7 +216,7 @@ FROM s GROUP BY subset
 GROUP_ERROR_BY_BIN = f"""
 WITH {WEEKLY_FEATURES_CTE},
 r AS (SELECT min(med_income) AS lo, max(med_income) AS hi FROM wf),
-b AS (SELECT CASE WHEN r.hi = r.lo THEN 0
+b AS (SELECT CASE WHEN r.hi = r.lo THEN 2
                   ELSE least(CAST(floor((med_income - r.lo) / ((r.hi - r.lo) / 5)) AS INTEGER), 4) END AS bin,
              (CAST(total_orders AS DOUBLE) - CAST(total_orders_lag_1 AS DOUBLE)) ** 2 AS se
       FROM wf, r)
@@ -227,9 +228,8 @@ _NEXT_COLS = ", ".join("tgt.ty AS year" if c == "year" else "tgt.tw AS week_of_y
 
 NEXT_PERIOD_ROWS = f"""
 WITH {WEEKLY_FEATURES_CTE},
-l AS (SELECT year AS ly, week_of_year AS lw FROM wf ORDER BY year DESC, week_of_year DESC LIMIT 1),
-tgt AS (SELECT CASE WHEN lw >= 52 THEN ly + 1 ELSE ly END AS ty, CASE WHEN lw >= 52 THEN 1 ELSE lw + 1 END AS tw
-        FROM l)
+d AS (SELECT CAST(max(o_orderdate) AS DATE) + INTERVAL 7 DAY AS d FROM orders),
+tgt AS (SELECT CAST(isoyear(d) AS INTEGER) AS ty, CAST(week(d) AS INTEGER) AS tw FROM d)
 SELECT {_NEXT_COLS} FROM wf, tgt WHERE wf.year = tgt.ty - 1 AND wf.week_of_year = tgt.tw
 """
 
@@ -333,13 +333,65 @@ GROUP BY part
 """
 
 MERGED_LINES = """
-WITH d AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
-     c AS (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations),
-     u AS (SELECT 0 AS source_no, 'documents' AS source, line FROM d
-           UNION ALL SELECT 1, 'conversations', line FROM c)
+WITH d AS (SELECT doc_id AS k1, 0 AS k2, string_split(text, chr(10)) AS ls FROM documents),
+     c AS (SELECT conv_id AS k1, turn AS k2, string_split(text, chr(10)) AS ls FROM conversations),
+     u AS (SELECT 0 AS source_no, 'documents' AS source, k1, k2, unnest(ls) AS line,
+                  generate_subscripts(ls, 1) AS i FROM d
+           UNION ALL SELECT 1, 'conversations', k1, k2, unnest(ls), generate_subscripts(ls, 1) FROM c),
+     n AS (SELECT *, row_number() OVER (PARTITION BY source_no ORDER BY k1, k2, i) AS n,
+                  CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS digest FROM u)
 SELECT CAST(source_no AS INTEGER) AS source_no, source, count(*) AS n_lines,
-       CAST(sum(length(line)) AS BIGINT) AS n_chars, count(*) FILTER (WHERE length(line) = 0) AS n_empty
-FROM u GROUP BY 1, 2
+       CAST(sum(length(line)) AS BIGINT) AS n_chars, count(*) FILTER (WHERE length(line) = 0) AS n_empty,
+       CAST(sum((n * digest) % 1000003) AS BIGINT) AS checksum
+FROM n GROUP BY 1, 2
+"""
+
+PRIORITY_SHARE_SQL = """
+SELECT o_orderpriority AS priority, count(*) AS n_orders,
+       count(*) FILTER (WHERE o_orderstatus = 'F') AS n_fulfilled,
+       round(count(*) FILTER (WHERE o_orderstatus = 'F') * CAST(100 AS DOUBLE) / count(*), 4) AS pct_fulfilled
+FROM orders WHERE o_totalprice >= 1000 GROUP BY 1
+"""
+
+SPLIT_BALANCED_NAMES = f"""
+SELECT CAST(part AS INTEGER) AS part, count(*) AS n_rows,
+       min(c_mktsegment || '/' || c_name) AS min_key, max(c_mktsegment || '/' || c_name) AS max_key
+FROM (SELECT c_mktsegment, c_name,
+             ntile({q.SPLIT_PARTS}) OVER (ORDER BY c_mktsegment, c_name, c_custkey) AS part FROM customer) t
+GROUP BY part
+"""
+
+# The degrees of freedom 2n - 2 are even, so the two-sided p-value of t has a
+# finite form: 1 - sin a * sum over j < dof / 2 of c_j cos(a)^2j, with
+# a = atan(|t| / sqrt(dof)) and c_j the product of (2i - 1) / 2i up to j.
+TWO_PERIOD_PVALUE = f"""
+WITH {_PER_NATION},
+s AS (SELECT count(*) AS n_keys, 2 * count(*) - 2 AS dof,
+             (avg(n1) - avg(n2)) / sqrt((var_samp(n1) + var_samp(n2)) / count(*)) AS t FROM pk),
+a AS (SELECT *, atan(abs(t) / sqrt(dof)) AS a FROM s),
+k AS (SELECT unnest(range(0, CAST(dof // 2 AS BIGINT))) AS j FROM a),
+c AS (SELECT k.j, coalesce((SELECT exp(sum(ln((2 * x.i - 1) / (2.0 * x.i))))
+                            FROM (SELECT unnest(range(1, 200)) AS i) x WHERE x.i <= k.j), 1.0) AS c FROM k),
+p AS (SELECT sum(c.c * cos(a.a) ** (2 * c.j)) AS total FROM c, a)
+SELECT n_keys, round(t, 6) AS t_stat, CAST(dof AS BIGINT) AS dof, round(1 - sin(a.a) * p.total, 6) AS p_value
+FROM a, p
+"""
+
+# Rows of the key-modulo split and the one-input least squares on its train side.
+_SPLIT = "(CAST(entity AS INTEGER) * 7 + year * 53 + week_of_year) % 5 = 0"
+
+MODEL_CHECKS = f"""
+WITH {WEEKLY_FEATURES_CTE}
+SELECT m.model, count(*) FILTER (WHERE NOT {_SPLIT}) AS n_train, count(*) FILTER (WHERE {_SPLIT}) AS n_test,
+       true AS beats_mean
+FROM wf, (SELECT unnest(['rf', 'gbt', 'lr']) AS model) m GROUP BY m.model
+"""
+
+LINEAR_ONE_INPUT = f"""
+WITH {WEEKLY_FEATURES_CTE}
+SELECT count(*) AS n_train, round(regr_slope(total_orders, total_orders_lag_1), 6) AS slope,
+       round(regr_intercept(total_orders, total_orders_lag_1), 6) AS intercept
+FROM wf WHERE NOT {_SPLIT}
 """
 
 ORACLE = {
@@ -370,4 +422,11 @@ ORACLE = {
     "next_period_rows": NEXT_PERIOD_ROWS,
     "split_balanced": SPLIT_BALANCED,
     "merged_lines": MERGED_LINES,
+    "priority_share_sql": PRIORITY_SHARE_SQL,
+    "split_balanced_names": SPLIT_BALANCED_NAMES,
+    "two_period_pvalue": TWO_PERIOD_PVALUE,
+    "model_checks": MODEL_CHECKS,
+    "linear_one_input": LINEAR_ONE_INPUT,
+    **roundtrips.ORACLE,
+    "files_ngram_means": LABEL_MEAN_BY_YEAR,
 }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import block_start, fixed_point_mean
 from ..functions.parsing import (cast_columns, digits_only, in_list_flag, int_text_in_range, pad_key,
                                  safe_timestamp)
-from ..functions.time import month_label, next_week
+from ..functions.time import month_label
 from ..operators import aggregates as agg
 from ..operators import segmented
 from ..operators.features import weekly_features, weekly_market
@@ -30,7 +30,7 @@ from ..operators.split import balanced_parts, row_position
 from ..operators.stats import pair_correlation, pooled_t_test, two_period_counts, two_period_summary
 from ..operators.windows import carry_previous_block
 from ..session import materialize
-from ..sources.tables import Tables, spread
+from ..sources.tables import Tables
 from ..sources.text import naive_split, parse_csv_lines, parse_messages
 
 # Fixed values of the bindings (shared with oracle.py).
@@ -75,21 +75,35 @@ def _orders_customers(t: Tables, order_cols: list[str], cust_cols: list[str]) ->
 
 # --------------------------------------------------------------- J3: F2, A9
 def avg_count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _t(spark, sf_dir).orders.select("o_orderdate")
+    orders = _t(spark, sf_dir).orders.select(F.year("o_orderdate").alias("year"),
+                                             F.month("o_orderdate").alias("month"))
+    return agg.avg_of_counts(orders, outer=["month"], inner=["year"])
+
+
+def priority_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a frame passed as a parameter."""
     return spark.sql(
-        """SELECT month, ROUND(AVG(n), 2) AS avg_count
-           FROM (SELECT YEAR(o_orderdate) AS year, MONTH(o_orderdate) AS month, COUNT(*) AS n
-                 FROM {src} GROUP BY YEAR(o_orderdate), MONTH(o_orderdate)) per_month
-           GROUP BY month ORDER BY month""", src=orders)
+        """SELECT o_orderpriority AS priority, count(*) AS n_orders,
+                  count_if(o_orderstatus = 'F') AS n_fulfilled,
+                  round(count_if(o_orderstatus = 'F') * 100.0D / count(*), 4) AS pct_fulfilled
+           FROM {orders} WHERE o_totalprice >= {least} GROUP BY o_orderpriority""",
+        orders=_t(spark, sf_dir).orders, least=1000)
+
+
+def _since_year(orders: DataFrame, back: int) -> DataFrame:
+    """Rows of the newest year and ``back`` years before it. The bound is a
+    date computed in a scalar subquery and compared with the bare column, so
+    it is pushed to the scan."""
+    kind = dict(orders.dtypes)["o_orderdate"]
+    first = orders.select(F.make_date(F.year(F.max("o_orderdate")) - back, F.lit(1), F.lit(1))
+                          .cast(kind)).scalar()
+    return orders.where(F.col("o_orderdate") >= first)
 
 
 # --------------------------------------------------------------- J4: D2 F1 F12 H2
 def top_keys_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    o = t.orders.select("o_custkey", F.year("o_orderdate").alias("yr"))
-    newest = o.select(F.max("yr")).scalar()
-    # One reference to the scalar subquery (each reference is its own job).
-    recent = o.where((newest - F.col("yr")).between(0, RECENT_YEARS_BACK))
+    recent = _since_year(t.orders.select("o_custkey", "o_orderdate"), RECENT_YEARS_BACK)
     per_cust = agg.count_by(recent, ["o_custkey"], "n")
     named = per_cust.join(t.customer.select("c_custkey", "c_name"),
                           per_cust.o_custkey == F.col("c_custkey"))
@@ -100,9 +114,8 @@ def top_keys_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- J5: F13 L1 D3 H3
 def pair_correlation_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    o = t.orders.select("o_custkey", F.year("o_orderdate").alias("year"))
-    newest = o.select(F.max("year")).scalar()
-    recent = o.where(F.col("year") >= newest - CORR_YEARS_BACK)
+    recent = _since_year(t.orders.select("o_custkey", "o_orderdate"), CORR_YEARS_BACK) \
+        .select("o_custkey", F.year("o_orderdate").alias("year"))
     per_cust = agg.count_by(recent, ["o_custkey", "year"], "n")
     counts = (per_cust.join(t.customer.select("c_custkey", "c_nationkey"),
                             per_cust.o_custkey == F.col("c_custkey"))
@@ -133,7 +146,7 @@ def two_period_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_period_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = pooled_t_test(_per_nation_periods(spark, sf_dir))
     return spark.createDataFrame(
-        [(res["n_obs"] // 2, res["t_stat"], res["dof"], res["p_value"])],
+        [(res["n_obs"] // 2, round(res["t_stat"], 6), res["dof"], round(res["p_value"], 6))],
         "n_keys long, t_stat double, dof long, p_value double")
 
 
@@ -171,7 +184,7 @@ def ngram_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of every document as an n-gram record (word, year text,
     volume): year := base + doc_id mod span, volume := n_chars. Years are
     validated like the line reader does (``0 < year <= 2024``)."""
-    docs = spread(_t(spark, sf_dir).documents.select("doc_id", "text", "n_chars"))
+    docs = _t(spark, sf_dir).documents.select("doc_id", "text", "n_chars")
     words = words_of(docs, "text", keep=["doc_id", "n_chars"])
     year = (F.lit(NGRAM_BASE_YEAR) + F.pmod("doc_id", F.lit(NGRAM_YEAR_SPAN))).cast("string")
     return (words.select("word", year.alias("year"), F.col("n_chars").cast("double").alias("volume"))
@@ -274,14 +287,23 @@ def group_error_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_error(_lag_forecast(spark, sf_dir), "total_orders", "prediction", "med_income", bins=5)
 
 
+def next_period_of(weekly: DataFrame, dates: DataFrame, ts: str) -> DataFrame:
+    """Rows of the week after the newest date, one year before it,
+    labelled with that week. The target is the ISO week of the newest date plus
+    seven days, with the ISO year: the last days of December and the first of
+    January belong to the week they are in, and 53-week years come out right."""
+    after = dates.select((F.max(F.to_date(ts)) + F.expr("INTERVAL 7 DAY")).alias("d"))
+    target = after.select(F.struct(F.extract(F.lit("YEAROFWEEK"), "d").cast("int").alias("y"),
+                                   F.weekofyear("d").alias("w"))).scalar()
+    year, week = target.getField("y"), target.getField("w")
+    source = weekly.where((F.col("year") == year - 1) & (F.col("week_of_year") == week))
+    return source.select(*[year.alias(c) if c == "year" else week.alias(c) if c == "week_of_year"
+                           else F.col(c) for c in weekly.columns])
+
+
 def next_period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wf = materialize(weekly_features_frame(spark, sf_dir))
-    latest = wf.select(F.max(F.struct("year", "week_of_year")).alias("l")).scalar()
-    target_year, target_week = next_week(latest.getField("year"), latest.getField("week_of_year"))
-    source = wf.where((F.col("year") == target_year - 1) & (F.col("week_of_year") == target_week))
-    return source.select(*[target_year.alias("year") if c == "year"
-                           else target_week.alias("week_of_year") if c == "week_of_year"
-                           else F.col(c) for c in wf.columns])
+    return next_period_of(weekly_features_frame(spark, sf_dir),
+                          _t(spark, sf_dir).orders, "o_orderdate")
 
 
 # --------------------------------------------------------------- J9: trading bars
@@ -309,7 +331,7 @@ def bars_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _carried_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = bars_frame(spark, sf_dir).withColumn("bar_num_group_10", block_start("bar_num", 10))
     carried = carry_previous_block(bars, "trade_id", "bar_num", "profit", 10, "bar_num_group_10")
-    return segmented.forward_fill(carried, ["trade_id"], "bar_num", "avg_profit")
+    return segmented.forward_fill(carried, ["trade_id"], "bar_num", "avg_profit", dense=True)
 
 
 def forward_fill_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +350,7 @@ def bar_features_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     cum = segmented.window_pass(
         filled, ["trade_id"], "bar_num", lag_columns=vals, lag_values=[1, 2, 3], lag_name="{col}_lag{k}",
         lag_major=False, rolling=[("profit", 4, "rolling_avg_profit", kept)],
-        cumulative=[("profit", "cumulative_profit", kept)]).where(kept)
+        cumulative=[("profit", "cumulative_profit", kept)], dense=True).where(kept)
     return cum.withColumn("month", month_label("time_stamp"))
 
 
@@ -373,8 +395,8 @@ def dirty_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- J10 messages
 def message_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns rendered as mail files: (path, text, put_order)."""
-    c = spread(_t(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text"))
+    """Conversation turns rendered as mail files: (path, text)."""
+    c = _t(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
     # Wall-clock time without a zone (timestamp_ntz): the rendered text does
     # not depend on the session time zone.
     local = (F.lit(MAIL_BASE_LOCAL).cast("timestamp_ntz")
@@ -425,15 +447,32 @@ def split_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      F.max("o_orderkey").alias("max_key"))
 
 
+def split_balanced_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B10 on a text key with many ties, broken by the number."""
+    c = _t(spark, sf_dir).customer.select("c_mktsegment", "c_name", "c_custkey")
+    parts = balanced_parts(c, ["c_mktsegment", "c_name", "c_custkey"], SPLIT_PARTS)
+    first = F.struct("c_mktsegment", "c_name")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.min(first).alias("lo"),
+                                     F.max(first).alias("hi")) \
+        .select("part", "n_rows", F.concat_ws("/", "lo.*").alias("min_key"),
+                F.concat_ws("/", "hi.*").alias("max_key"))
+
+
 def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of two sources one after the other; ``checksum`` weighs the
+    digest of every line by its number in its source, so it holds the order."""
     t = _t(spark, sf_dir)
-    docs = text_lines(spread(t.documents.select(F.col("doc_id").alias("k1"),
-                                                F.lit(0).cast("long").alias("k2"), "text")),
-                      "text", ["k1", "k2"])
-    conv = text_lines(spread(t.conversations.select(F.col("conv_id").alias("k1"), F.col("turn").alias("k2"),
-                                                    "text")), "text", ["k1", "k2"])
+    docs = text_lines(t.documents.select(F.col("doc_id").alias("k1"),
+                                         F.lit(0).cast("long").alias("k2"), "text"), "text", ["k1", "k2"])
+    conv = text_lines(t.conversations.select(F.col("conv_id").alias("k1"), F.col("turn").alias("k2"),
+                                             "text"), "text", ["k1", "k2"])
     merged = merge_lines({"documents": docs, "conversations": conv}, ["k1", "k2", "line_no"])
-    return merged.groupBy("source_no", "source").agg(
+    digest = F.conv(F.substring(F.md5(F.col("line").cast("binary")), 1, 7), 16, 10).cast("long")
+    lines = merged.select("source_no", "source", "k1", "k2", "line_no", digest.alias("digest"),
+                          F.length("line").alias("length"))
+    numbered = row_position(lines, ["k1", "k2", "line_no"], ["source_no"], out="n")
+    return numbered.groupBy("source_no", "source").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.length("line")).cast("long").alias("n_chars"),
-        F.count_if(F.length("line") == 0).alias("n_empty"))
+        F.sum("length").cast("long").alias("n_chars"),
+        F.count_if(F.col("length") == 0).alias("n_empty"),
+        F.sum((F.col("n") * F.col("digest")) % 1000003).cast("long").alias("checksum"))

@@ -6,9 +6,6 @@ builder here is for tests, ``bench.py`` and local experiments only.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run of the library expects. AQE gives runtime broadcast
@@ -39,42 +36,29 @@ def local_session(cpus: int = 8, partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local=True)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str | None:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Folder for checkpoints that driver and executors share.
 
-    On a cluster the setting must point at shared storage; it is only read
-    here. ``allow_local`` (tests, local runs) creates a scratch folder when
-    the setting is absent.
+    ``spark.checkpoint.dir`` names it on a cluster. Where that is unset (tests,
+    local runs) a folder in the warehouse is taken, which is shared as well.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext access: callers fall back to persist
-        return None
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured and allow_local:
-        configured = tempfile.mkdtemp(prefix="quillspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    return None
-
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    sc.setCheckpointDir(folder)
+    return folder
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage for a frame reused by several jobs (model fits).
 
-    A reliable checkpoint in the shared checkpoint folder survives executor
-    loss without recomputation; without a configured folder the frame is
-    persisted to memory and disk instead.
-    """
-    if ensure_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=eager)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame that several jobs or branches read: lineage is cut,
+    a lost executor costs a re-read, and the files go when the frame does
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -71,6 +71,7 @@ def write_key_value_lines(df: DataFrame, path: str, key_cols: Sequence[str], val
 def fold_report_lines(folds: DataFrame, metric: str = "mape", label: str = "MAPE") -> DataFrame:
     """B7 body: three summary lines, then per fold the window line, the
     unrounded metric and a rule; ordered by (block, fold, line)."""
+    # The texts of the report lines.
     summary = folds.agg(F.round(F.avg(metric), 2).alias("mean"), F.round(F.max(metric), 2).alias("max"),
                         F.round(F.min(metric), 2).alias("min"))
     head = summary.select(F.explode(F.array(
@@ -99,13 +100,17 @@ def write_keyed_table(df: DataFrame, path: str, key: str, order: str) -> None:
     latest_per_key(df, key, order).write.mode("overwrite").parquet(path)
 
 
+LINE_ORDER = ("file_no", "file_path", "split_start", "row_id")
+
+
 def read_lines_in_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """B9 input: text lines of several files with an order key
-    (argument position, split start, row within split)."""
+    """B9 input: text lines of several files or folders with their order key:
+    argument, file, start of the split in the file, row within the split."""
     parts = []
     for i, p in enumerate(paths):
         parts.append(spark.read.text(p).select(
-            F.lit(i).alias("file_no"), F.col("_metadata.file_block_start").alias("split_start"),
+            F.lit(i).alias("file_no"), F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("row_id"), "value"))
     out = parts[0]
     for p in parts[1:]:
@@ -113,15 +118,47 @@ def read_lines_in_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out
 
 
-def merge_files(spark: SparkSession, paths: Sequence[str], out: str) -> None:
-    """Concatenate files in argument order into one output file."""
+def merge_files(spark: SparkSession, paths: Sequence[str], out: str, one_file: bool = False) -> None:
+    """Concatenate files in argument order (files of a folder by name).
+
+    The output is range-sorted, so its part files follow each other in order
+    and are written in parallel. ``one_file`` is for readers that need a single
+    file: one task then sorts and writes all lines.
+    """
     lines = read_lines_in_order(spark, paths)
-    (lines.orderBy("file_no", "split_start", "row_id").select("value").coalesce(1)
-     .write.mode("overwrite").text(out))
+    ordered = (lines.repartition(1).sortWithinPartitions(*LINE_ORDER) if one_file
+               else lines.orderBy(*LINE_ORDER))
+    ordered.select("value").write.mode("overwrite").text(out)
 
 
 def write_balanced_parts(df: DataFrame, out: str, order: Sequence[str], parts: int,
                          fmt: str = "csv") -> None:
     """Contiguous parts of near-equal size (the first ``total % parts``
-    parts one row larger), one folder per part."""
-    balanced_parts(df, order, parts).write.mode("overwrite").partitionBy("part").format(fmt).save(out)
+    parts one row larger), one folder per part, its files and their rows in
+    order."""
+    tagged = balanced_parts(df, order, parts)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged.repartitionByRange(n, "part", *order).sortWithinPartitions("part", *order) \
+        .write.mode("overwrite").partitionBy("part").format(fmt).save(out)
+
+
+# The layouts of the block report and of the test report.
+def write_model_report(metrics: DataFrame, path: str, model: str = "model",
+                       order: Sequence[str] = ("model",)) -> None:
+    """B1: per row a block ``Model: X``, one ``metric: value`` line per other
+    column, and a blank line."""
+    names = [c for c in metrics.columns if c != model]
+    lines = [F.concat(F.lit("Model: "), F.col(model))] + [
+        F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for c in names]
+    metrics.repartition(1).sortWithinPartitions(*order) \
+        .select(F.concat_ws("\n", *lines, F.lit("")).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_test_report(result: DataFrame, path: str, level: float = 0.05) -> None:
+    """B1: t-statistic, p-value and the line that says which side of ``level``
+    the p-value is on (``t_stat, p_value`` columns)."""
+    verdict = F.when(F.col("p_value") < level, "The difference is statistically significant.") \
+        .otherwise("The difference is not statistically significant.")
+    result.select(F.concat_ws("\n", F.concat(F.lit("T-statistic: "), F.col("t_stat").cast("string")),
+                              F.concat(F.lit("P-value: "), F.col("p_value").cast("string")), verdict)
+                  .alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -20,20 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame whose scan has fewer splits than the session has
-    cores, before CPU-heavy per-row work (tokenising whole texts, regex
-    parsing). A table stored as one file with one row group is read by a
-    single task; a large table has many splits and is left untouched, so
-    this never adds a shuffle at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as is
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
 class Tables:
     """Attribute access to all tables of one folder: ``Tables(s, d).orders``."""
 

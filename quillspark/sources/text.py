@@ -9,6 +9,8 @@ logic serves files and text derived from tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,31 +38,35 @@ def read_declared_table(spark: SparkSession, path: str, ddl: str, sep: str = ","
 
 
 # ---------------------------------------------------------------- A7
-def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv",
-                 ddl: str | None = None) -> DataFrame:
-    """Every ``glob`` file of a folder, no header relied on."""
-    reader = spark.read.option("pathGlobFilter", glob).option("mode", "PERMISSIVE")
-    if ddl is not None:
-        reader = reader.schema(ddl)
-    return reader.csv(path)
+def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """The lines (``value``) of every ``glob`` file of a folder; no file
+    decides on the columns of the others."""
+    return spark.read.option("pathGlobFilter", glob).text(path)
+
+
+def csv_field_count(line: str | Column) -> Column:
+    """Fields of a CSV line: its commas outside of quotes, plus one. Empty
+    fields count, whatever their place."""
+    plain = F.regexp_replace(F.col(line) if isinstance(line, str) else line, r'"(?:[^"]|"")*"', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
 
 
-def artist_durations(df: DataFrame, artist_pos: int = 2, duration_pos: int = 3,
-                     min_columns: int = 4) -> DataFrame:
-    """A7 mapper: (artist, duration) from positional CSV columns.
+def artist_durations(lines: DataFrame, line: str = "value", artist_pos: int = 2,
+                     duration_pos: int = 3, min_columns: int = 4) -> DataFrame:
+    """A7 mapper: (artist, duration) from positional CSV fields.
 
-    Rows with fewer than ``min_columns`` non-missing columns are skipped,
-    as are durations that are not numbers (which also removes header rows).
-    Works on the all-string frame of ``read_csv_dir``; columns past the
-    schema are absent, so the count is taken from the populated prefix.
+    Lines with fewer than ``min_columns`` fields are skipped, as are durations
+    that are not numbers (which also removes header rows). Each line is judged
+    by its own fields; empty ones are fields too, and a doubled quote inside quotes is a
+    quote.
     """
-    cols = df.columns
-    if len(cols) < min_columns:
-        return df.sparkSession.createDataFrame([], "artist string, duration double")
-    present = F.size(F.filter(F.array(*[F.col(c) for c in cols]), lambda x: x.isNotNull()))
-    duration = F.trim(F.col(cols[duration_pos])).try_cast("double")
-    return (df.where(present >= min_columns)
-            .select(F.trim(F.col(cols[artist_pos])).alias("artist"), duration.alias("duration"))
+    width = max(artist_pos, duration_pos) + 1
+    ddl = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv(F.col(line), ddl, {"mode": "PERMISSIVE", "escape": '"'})
+    rows = lines.where(csv_field_count(line) >= min_columns).select(cells.alias("c"))
+    duration = F.trim(F.col(f"c.c{duration_pos}")).try_cast("double")
+    return (rows.select(F.trim(F.coalesce(F.col(f"c.c{artist_pos}"), F.lit(""))).alias("artist"),
+                        duration.alias("duration"))
             .where(F.col("duration").isNotNull() & ~F.isnan("duration")))
 
 
@@ -120,14 +126,16 @@ def _header(block: Column, name: str) -> Column:
     return F.regexp_extract(block, rf"(?im)^{name}:[ \t]*(.*(?:\r?\n[ \t]+.*)*)", 1)
 
 
-def parse_messages(df: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+def parse_messages(df: DataFrame, path: str = "path", text: str = "text",
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Mail-style text -> (row_key, recipient, date_text, sender, body, ts).
 
     The row key is the last two path parts (``folder/file``). Header block
     ends at the first blank line; without one the body is empty. Missing
     headers become ``'unknown'``; line breaks and tabs are removed from the
     recipient only. ``ts`` parses ``d MMM yyyy HH:mm:ss Z`` out of the date
-    text (Spark cannot parse day names or zone names).
+    text (Spark cannot parse day names or zone names). Columns in ``keep``
+    come along.
     """
     t = F.col(text)
     sep = F.regexp_instr(t, F.lit(r"\r?\n\r?\n"))
@@ -144,6 +152,7 @@ def parse_messages(df: DataFrame, path: str = "path", text: str = "text") -> Dat
         header_or_unknown(_header(block, "from")).alias("sender"),
         body.alias("body"),
         ts.alias("ts"),
+        *keep,
     )
 
 

@@ -23,7 +23,7 @@ def spark():
     builder = builder.config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "8g")
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(session, allow_local=True)
+    ensure_checkpoint_dir(session)
     yield session
 
 

@@ -75,7 +75,7 @@ def test_equal_width_bin_max_in_last_bin_and_constant(spark):
     out = rows(df.select(numeric.equal_width_bin(F.col("v"), F.lit(0.0), F.lit(10.0), 5)))
     assert out == [(0,), (1,), (4,), (4,)]
     const = rows(df.select(numeric.equal_width_bin(F.col("v"), F.lit(3.0), F.lit(3.0), 5)))
-    assert const == [(0,)] * 4
+    assert const == [(2,)] * 4  # the middle one
 
 
 def test_abs_pct_error_zero_label_skipped(spark):

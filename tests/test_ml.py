@@ -1,49 +1,40 @@
-import random
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from quillspark.ml import bindings, models
-from quillspark.operators.metrics import feature_columns
 from quillspark.plans import queries as q
 
 
-def test_grouped_least_squares_matches_numpy(spark):
+def test_walk_forward_fits_the_glm_of_every_fold(spark):
+    """Each fold against plain least squares; rows with a missing input stay
+    out, and a large mean does not hurt."""
     rnd = np.random.default_rng(8)
     rows = []
-    for g in range(3):
-        beta = rnd.normal(size=3)
-        for _ in range(60):
-            x = rnd.normal(size=3) * [1.0, 1000.0, 1e6]
-            rows.append((g, *map(float, x), 7.0, float(2.0 + x @ beta + rnd.normal())))
-    df = spark.createDataFrame(rows, "g int, a double, b double, c double, k double, y double")
-    fits = models.grouped_least_squares(df, "g", ["a", "b", "c", "k"], "y")
-    for g in range(3):
-        sub = np.array([r[1:] for r in rows if r[0] == g])
-        X = np.column_stack([np.ones(len(sub)), sub[:, :3]])
-        ref = np.linalg.lstsq(X, sub[:, 4], rcond=None)[0]
-        b0, b = fits[g]
-        assert abs(b0 - ref[0]) < 1e-6 * max(1, abs(ref[0]))
-        assert np.allclose(b[:3], ref[1:], rtol=1e-6, atol=1e-12) and b[3] == 0.0   # constant input -> 0
-
-
-def test_walk_forward_grouped_equals_spark_ml_glm(spark):
-    bars = q.bar_features_frame(spark, SF_SMALL)
-    inputs = feature_columns(bars.columns, bindings.BAR_EXCLUDED)
-    a = models.walk_forward(bars, "month", inputs, "profit", engine="grouped")
-    b = models.walk_forward(bars, "month", inputs, "profit", engine="spark_ml")
-    assert [x[:4] for x in a] == [y[:4] for y in b] and len(a) > 0
-    for x, y in zip(a, b):
-        assert (x[4] is None and y[4] is None) or abs(x[4] - y[4]) < 1e-8 * max(1.0, abs(y[4]))
-
-
-def test_random_split_is_seeded(spark):
+    for m in range(14):
+        for i in range(20):
+            x = 1e6 + float(rnd.normal()) * 50
+            rows.append((f"2001-{m:02d}", x, float(2 * (x - 1e6) + 500 + rnd.normal())))
+        rows.append((f"2001-{m:02d}", None, 100.0))
+    df = spark.createDataFrame(rows, "month string, x double, y double")
+    got = models.walk_forward(df, "month", ["x"], "y", 6, 6)
+    assert [g[:4] for g in got] == [(0, "2001-00", "2001-05", "2001-06"), (1, "2001-06", "2001-11", "2001-12")]
+    for fold, lo, hi, test, mape in got:
+        tr = np.array([r[1:] for r in rows if lo <= r[0] <= hi and r[1] is not None])
+        te = np.array([r[1:] for r in rows if r[0] == test and r[1] is not None])
+        slope, base = np.polyfit(tr[:, 0] - 1e6, tr[:, 1], 1)
+        want = np.mean(np.abs((te[:, 1] - (slope * (te[:, 0] - 1e6) + base)) / te[:, 1]))
+        assert abs(mape - want) < 1e-5
+
+
+def test_splits_are_stable(spark):
     df = spark.range(200).withColumn("v", F.rand(1))
-    a, _ = models.split(df)
-    b, _ = models.split(df)
-    assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
-    assert random.Random(0).random() >= 0
+    a, b = models.split(df)
+    again, _ = models.split(df)
+    left, right = ({r["id"] for r in x.collect()} for x in (a, b))
+    assert left == {r["id"] for r in again.collect()} and len(left) + len(right) == 200
+    train, test = models.key_split(df, F.col("id"), 4)
+    assert {r["id"] for r in test.collect()} == set(range(0, 200, 4)) and train.count() == 150
 
 
 def test_linear_model_metrics_against_numpy(spark):
@@ -53,15 +44,16 @@ def test_linear_model_metrics_against_numpy(spark):
 
     wf = materialize(q.weekly_features_frame(spark, SF_SMALL).withColumn(
         "total_orders", F.col("total_orders").cast("double")))
+    # Inputs without collinear ones, so that there is one solution to compare.
+    inputs = ["entity_index", "week_of_year", "num_customers", "total_orders_lag_1", "total_fulfilled_lag_2"]
     train, test = models.split(wf)
     train, test = materialize(train), materialize(test)
-    pred = models.fit_pipeline(train, bindings.WEEKLY_INPUTS, "total_orders", "lr").transform(test)
+    pred = models.fit_pipeline(train, inputs, "total_orders", "lr").transform(test)
     got = pred.select(F.sqrt(F.avg((F.col("total_orders") - F.col("prediction")) ** 2))).first()[0]
-    tr = np.array([[r[c] for c in bindings.WEEKLY_INPUTS] + [r["total_orders"]] for r in train.collect()], float)
-    te = np.array([[r[c] for c in bindings.WEEKLY_INPUTS] + [r["total_orders"]] for r in test.collect()], float)
+    tr = np.array([[r[c] for c in inputs] + [r["total_orders"]] for r in train.collect()], float)
+    te = np.array([[r[c] for c in inputs] + [r["total_orders"]] for r in test.collect()], float)
     X = np.column_stack([np.ones(len(tr)), tr[:, :-1]])
-    if np.linalg.matrix_rank(X) < X.shape[1]:
-        return  # collinear inputs: least-squares solutions differ off the training rows
+    assert np.linalg.matrix_rank(X) == X.shape[1]
     beta = np.linalg.lstsq(X, tr[:, -1], rcond=None)[0]
     ref = np.sqrt(np.mean((te[:, -1] - np.column_stack([np.ones(len(te)), te[:, :-1]]) @ beta) ** 2))
     assert abs(got - ref) < 1e-6 * max(1.0, ref)

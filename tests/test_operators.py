@@ -190,12 +190,45 @@ def test_two_period_summary_and_pvalue(spark):
 
 def test_golden_pvalue_from_published_moments(spark):
     # Published run: 116 keys, means and population sds per period, p-value.
-    n = 116
-    m1, sd1 = 39394.15517241379, 65020.151918542935
-    m2, sd2 = 19927.543103448275, 24194.618659083822
-    v1, v2 = sd1 ** 2 * n / (n - 1), sd2 ** 2 * n / (n - 1)
-    t = (m1 - m2) / math.sqrt((v1 + v2) / n)
-    assert abs(_t_two_sided_p(t, 2 * n - 2) - 0.002912385408589375) < 1e-12
+    # Half of the keys one deviation above the mean, half one below, have
+    # just these moments.
+    (m1, sd1), (m2, sd2) = (39394.15517241379, 65020.151918542935), (19927.543103448275, 24194.618659083822)
+    rows = [(i, m1 + (sd1 if i % 2 else -sd1), m2 + (sd2 if i % 2 else -sd2)) for i in range(116)]
+    res = pooled_t_test(spark.createDataFrame(rows, "k int, n_first double, n_second double"))
+    assert res["dof"] == 230 and abs(res["p_value"] - 0.002912385408589375) < 1e-9
+
+
+def test_row_position_of_other_types_and_zones(spark):
+    import datetime as dt
+    names = [None, "b", "a", "é", "a", "Z", ""]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "n string, i int")
+    got = {r["i"]: r["p"] for r in row_position(df, ["n", "i"], out="p").collect()}
+    want = sorted(range(7), key=lambda i: (names[i] is not None, (names[i] or "").encode(), i))
+    assert got == {i: k + 1 for k, i in enumerate(want)}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # zone-less times around the hour that the zone skips
+        start = dt.datetime(2001, 4, 1, 0, 30)
+        rows = [(i, start + dt.timedelta(minutes=10 * i)) for i in range(24)]
+        df = spark.createDataFrame([(i, str(t)) for i, t in rows], "i int, s string") \
+            .select("i", F.col("s").cast("timestamp_ntz").alias("t"))
+        got = {r["i"]: r["p"] for r in row_position(df, ["t"], out="p").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {i: i + 1 for i, _ in rows}
+
+
+def test_next_period_follows_the_newest_date(spark):
+    from quillspark.plans.queries import next_period_of
+    weekly = spark.createDataFrame([("e", y, w, 10 * y + w) for y in range(1997, 2010) for w in range(1, 54)],
+                                   "entity string, year int, week_of_year int, v int")
+    for newest, target in (("2000-06-30", (2000, 27)), ("2000-01-01", (2000, 1)), ("2004-12-20", (2004, 53)),
+                           ("2009-12-31", (2010, 1)), ("2005-01-01", (2005, 1))):
+        dates = spark.createDataFrame([(newest,), ("1998-02-03",), ("2000-01-01" if newest > "2000" else newest,)],
+                                      "d string").select(F.col("d").cast("timestamp_ntz").alias("d"))
+        got = [tuple(r) for r in next_period_of(weekly, dates, "d").collect()]
+        year, week = target
+        assert got == [("e", year, week, 10 * (year - 1) + week)]
 
 
 def test_row_position_equals_row_number(spark):
@@ -203,7 +236,7 @@ def test_row_position_equals_row_number(spark):
     data = [(rnd.choice("ab"), rnd.randint(0, 50), i) for i in range(500)]
     data += [("hot", rnd.randint(0, 1000), 500 + i) for i in range(2000)]
     df = spark.createDataFrame(data, "k string, d long, i long")
-    got = {r["i"]: r["row_pos"] for r in row_position(df, ["d", "i"], ["k"], chunks=16).collect()}
+    got = {r["i"]: r["row_pos"] for r in row_position(df, ["d", "i"], ["k"]).collect()}
     expect = {}
     for k in ("a", "b", "hot"):
         ordered = sorted((d, i) for kk, d, i in data if kk == k)
@@ -213,7 +246,7 @@ def test_row_position_equals_row_number(spark):
 
 def test_balanced_parts_follow_ntile(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
-    sizes = sorted((r[0], r[1]) for r in balanced_parts(df, ["k"], 4, chunks=3).groupBy("part").count().collect())
+    sizes = sorted((r[0], r[1]) for r in balanced_parts(df, ["k"], 4).groupBy("part").count().collect())
     assert sizes == [(1, 3), (2, 3), (3, 2), (4, 2)]
 
 

@@ -14,14 +14,13 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 20))),
-                min_size=1, max_size=80),
-       st.integers(1, 9))
-def test_row_position_is_row_number(spark, rows, chunks):
+                min_size=1, max_size=80))
+def test_row_position_is_row_number(spark, rows):
     # NULL partition keys form their own group and NULL sort values come
     # first, as in a plain row_number window.
     data = [(k, d, i) for i, (k, d) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, d long, i long")
-    got = {r["i"]: r["row_pos"] for r in row_position(df, ["d", "i"], ["k"], chunks=chunks).collect()}
+    got = {r["i"]: r["row_pos"] for r in row_position(df, ["d", "i"], ["k"]).collect()}
     expect = {}
     for k in ("a", "b", None):
         ordered = sorted(((d is not None, d or 0), i) for kk, d, i in data if kk == k)
@@ -34,7 +33,7 @@ def test_row_position_is_row_number(spark, rows, chunks):
 @given(st.integers(1, 60), st.integers(1, 9))
 def test_balanced_parts_sizes(spark, total, parts):
     df = spark.range(total).withColumnRenamed("id", "k")
-    out = {r["k"]: r["part"] for r in balanced_parts(df, ["k"], parts, chunks=4).collect()}
+    out = {r["k"]: r["part"] for r in balanced_parts(df, ["k"], parts).collect()}
     q, r = divmod(total, parts)
     sizes = Counter(out.values())
     expect = [q + 1] * r + [q] * (parts - r)

@@ -59,3 +59,30 @@ def test_window_pass_equals_separate_windows_after_prefix_filter(spark):
         plain = win.cumulative_sum(win.rolling_mean(cv, ["t"], ["pos"], "x", 4, "r"), ["t"], ["pos"], "x", "c")
         cols = [c for c in plain.columns if "_lag_" in c] + ["r", "c", "cv"]
         assert _as_dict(fused, cols) == _as_dict(plain, cols)
+
+
+def test_any_positions_and_exclude_current(spark):
+    """Gaps, also at chunk edges, and positions of another type."""
+    rnd = random.Random(4)
+    rows = []
+    for trade in ("a", "b", None):
+        pos = 0
+        for _ in range(60):
+            pos += rnd.choice([1, 1, 2, 9, 30])
+            rows.append((trade, pos, float(rnd.randint(1, 99)), rnd.choice([None, 2.0, 5.0])))
+    df = spark.createDataFrame(rows, "t string, pos int, x double, v double")
+    for chunk in (5, 7, 1000):
+        got = seg.window_pass(df, ["t"], "pos", lag_columns=["x"], lag_values=[1, 3], chunk_rows=chunk,
+                              rolling=[("x", 4, "r", None)], cumulative=[("v", "c", None)])
+        want = win.cumulative_sum(win.rolling_mean(win.add_lags(df, ["t"], ["pos"], ["x"], [1, 3]),
+                                                   ["t"], ["pos"], "x", 4, "r"), ["t"], ["pos"], "v", "c")
+        cols = ["x_lag_1", "x_lag_3", "r", "c"]
+        assert got.columns.count("_dense") == 0 and _as_dict(got, cols) == _as_dict(want, cols)
+        fill = seg.forward_fill(df, ["t"], "pos", "v", "f", chunk_rows=chunk)
+        assert _as_dict(fill, ["f"]) == _as_dict(win.forward_fill(df, ["t"], ["pos"], "v", "f"), ["f"])
+    w = win.Window.partitionBy("t").orderBy("pos")
+    before = seg.window_pass(df, ["t"], "pos", rolling=[("x", 4, "r", None)], cumulative=[("v", "c", None)],
+                             chunk_rows=6, exclude_current=True)
+    plain = df.withColumn("r", F.avg("x").over(w.rowsBetween(-4, -1))) \
+        .withColumn("c", F.sum("v").over(w.rowsBetween(win.Window.unboundedPreceding, -1)))
+    assert _as_dict(before, ["r", "c"]) == _as_dict(plain, ["r", "c"])

@@ -61,6 +61,59 @@ def test_csv_directory_max_duration(spark, tmp_dir):
     assert out == {"Band": 300.0, "Doe, J": 120.0}
 
 
+def test_csv_directory_judges_each_line_by_its_own_fields(spark, tmp_dir):
+    _write(f"{tmp_dir}/mixed/a.csv", 'only,two\nt1,x,Band,7\nt2,,Band,99\n,,Solo,5,extra,"6, 7"\n\nx,"a,b,c,d"\n')
+    _write(f"{tmp_dir}/mixed/b.csv", 't3,y,,4\n"q ""w"", z",y,Duo,8\n')
+    lines = text.read_csv_dir(spark, f"{tmp_dir}/mixed")
+    got = sorted(map(tuple, text.artist_durations(lines).collect()))
+    assert got == [("", 4.0), ("Band", 7.0), ("Band", 99.0), ("Duo", 8.0), ("Solo", 5.0)]
+
+
+def test_put_order_beats_row_order(spark):
+    def msg(body):
+        return f"To: k@x\nDate: Fri, 7 Dec 2001 10:06:42 -0800 (PST)\nFrom: x@y\n\n{body}"
+    rows = [("d/f", msg("old"), 1), ("d/f", msg("new"), 2), ("d/g", msg("one"), 5)]
+    for order in (rows, rows[::-1]):
+        raw = spark.createDataFrame(order, "path string, text string, put long")
+        got = {r["row_key"]: r["body"] for r in message_table(raw, put_order="put").collect()}
+        assert got == {"d/f": "new", "d/g": "one"}
+
+
+def test_merge_keeps_files_of_a_folder_apart(spark, tmp_dir):
+    for name, first in (("a", 0), ("b", 4000)):
+        _write(f"{tmp_dir}/fold/{name}.txt", "".join(f"{first + i}\n" for i in range(4000)))
+    _write(f"{tmp_dir}/last.txt", "9000\n9001\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        writers.merge_files(spark, [f"{tmp_dir}/fold", f"{tmp_dir}/last.txt"], f"{tmp_dir}/m1")
+        writers.merge_files(spark, [f"{tmp_dir}/fold", f"{tmp_dir}/last.txt"], f"{tmp_dir}/m2", one_file=True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [str(i) for i in range(8000)] + ["9000", "9001"]
+    assert _read_lines(f"{tmp_dir}/m1") == want and _read_lines(f"{tmp_dir}/m2") == want
+    assert len(glob.glob(f"{tmp_dir}/m2/part-*")) == 1
+
+
+def test_balanced_parts_hold_lines_in_order(spark, tmp_dir):
+    names = [f"n{(i * 37) % 100:02d}" for i in range(100)]
+    frame = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
+    writers.write_balanced_parts(frame, f"{tmp_dir}/bp", ["name"], 3)
+    parts = [_read_lines(d) for d in sorted(glob.glob(f"{tmp_dir}/bp/part=*"))]
+    assert [len(p) for p in parts] == [34, 33, 33] and sum(parts, []) == sorted(names)
+
+
+def test_block_reports(spark, tmp_dir):
+    rows = spark.createDataFrame([("LR", 1.5, 2), ("GBT", 2.5, None)], "model string, rmse double, n int")
+    writers.write_model_report(rows, f"{tmp_dir}/blocks")
+    assert _read_lines(f"{tmp_dir}/blocks") == ["Model: GBT", "rmse: 2.5", "n: None", "",
+                                                "Model: LR", "rmse: 1.5", "n: 2", ""]
+    for p, word in ((0.01, "is statistically"), (0.2, "is not statistically")):
+        res = spark.createDataFrame([(2.5, p)], "t_stat double, p_value double")
+        writers.write_test_report(res, f"{tmp_dir}/t{p}")
+        lines = _read_lines(f"{tmp_dir}/t{p}")
+        assert lines[:2] == ["T-statistic: 2.5", f"P-value: {p}"] and word in lines[2]
+
+
 def test_message_files_parse_and_filter(spark, tmp_dir):
     _write(f"{tmp_dir}/mail/user-a/1.", "To: k..lee@mail.example\nDate: Fri, 7 Dec 2001 10:06:42 -0800 (PST)\n"
            "From: a@mail.example\n\nBody one\n\nmore")
