@@ -138,10 +138,10 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN share >= 1.0 THEN share
             WHEN rnk % 3 = 1 THEN share
             WHEN rnk % 3 = 0 THEN CASE
-              WHEN share <= 0.625 THEN (sqrt(greatest(0.0, 2.25 + share * -2.0)) - 1.5) / -1.0
+              WHEN share <= 0.625 THEN 0.0 + (sqrt(greatest(0.0, 2.25 + share * -2.0)) - 1.5) / -1.0
               ELSE 0.5 + (sqrt(greatest(0.0, 1.0 + (share - 0.625) * -2.0)) - 1.0) / -1.0 END
             ELSE CASE
-              WHEN share <= 0.375 THEN (sqrt(greatest(0.0, 0.25 + share * 2.0)) - 0.5) / 1.0
+              WHEN share <= 0.375 THEN 0.0 + (sqrt(greatest(0.0, 0.25 + share * 2.0)) - 0.5) / 1.0
               ELSE 0.5 + (sqrt(greatest(0.0, 1.0 + (share - 0.375) * 2.0)) - 1.0) / 1.0 END
        END AS position
 FROM shares""",
