@@ -120,8 +120,8 @@ def rerank(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One round over block rows: those that are repeated whole, and for each
     context of a core that has several, one block to be cut further.
 
-    Counts are partial sums; the rows of a frequent core meet its count in a
-    join that may be split, never in one group.
+    Counts are partial sums, written before they are joined: so both sides of
+    the joins are plain shuffles, and Spark may split those of a frequent core.
     """
     often = stored(rows.groupBy("core").agg(F.count(F.lit(1)).alias("times"))
                    .where("times > 1").select("core"))
@@ -129,8 +129,8 @@ def rerank(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = F.min(F.struct("id", "hash", "block", "at", "n", "back")).alias("one")
     classes = stored(alive.groupBy("core", "context").agg(F.count(F.lit(1)).alias("times"), one))
     whole = alive.join(classes.where("times > 1").select("core", "context"), ["core", "context"])
-    several = classes.groupBy("core").agg(F.count(F.lit(1)).alias("contexts")) \
-        .where("contexts > 1").select("core")
+    several = stored(classes.groupBy("core").agg(F.count(F.lit(1)).alias("contexts"))
+                     .where("contexts > 1").select("core"))
     return whole.select("id", "hash", "at", "n"), classes.join(several, "core").select("one.*")
 
 
