@@ -134,7 +134,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
                         F.col("source").cast("string").alias("source"),
                         word_count().alias("size"))
     sized = stored(sized)
-    targets = source_targets(sized, weights, max_repeats)
+    # Written, so that Spark knows its size when it plans the join: one row per
+    # source is broadcast if that is small, and texts need no shuffle for it.
+    targets = stored(source_targets(sized, weights, max_repeats))
     a, b = sized.alias("a"), targets.alias("b")
     rows = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))) \
         .select("a.*", "b.docs", "b.source_size", "b.rank", "b.target")
