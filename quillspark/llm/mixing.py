@@ -142,18 +142,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
         .select("a.*", "b.docs", "b.source_size", "b.rank", "b.target")
     rows = rows.withColumn("bucket", F.floor(unit(F.col("digest"))
                                              * root_buckets(F.col("docs"))).cast("long"))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    over = Window.partitionBy("source").orderBy("bucket") \
+    # A struct is never null, so the join below is a plain one on the columns
+    # that the window has dealt the rows by.
+    rows = rows.withColumn("of", F.struct("source"))
+    sums = rows.groupBy("of", "bucket").agg(F.sum("size").alias("words"))
+    over = Window.partitionBy("of").orderBy("bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "bucket",
+    sums = sums.select("of", "bucket",
                        F.coalesce(F.sum("words").over(over), F.lit(0)).alias("earlier"))
-    inner = Window.partitionBy("source", "bucket").orderBy("digest", "size") \
+    inner = Window.partitionBy("of", "bucket").orderBy("digest", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    s, e = rows.alias("s"), sums.alias("e")
-    rows = s.join(e, F.col("s.source").eqNullSafe(F.col("e.source"))
-                  & (F.col("s.bucket") == F.col("e.bucket"))) \
-        .select("s.*", (F.col("s.within") + F.col("e.earlier")).alias("start"))
+    rows = rows.join(sums, ["of", "bucket"]) \
+        .withColumn("start", F.col("within") + F.col("earlier"))
     goal = F.floor("target").cast("long")
     taken, copies = F.lit(0).cast("long"), F.lit(0)
     for k in range(max_repeats):
