@@ -169,7 +169,8 @@ def rank_block(c_ids: np.ndarray, c: np.ndarray, q_ids: np.ndarray, q: np.ndarra
         bound = np.partition(rough, t - 1, axis=1)[:, t - 1]
         for r, row in enumerate(rough):
             slack = 1e-9 * (1 + abs(bound[r]) + float(q[a + r] @ q[a + r]))
-            near = np.flatnonzero(row <= bound[r] + slack)
+            # Sums that overflow compare with nothing, so those rows stay in.
+            near = np.flatnonzero(~(row > bound[r] + slack))
             exact = np.sqrt(((vectors[near] - q[a + r]) ** 2).sum(axis=1))
             mine = [ids[starts[g]:min(ends[g], starts[g] + k + 1)] for g in near]
             dist, mine = np.repeat(exact, [len(m) for m in mine]), np.concatenate(mine)

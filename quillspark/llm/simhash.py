@@ -98,8 +98,9 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
 
     Variants within ``ceil(distance / 2)`` bits meet. What meets on one variant
     lies in its ball, so there are at most as many as the ball has masks,
-    whatever the size of a group of copies. Neighbours in that list and each
-    one with the first are verified by their bits.
+    whatever the size of a group of copies. For an even distance any two of them
+    are linked, so neighbours in that list join all; for an odd one all its
+    pairs are tried. Either way the bits decide.
     """
     half = (distance + 1) // 2
     masks = F.array(*[F.lit(m).cast("long") for m in ball(half)])

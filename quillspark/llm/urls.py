@@ -4,7 +4,8 @@ Two variable-order Markov models are learned, one from the URLs that the rules
 accept and one from those that they reject. A URL that no rule decides is
 accepted or rejected by the difference of the two log-likelihoods per
 character, against a threshold calibrated on rule-decided URLs held out of the
-models. Built-in functions only.
+models. The models are tables of exact n-gram counts that grow with the URLs;
+URLs meet them in joins. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, let, stored
 
 ORDER = 4  # characters of context at most
-SLOTS = 1 << 16  # counters of a model; n-grams are hashed to them
 STRENGTH = 2.0  # how many observations the shorter context counts as
 LETTERS = 96.0  # size of the alphabet behind the empty context
+UNIT = 1e9  # log-ratios are summed as whole billionths, so in any order alike
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -48,79 +49,111 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return name, verdict
 
 
-def _padded(text: Column) -> Column:
-    """Start marks for the first contexts, and an end mark to predict."""
-    return F.concat(F.lit("\x02" * ORDER), text, F.lit("\x03"))
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """For each character of a text and its end mark, the n-grams of ``sizes``
+    characters that end there; start marks stand before the first."""
+    padded = F.concat(F.lit("\x02" * ORDER), text, F.lit("\x03"))
 
+    def at(chars: Column) -> Column:
+        places = F.sequence(F.lit(ORDER + 1), F.length(text) + (ORDER + 1))
+        return F.flatten(F.transform(places, lambda i: F.array(
+            *[F.array_join(F.slice(chars, i - (n - 1), n), "") for n in sizes])))
 
-def _slots(text: Column, slots: int) -> Column:
-    """For each character of the padded text and its end: the slots of its
-    n-grams of 1 to ORDER + 1 characters, then of their contexts."""
-    def slot(kind: int, gram: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(kind), gram), F.lit(slots)).cast("int")
+    return let(F.split(padded, ""), at)
 
-    places = F.sequence(F.lit(ORDER + 1), F.length(text))
-    return F.transform(places, lambda i: F.array(
-        *[slot(k, F.substr(text, i - k, F.lit(k + 1))) for k in range(ORDER + 1)],
-        *[slot(-k, F.substr(text, i - k, F.lit(k))) for k in range(1, ORDER + 1)]))
 
+def models(urls: DataFrame) -> DataFrame:
+    """Both models in one table ``gram, yes, no, after_yes, after_no``: how
+    often a string of up to ORDER + 1 characters occurs in either class, and
+    how often some character comes after it. ``urls`` has ``text`` and the flag
+    ``yes``. The empty string has the number of all characters.
 
-def models(urls: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Both models as one row of arrays ``yes`` and ``no``: by slot, how often
-    its n-grams and contexts occur, then the number of characters. ``urls`` has
-    ``text`` and the flag ``yes``.
-
-    Counting is a partial sum on ``slots`` keys, so what is shuffled and what
-    the row holds are bounded by ``slots``, not by the number of URLs.
+    One row per different string, made by partial sums: frequent strings meet
+    as one row per task.
     """
-    places = urls.select("yes", F.explode(let(
-        _padded(F.col("text")), lambda t: _slots(t, slots))).alias("slots"))
     yes, no = F.col("yes").cast("long"), (~F.col("yes")).cast("long")
-    total = places.agg(F.sum(yes).alias("yes"), F.sum(no).alias("no")) \
-        .select(F.lit(slots).alias("slot"), F.coalesce("yes", F.lit(0)).alias("yes"),
-                F.coalesce("no", F.lit(0)).alias("no"))
-    seen = places.select("yes", F.explode("slots").alias("slot")) \
-        .groupBy("slot").agg(F.sum(yes).alias("yes"), F.sum(no).alias("no"))
-    zero = F.lit(0).cast("long")
-    blank = urls.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"),
-                                                  zero.alias("yes"), zero.alias("no"))
-    full = blank.union(seen).union(total).groupBy("slot") \
-        .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    row = full.agg(F.array_sort(F.collect_list(F.struct("slot", "yes", "no"))).alias("all"))
-    return row.select(F.transform("all", lambda x: x["yes"]).alias("yes"),
-                      F.transform("all", lambda x: x["no"]).alias("no"))
-
-
-def ratio(text: Column, yes: Column, no: Column, slots: int = SLOTS) -> Column:
-    """Difference of the two log-likelihoods per character.
+    counts = urls.select("yes", F.explode(_grams(F.col("text"), range(1, ORDER + 2))).alias("gram")) \
+        .groupBy("gram").agg(F.sum(yes).alias("yes"), F.sum(no).alias("no"))
+    zero, context = F.lit(0).cast("long"), F.expr("left(gram, length(gram) - 1)")
+    roles = F.array(
+        F.struct(F.col("gram"), F.col("yes"), F.col("no"), zero.alias("after_yes"),
+                 zero.alias("after_no")),
+        F.struct(context.alias("gram"), zero.alias("yes"), zero.alias("no"),
+                 F.col("yes").alias("after_yes"), F.col("no").alias("after_no")))
+    names = ("yes", "no", "after_yes", "after_no")
+    return counts.select(F.explode(roles).alias("r")).select("r.*") \
+        .groupBy("gram").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def ratios(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """``gram, units`` for each of the ``grams`` of ORDER + 1 characters: the
+    difference of the log-probabilities of its last character after the rest,
+    in UNIT-ths.
 
     The probability of a character after k characters is its share there, with
     its probability after k - 1 added as STRENGTH further observations; a
     context never seen falls through to the shorter one, so the order varies
-    with the evidence."""
-    def p(counts: Column, at: Column) -> Column:
-        def count(i: int) -> Column:
-            return F.element_at(counts, at[i] + 1).cast("double")
-
-        total = F.element_at(counts, slots + 1).cast("double")
-        out = (count(0) + 1.0) / (total + LETTERS)
+    with the evidence. Each gram looks up its endings and their contexts, nine
+    strings, in one join."""
+    ending = lambda n: F.expr(f"right(gram, {n})")
+    before = lambda n: F.expr(f"left(right(gram, {n + 1}), {n})")
+    looked = F.array(*[F.struct(F.lit(k).alias("slot"), ending(k + 1).alias("part"))
+                       for k in range(ORDER + 1)],
+                     *[F.struct(F.lit(-k).alias("slot"), before(k).alias("part"))
+                       for k in range(1, ORDER + 1)])
+    parts = grams.select("gram", F.explode(looked).alias("l")).select("gram", "l.slot", "l.part")
+    stats = model.withColumnRenamed("gram", "part")
+    total = model.where("gram = ''").first()  # one row, or none without learned URLs
+    kinds = ("yes", "no")
+
+    def of(slot: int, column: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("slot") == slot, F.col(column))), F.lit(0)).cast("double")
+
+    met = parts.join(stats, "part", "left").groupBy("gram").agg(
+        *[of(k, c).alias(f"{c}{k}") for c in kinds for k in range(ORDER + 1)],
+        *[of(-k, f"after_{c}").alias(f"after_{c}{k}") for c in kinds for k in range(1, ORDER + 1)])
+
+    def p(kind: str) -> Column:
+        characters = float(total[f"after_{kind}"]) if total else 0.0
+        out = (F.col(f"{kind}0") + 1.0) / (characters + LETTERS)
         for k in range(1, ORDER + 1):
-            # Contexts may share a slot with others, never with fewer than their own.
-            out = (count(k) + out * STRENGTH) / (F.greatest(count(ORDER + k), count(k)) + STRENGTH)
+            out = (F.col(f"{kind}{k}") + out * STRENGTH) / (F.col(f"after_{kind}{k}") + STRENGTH)
         return out
 
-    whole = F.aggregate(let(_padded(text), lambda t: _slots(t, slots)), F.lit(0.0),
-                        lambda acc, at: acc + F.log(p(yes, at) / p(no, at)))
-    return whole / (F.length(text) + 1)
+    return met.select("gram", F.round(F.log(p("yes") / p("no")) * UNIT).cast("long").alias("units"))
+
 
+def _key(text: str = "text") -> Column:
+    return F.unhex(F.md5(F.col(text).cast("binary")))
 
-def _array(numbers: Sequence[int]) -> Column:
-    """A long array as one constant."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<long>")
+
+def scores(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """``key, yes, score`` of distinct ``texts`` (``text, yes``): the
+    log-likelihood difference per character, the end mark counted; ``key`` is
+    the digest of the text. Frequent grams have one row in the table of ratios;
+    it is broadcast only if its written size allows, else the join shuffles and
+    may split what meets a frequent gram."""
+    whole = F.explode(_grams(F.col("text"), [ORDER + 1])).alias("gram")
+    table = stored(ratios(texts.select(whole).distinct(), model))
+    return texts.select(_key().alias("key"), "yes", whole).join(table, "gram") \
+        .groupBy("key", "yes").agg((F.sum("units") / UNIT / F.count(F.lit(1))).alias("score"))
+
+
+def _threshold(held: DataFrame) -> float:
+    """Equally many deviations from both means of ``yes, score``; 0 if a class
+    is missing."""
+    yes, no = F.when(F.col("yes"), F.col("score")), F.when(~F.col("yes"), F.col("score"))
+    row = held.agg(F.avg(yes).alias("my"), F.avg(no).alias("mn"),
+                   F.stddev_pop(yes).alias("sy"), F.stddev_pop(no).alias("sn")).first()
+    if row["my"] is None or row["mn"] is None:
+        return 0.0
+    spread = row["sy"] + row["sn"]
+    return ((row["my"] * row["sn"] + row["mn"] * row["sy"]) / spread if spread
+            else (row["my"] + row["mn"]) / 2)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ("page_id",),
-          url: str = "url", slots: int = SLOTS, fold: int = 4) -> DataFrame:
+          url: str = "url", fold: int = 4) -> DataFrame:
     """Verdict of every URL: ``keep, host, path, rule, verdict, score``.
 
     ``score`` is the log-likelihood difference per character, accepted minus
@@ -132,9 +165,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ("page_
     scores that reach the threshold are allowed.
 
     Null and empty URLs have an empty host and path and are judged as such.
-    Repeated rows come out repeated; they do not weigh twice in the models. No
-    rows give no rows. Other columns are ignored. The two models go to the
-    tasks as constants of ``slots`` counters, a fixed size.
+    Repeated rows come out repeated; they do not weigh twice in the models, and
+    an address is scored once however many pages have it. No rows give no rows.
+    Other columns are ignored. The driver sees the number of characters of
+    either class and the calibration's four figures.
     """
     host, path = host_and_path(F.col(url).cast("string"))
     rows = pages.select(*[F.col(c).alias(f"k_{c}") for c in keep], host.alias("host"),
@@ -142,24 +176,16 @@ def judge(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ("page_
     rule, by_rule = matched_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), by_rule.alias("by_rule"),
                        F.concat("host", "path").alias("text"))
-    decided = stored(rows.where("by_rule is not null").select(
-        "text", (F.col("by_rule") == "allow").alias("yes")).distinct())
+    # Host and path follow from the address, so a rule decides all of its pages or none.
+    addresses = stored(rows.select("text", (F.col("by_rule") == "allow").alias("yes")).distinct())
     part = F.pmod(F.xxhash64(F.lit("fold"), F.col("text")), F.lit(fold))
-    learned = models(decided.where(part != 0), slots).first()
-    score = ratio(F.col("text"), _array(learned["yes"]), _array(learned["no"]), slots)
-
-    yes, no = F.when(F.col("yes"), F.col("score")), F.when(~F.col("yes"), F.col("score"))
-    held = decided.where(part == 0).withColumn("score", score).agg(
-        F.avg(yes).alias("my"), F.avg(no).alias("mn"),
-        F.stddev_pop(yes).alias("sy"), F.stddev_pop(no).alias("sn")).first()
-    threshold = 0.0
-    if held["my"] is not None and held["mn"] is not None:
-        spread = held["sy"] + held["sn"]
-        threshold = ((held["my"] * held["sn"] + held["mn"] * held["sy"]) / spread if spread
-                     else (held["my"] + held["mn"]) / 2)
-    score = F.when(F.col("by_rule").isNull(), score)
+    model = stored(models(addresses.where(F.col("yes").isNotNull() & (part != 0))))
+    scored = stored(scores(addresses.where(F.col("yes").isNull() | (part == 0)), model))
+    threshold = _threshold(scored.where("yes is not null"))
+    free = scored.where("yes is null").select("key", "score")
+    # Decided rows find nothing; they keep their key, so that the join spreads them too.
+    rows = rows.withColumn("key", _key()).join(free, "key", "left")
     verdict = F.coalesce("by_rule", F.when(F.col("score") >= threshold, F.lit("allow"))
                          .otherwise(F.lit("block")))
-    return rows.withColumn("score", score).select(
-        *[F.col(f"k_{c}").alias(c) for c in keep], "host", "path", "rule",
-        verdict.alias("verdict"), "score")
+    return rows.select(*[F.col(f"k_{c}").alias(c) for c in keep], "host", "path", "rule",
+                       verdict.alias("verdict"), "score")

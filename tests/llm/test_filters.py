@@ -41,8 +41,7 @@ def test_urls_odd_rows(spark):
 
 def test_url_model_matches_plain_markov_and_separates(spark):
     """The score is that of the interpolated models over distinct addresses,
-    computed here with plain dictionaries (no two n-grams share a slot in so
-    small a set of 2**20 slots, but for chance)."""
+    computed here with plain dictionaries."""
     import math
     from collections import Counter
     good = [f"news{i}.org/story/{i * 37 % 101}" for i in range(40)]
@@ -50,7 +49,7 @@ def test_url_model_matches_plain_markov_and_separates(spark):
     rows = [(i, "http://" + u) for i, u in enumerate(good + bad)] + [
         (900, "http://news7.net/story/55"), (901, "http://x.net/es/win3cash21")]
     got = {r["page_id"]: r for r in urls.judge(
-        spark.createDataFrame(rows, "page_id long, url string"), queries.RULES, slots=1 << 16).collect()}
+        spark.createDataFrame(rows, "page_id long, url string"), queries.RULES).collect()}
     assert got[900]["verdict"] == "allow" and got[901]["verdict"] == "block"
 
     part = {r["t"]: r["p"] for r in spark.createDataFrame([(u,) for u in good + bad], "t string").select(
@@ -82,7 +81,7 @@ def test_url_model_matches_plain_markov_and_separates(spark):
     yes, no = model([u for u in good if part[u]]), model([u for u in bad if part[u]])
     for page in (900, 901):
         text = got[page]["host"] + got[page]["path"]
-        assert got[page]["score"] == pytest.approx(score(text, yes) - score(text, no), abs=0.05)
+        assert got[page]["score"] == pytest.approx(score(text, yes) - score(text, no), abs=1e-8)
 
 
 SECRETS = [None, "", "password=abc", "Password = 'hunter22!'", "password: token: abcdefgh",
