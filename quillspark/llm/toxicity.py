@@ -26,7 +26,7 @@ PART_ROWS = 8192  # labelled rows learned by one task
 MOST_ROWS = 65536  # labelled rows learned at most
 EPOCHS = 6
 ALPHA, BETA = 8.0, 1.0  # rate per coordinate: ALPHA / (BETA + root of its squared gradients)
-L1_PER_ROW = 6e-4  # sparsity; it grows with the rows that a task learns
+L1_PER_ROOT = 0.09  # sparsity; chance alone moves a gradient sum by the root of its rows
 LEAST_SEEN = 3  # rows of a task that must hold a coordinate
 PREDICT = 0.7
 
@@ -90,7 +90,7 @@ def _train_part(pdf: pd.DataFrame) -> pd.DataFrame:
         seen[i] += 1
     place = np.cumsum(seen >= LEAST_SEEN)  # from 1: the bias comes first
     rows = [np.append(0, place[i[seen[i] >= LEAST_SEEN]]) for i in rows]
-    model, labels = Ftrl(int(place[-1]) + 1, L1_PER_ROW * len(rows)), pdf["label"].tolist()
+    model, labels = Ftrl(int(place[-1]) + 1, L1_PER_ROOT * len(rows) ** 0.5), pdf["label"].tolist()
     for _ in range(EPOCHS):
         for i, label in zip(rows, labels):
             model.learn(i, label)
