@@ -140,3 +140,13 @@ def test_frequent_vector_is_ranked_in_blocks(spark, monkeypatch):
     got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert {r["vec_id"] for r in got if r["query_id"] == 0} == set(range(1, 11))
     assert {r["vec_id"] for r in got if r["query_id"] == 100} == set(range(10))
+
+
+def test_rank_block_with_sums_that_overflow():
+    c = np.array([[1e200, 0.0], [-1e200, 0.0], [1.0, 0.0], [2e199, 3.0]])
+    q = np.array([[1e200, 1.0], [1.0, 1.0]])
+    with np.errstate(over="ignore", invalid="ignore"):
+        asked, found, far = ann.rank_block(np.array([4, 3, 2, 1]), c, np.array([100, 200]), q, 2)
+    assert asked.tolist() == [100, 100, 200, 200]
+    assert found[:2].tolist() == [4, 1] and far[:2].tolist() == [1.0, np.inf]
+    assert found[2:].tolist() == [2, 1] and far[2:].tolist() == [1.0, np.inf]
