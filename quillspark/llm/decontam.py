@@ -6,7 +6,8 @@ radius + 1 fingerprint blocks finds every item of that length within the
 radius, and exact weighted-shingle similarity verifies what is found. Only
 windows that can reach the similarity are made: such a window shares a run of
 shingles with its item, so some shingle at every ``stride``-th word of the
-document is one of an item. Built-in functions only.
+document is one of an item, and it holds as many item shingles as the
+similarity needs, in whatever order. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -69,10 +70,10 @@ def similarity(a: Column, b: Column) -> Column:
     return let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
-def lost(shingles: Column, least: float = SIMILARITY) -> Column:
-    """Shingles of an item that a window of its size may lack at similarity
-    ``least``: both have n, and common / (2n - common) >= least."""
-    return (shingles - F.ceil(shingles * (2 * least / (1 + least)) - 1e-9)).cast("int")
+def needed(item: Column, window: Column, least: float = SIMILARITY) -> Column:
+    """Shingles that an item and a window must share at similarity ``least``,
+    from how many each has: common / (item + window - common) >= least."""
+    return F.ceil((item + window) * (least / (1 + least)) - 1e-9).cast("int")
 
 
 def blocks(fp: Column, radius: int) -> Column:
@@ -86,11 +87,11 @@ def blocks(fp: Column, radius: int) -> Column:
 
 
 def _stride(items: DataFrame, least: float) -> int:
-    """Words between the tested places. What separates two shared runs breaks
-    at least four shingles, so the longest run has its share of the rest."""
+    """Words between the tested places. A window shares at least ``least`` of
+    the item's shingles, fewer than all only where the document is shorter, and
+    what it does not share, each maybe alone, cuts them into runs."""
     n = F.col("n") - (SHINGLE - 1)
-    gone = lost(n, least)
-    run = F.ceil((n - gone) / (F.floor(gone / 4) + 1))
+    run = F.ceil(F.ceil(n * least - 1e-9) / (n - needed(n, n, least) + 1))
     return int(items.agg(F.coalesce(F.min(run), F.lit(1))).first()[0])
 
 
@@ -121,47 +122,69 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("
     A benchmark shingle in a great many documents only makes rows for those
     documents: its side of the joins is a few rows, and the join may split the
     other side. Windows go by words around the shared shingle, so texts are
-    neither shuffled nor copied.
+    neither shuffled nor copied. Every window that holds the shingle is made if
+    it holds as many item shingles as it must share, wherever they stand in the
+    item.
     """
     words = words_of(F.col("text").cast("string"))
     items = stored(benchmark.select("item_id", words.alias("words"))
                    .where(F.size("words") >= SHINGLE)
                    .select("item_id", "words", F.size("words").alias("n")))
-    place = F.posexplode(F.transform(_shingles(F.col("words")), lambda s: F.xxhash64(s)))
-    shingles = items.select("n", place.alias("j", "hash")).distinct()
+    hashes = F.transform(_shingles(F.col("words")), lambda s: F.xxhash64(s))
+    shingles = items.select("n", F.explode(hashes).alias("hash")).distinct()
     stride, sieve = _stride(items, least), _sieve(shingles)
     longest = items.agg(F.coalesce(F.max("n"), F.lit(SHINGLE))).first()[0]
-    reach = longest + int(longest * (1 - least)) + SHINGLE
 
     rows = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep],
                        F.md5(text_or_empty().cast("binary")).alias("text_md5"),
                        words.alias("words"))
     keys = [f"k_{c}" for c in keep] + ["text_md5"]
-    tested = F.transform(
-        F.sequence(F.lit(1), F.size("words") - (SHINGLE - 1), F.lit(stride)),
-        lambda i: F.struct(i.alias("i"), F.xxhash64(F.array_join(F.slice(
-            F.col("words"), i, SHINGLE), " ")).alias("hash")))
 
-    def passes(x: Column) -> Column:
-        at = F.pmod(x["hash"], F.lit(SIEVE)).cast("int")
+    def hash_at(i: Column) -> Column:
+        return F.xxhash64(F.array_join(F.slice(F.col("words"), i, SHINGLE), " "))
+
+    def passes(h: Column) -> Column:
+        at = F.pmod(h, F.lit(SIEVE)).cast("int")
         bits = F.element_at(sieve, F.shiftright(at, 6) + 1)
         return F.call_function("shiftrightunsigned", bits, at.bitwiseAND(F.lit(63))) \
             .bitwiseAND(F.lit(1).cast("long")) == 1
 
-    hits = rows.where(F.size("words") >= SHINGLE).select(
-        *keys, "words", F.explode(F.filter(tested, passes)).alias("hit"))
-    first = F.greatest(F.lit(1), F.col("hit.i") - reach)
-    hits = hits.select(*keys, F.size("words").alias("size"), F.col("hit.i").alias("i"),
+    final = F.size("words") - (SHINGLE - 1)
+    tested = F.transform(F.sequence(F.lit(1), final, F.lit(stride)),
+                         lambda i: F.struct(i.alias("i"), hash_at(i).alias("hash")))
+    # Texts with a hit get a flag for every shingle that may be one of an item.
+    flags = F.transform(F.sequence(F.lit(1), final), lambda i: passes(hash_at(i)))
+    met = let(F.filter(tested, lambda x: passes(x["hash"])), lambda hits: F.when(
+        F.size(hits) > 0, F.struct(hits.alias("hits"), flags.alias("flags"))))
+    hits = rows.where(F.size("words") >= SHINGLE).select(*keys, "words", met.alias("met")) \
+        .select(*keys, "words", F.col("met.flags").alias("flags"),
+                F.explode("met.hits").alias("hit"))
+    i, first = F.col("hit.i"), F.greatest(F.lit(1), F.col("hit.i") - longest)
+    marks = F.filter(F.sequence(first, F.least(F.size("flags"), i + longest)),
+                     lambda p: F.element_at(F.col("flags"), p))
+    hits = hits.select(*keys, F.size("words").alias("size"), i.alias("i"),
                        F.col("hit.hash").alias("hash"), first.alias("first"),
-                       F.slice("words", first, F.lit(2 * reach)).alias("around"))
-    gone = lost(F.col("n") - (SHINGLE - 1), least)
+                       F.slice("words", first, F.lit(2 * longest)).alias("around"),
+                       marks.alias("marks"))
     last = F.greatest(F.lit(1), F.col("size") - F.col("n") + 1)
-    aligned = F.col("i") - F.col("j")
-    bound = lambda c: F.greatest(F.lit(1), F.least(last, c))
-    found = hits.join(shingles, "hash").select(
-        *keys, "n", "first", "around", F.explode(F.array_distinct(F.transform(
-            F.sequence(aligned - gone, aligned + gone), bound))).alias("start"))
-    windows = found.where("start >= first").select(
+    most = F.least("n", "size") - (SHINGLE - 1)
+    near = hits.join(shingles, "hash").select(
+        "*", last.alias("last"), most.alias("most"),
+        needed(F.col("n") - (SHINGLE - 1), most, least).alias("need"))
+
+    def starts(r: Column) -> Column:
+        """Starts of the windows around the hit that hold ``need`` marks from
+        the r-th on."""
+        low = F.greatest(F.lit(1), F.col("i") - F.col("most") + 1,
+                         F.element_at("marks", r + F.col("need") - 1) - F.col("most") + 1)
+        high = F.least(F.element_at("marks", r), F.col("i"), F.col("last"))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    rank = F.sequence(F.lit(1), F.size("marks") - F.col("need") + 1)
+    found = near.where((F.col("need") <= F.col("most")) & (F.size("marks") >= F.col("need"))) \
+        .select(*keys, "n", "first", "around", F.explode(F.array_distinct(F.flatten(
+            F.transform(rank, starts)))).alias("start"))
+    windows = found.select(
         *keys, "n", "start", F.slice("around", F.col("start") - F.col("first") + 1, F.col("n"))
         .alias("window")).dropDuplicates([*keys, "n", "start"])
     marked = windows.where(F.size("window") >= SHINGLE).withColumn("fp", simhash(F.col("window")))

@@ -183,6 +183,25 @@ def test_decontamination_of_edited_windows(spark):
     _check_contamination(spark, docs, items)
 
 
+def test_decontamination_of_moved_blocks(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (40, 50, 59, 90, 150)]
+    items.append((30, " ".join(f"r{k % 7}" for k in range(30))))
+    docs = []
+    for item, text in items:
+        words = text.split()
+        for k, cut in enumerate((len(words) // 2, len(words) - 12, 20)):
+            around = [f"d{item}x{k}y{x}" for x in range(3 + 11 * k)]
+            moved = around + words[cut:] + words[:cut] + around[::-1]
+            docs.append((10 * item + k, " ".join(moved)))
+    _check_contamination(spark, docs, items)
+
+
+def test_decontamination_of_a_document_shorter_than_the_item(spark):
+    words = [f"w{k}" for k in range(24)]
+    _check_contamination(spark, [(1, " ".join(["new", *words[1:22]])), (2, " ".join(words[:20]))],
+                         [(1, " ".join(words))])
+
+
 def test_decontamination_odd_rows(spark, docs_of, odd):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over it", "z")],
                                   "item_id long, text string, words string")
