@@ -216,11 +216,17 @@ def _cut(frame: DataFrame, length: int, step: int) -> DataFrame:
     return frame.select("id", "hash", "block", "at", "n", "back", "bytes").mapInArrow(run, _ROW)
 
 
+def _lists(spans: DataFrame) -> DataFrame:
+    """The windows of each ``id, hash``, every one once: rows that repeat an id
+    and its text share the key and bring the same windows."""
+    return spans.distinct().groupBy("id", "hash").agg(
+        F.collect_list(F.struct("at", "n")).alias("cuts"))
+
+
 def _remove(texts: DataFrame, spans: DataFrame, keep: list[str], length: int) -> DataFrame:
     """Join every text with its repeated windows and take them out."""
-    lists = spans.groupBy("id", "hash").agg(F.collect_list(F.struct("at", "n")).alias("cuts"))
     met = _packed(texts.select(*keep, "id", "hash", "text")) \
-        .join(lists, ["id", "hash"], "left").select(*keep, "text", "cuts")
+        .join(_lists(spans), ["id", "hash"], "left").select(*keep, "text", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()

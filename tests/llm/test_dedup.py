@@ -117,6 +117,23 @@ def test_suffix_long_text_in_segments(spark, monkeypatch):
     _check_repeats(spark, texts)
 
 
+def test_suffix_windows_of_repeated_rows_are_listed_once(spark, monkeypatch):
+    listed, join = [], suffix._remove
+
+    def remove(texts, spans, keep, length):
+        listed.append((spans.count(), [len(r["cuts"]) for r in suffix._lists(spans).collect()]))
+        return join(texts, spans, keep, length)
+
+    monkeypatch.setattr(suffix, "_remove", remove)
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    rows = [(7, text)] * 40 + [(None, text[::-1])] * 30 + [(8, text)]
+    got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 71 and all(r["n_bytes"] == 2000 and not r["kept"] for r in got)
+    [(spans, sizes)] = listed
+    assert len(sizes) == 3 and max(sizes) <= 1801 and spans >= 30 * max(sizes)
+
+
 def test_suffix_repeated_rows_and_ids(spark, docs_of, odd):
     rows = odd + [(7, "t" * 300, "a"), (7, "u" * 250, "a"), (None, "v" * 30, "a"), odd[-1]]
     got = suffix.remove_repeats(docs_of(rows)).collect()
