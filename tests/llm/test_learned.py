@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
 from quillspark.llm import ann, quality, queries, toxicity
+from quillspark.llm.labelled import training_rows
 from quillspark.sources.tables import table
 
 SF_LARGE = "/root/testdata/sf0.1"
@@ -52,6 +54,16 @@ def test_classifiers_on_odd_rows(spark, docs_of, odd, operator, label):
     assert {r["score"] for r in blank} == {0.5}
 
 
+def test_an_id_is_learned_once(spark):
+    rows = [(7, f"text {i}") for i in range(300)] + [(i, "same") for i in range(20, 40)] * 3
+    docs = spark.createDataFrame(rows + [(8, None), (8, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = training_rows(docs, labels, "toxic", 3, 3, 100, "toxic").collect()
+    assert len(got) == 22 and sum(r["text"] == "same" for r in got) == 20
+    least = min((f"text {i}" for i in range(300)), key=lambda t: hashlib.md5(t.encode()).digest())
+    assert {r["text"] for r in got} - {None, ""} == {"same", least}
+
+
 def test_scores_do_not_see_labels_of_the_held_out_fold(spark):
     docs, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
