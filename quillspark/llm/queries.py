@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, decontam, mixing, quality, secrets, sharding, simhash, suffix, toxicity, urls
+from . import (alignment, ann, decontam, mixing, quality, secrets, sharding, simhash, suffix, toxicity,
+               urls)
+
+TOKENIZERS = "/opt/tokenizers"  # folder of the public vocabulary files, on the driver
 
 # The URL rules.
 RULES: tuple[urls.Rule, ...] = (
@@ -78,6 +82,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start_word", "words").distinct()
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = [Path(TOKENIZERS, name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *models)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                          F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+                          .alias("groups_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix": op9_suffix,
     "op10_decontamination": op10_decontamination,
+    "op11_alignment": op11_alignment,
     "pipeline": pipeline,
 }
 
