@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (alignment, ann, decontam, mixing, quality, secrets, sharding, simhash, suffix, toxicity,
+from . import (alignment, ann, decontam, jaccard, mixing, quality, secrets, sharding, simhash, suffix, toxicity,
                urls)
 
 TOKENIZERS = "/opt/tokenizers"  # folder of the public vocabulary files, on the driver
@@ -90,6 +90,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                           .alias("groups_sha256"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -108,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix": op9_suffix,
     "op10_decontamination": op10_decontamination,
     "op11_alignment": op11_alignment,
+    "op13_ngram_join": op13_ngram_join,
     "pipeline": pipeline,
 }
 
