@@ -15,9 +15,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import stored
 from .components import components
@@ -26,6 +28,7 @@ from .words import Powers, chunks, flat, scramble, spans
 FRAGMENTS = 16
 SPREAD = 4096   # members of an n-gram whose neighbours are looked for together
 PARTNERS = 8    # first n-grams that bring a set a partner of random place
+PARTS = 64      # counted parts of a set, by hash, that bound an overlap
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,6 +136,11 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     return stored(left.select("n", "d1", "d2", "row.*", F.monotonically_increasing_id().alias("cid")))
 
 
+@F.pandas_udf(ArrayType(IntegerType()))
+def _part_sizes(tokens: pd.Series) -> pd.Series:
+    return tokens.map(lambda t: np.bincount(np.asarray(t, dtype=np.int64) & (PARTS - 1), minlength=PARTS))
+
+
 def _ordered(sets: DataFrame, percent: int) -> DataFrame:
     """Sets of which enough is shared, their shared n-grams in global order, as
     places: ``cid, n, s, tokens``, each token with its place ``at`` in the order."""
@@ -142,8 +150,8 @@ def _ordered(sets: DataFrame, percent: int) -> DataFrame:
     at = F.col("df") + (F.shiftrightunsigned(F.col("token"), 11) / F.lit(2.0 ** 53))
     placed = tokens.join(shared, "token").select("cid", "n", F.struct(at.alias("at"), "token").alias("t"))
     whole = placed.groupBy("cid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("t")).alias("tokens"))
-    return stored(whole.withColumn("s", F.size("tokens").cast("long"))
-                  .where(F.col("s") >= _least("n", percent)))
+    whole = whole.withColumn("s", F.size("tokens").cast("long")).where(F.col("s") >= _least("n", percent))
+    return stored(whole.withColumn("parts", _part_sizes(F.col("tokens.token"))))
 
 
 def _segments(sets: DataFrame) -> DataFrame:
@@ -167,6 +175,16 @@ def _fits(percent: int) -> Column:
     return (100 + percent) * common >= percent * (F.col("na") + F.col("nb"))
 
 
+def _reach(percent: int) -> Column:
+    """Whether ``a`` and ``b`` that have their first common n-gram here can be
+    similar: it leaves the rest of either set, and in no part of the sets more
+    is common than the smaller one holds."""
+    common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
+    need = percent * (F.col("na") + F.col("nb"))
+    return ((100 + percent) * F.least(F.col("sa") - F.col("ka"), F.col("sb") - F.col("kb")) >= need) \
+        & ((100 + percent) * common >= need)
+
+
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b``: overlaps of the pairs counted by fragment and summed."""
     left = segments.select(F.col("cid").alias("a"), "fragment", F.col("tokens").alias("of_a"))
@@ -190,8 +208,9 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """
     segments = _segments(sets)
     length = (F.col("s") - _least("n", percent) + 1).cast("int")
-    prefix = sets.select("cid", "n", "s", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("k", "t"))
-    prefix = stored(prefix.select("cid", "n", "s", "k", F.col("t.token").alias("token"),
+    prefix = sets.select("cid", "n", "s", "parts",
+                         F.posexplode(F.slice("tokens", F.lit(1), length)).alias("k", "t"))
+    prefix = stored(prefix.select("cid", "n", "s", "k", "parts", F.col("t.token").alias("token"),
                                   F.floor("t.at").cast("long").alias("df")))
     spread = F.pmod(F.xxhash64("cid"), F.ceil(F.col("df") / SPREAD))
     met = []
@@ -208,18 +227,22 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     first = stored(_verified(pairs, segments, percent))
     joined = components(first)
     placed = stored(prefix.join(joined, prefix["cid"] == joined["node"], "left")
-                    .select("token", "cid", "n", "s", F.coalesce("root", "cid").alias("root")))
+                    .select("token", "cid", "n", "s", "k", "parts", F.coalesce("root", "cid").alias("root")))
     # On each n-gram: who is not of its largest group meets everyone outside the own group.
     by_root = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
     largest = by_root.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("most"),
                                            F.count(F.lit(1)).alias("roots")).where("roots > 1")
     open_ = stored(placed.join(largest.select("token", "most"), "token"))
-    small = open_.where("root <> most").select("token", F.col("cid").alias("a"), F.col("n").alias("na"),
-                                               F.col("s").alias("sa"), F.col("root").alias("ra"))
-    every = open_.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"),
-                         F.col("root").alias("rb"))
-    rest = small.join(every, "token").where((F.col("ra") != F.col("rb")) & _fits(percent)) \
-        .select("a", "b", "na", "nb").distinct()
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        names = {"cid": x, "n": f"n{x}", "s": f"s{x}", "k": f"k{x}", "parts": f"p{x}", "root": f"r{x}"}
+        return rows.select("token", *[F.col(c).alias(n) for c, n in names.items()])
+
+    rest = side(open_.where("root <> most"), "a").join(side(open_, "b"), "token") \
+        .where((F.col("ra") != F.col("rb")) & _reach(percent)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
+                F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
     return first.union(_verified(rest, segments, percent))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import (alignment, ann, decontam, jaccard, mixing, quality, secrets, sharding, simhash, suffix, toxicity,
+from . import (alignment, ann, decontam, jaccard, lexical, mixing, quality, secrets, sharding, simhash, suffix, toxicity,
                urls)
 
 TOKENIZERS = "/opt/tokenizers"  # folder of the public vocabulary files, on the driver
@@ -90,6 +90,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                           .alias("groups_sha256"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix": op9_suffix,
     "op10_decontamination": op10_decontamination,
     "op11_alignment": op11_alignment,
+    "op12_lexical": op12_lexical,
     "op13_ngram_join": op13_ngram_join,
     "pipeline": pipeline,
 }
@@ -163,4 +168,33 @@ SELECT doc_id, size, source_size, target,
               ELSE 0.5 + (sqrt(greatest(0.0, 1.0 + (share - 0.375) * 2.0)) - 1.0) / 1.0 END
        END AS position
 FROM shares""",
+    # The same scores from all postings of the terms of all items.
+    "op12_lexical": r"""
+WITH doc_terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+lengths AS (SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id),
+corpus AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM doc_terms
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term, big_n),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l)))
+         AS part
+  FROM postings JOIN weights USING (term) JOIN lengths USING (doc_id), corpus),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM item_terms JOIN impacts USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+         doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
 }
