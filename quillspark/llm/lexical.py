@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -33,8 +32,8 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 VOCABULARY = 1 << 16  # term occurrences of the items that one round searches for
 PIECE = 1 << 20       # bytes of a text whose terms are listed at a time
-SHARD = 2048          # documents of a shard
-BLOCK = 32            # documents of a block, twice that at most
+SHARD = 4096          # documents of a shard
+BLOCK = 64            # documents of a block, twice that at most
 DEPTH = 8             # halvings of the cell tree
 SAMPLE = 1 << 12      # documents the cell tree is fitted on
 DIMENSIONS = 16       # of the sketch that similarity is measured on
@@ -88,11 +87,11 @@ def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uids), batch.column("doc_id"), pa.array(n, pa.int64()),
                  pa.ListArray.from_arrays(bounds, pa.array(terms, pa.int32())),
-                 pa.ListArray.from_arrays(bounds, pa.array(tf, pa.int64()))],
+                 pa.ListArray.from_arrays(bounds, pa.array(tf, pa.int32()))],
                 names=["uid", "doc_id", "n", "terms", "tf"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "uid long, doc_id long, n long, terms array<int>, tf array<long>")
+        run, "uid long, doc_id long, n long, terms array<int>, tf array<int>")
 
 
 # ---------------------------------------------------------------- similarity
@@ -151,18 +150,18 @@ def _impacts(vectors: DataFrame, weights, cells) -> DataFrame:
         w = weights.value
         for batch in batches:
             terms, bounds = _flat(batch.column("terms"))
-            tf, _ = _flat(batch.column("tf"))
+            tf = _flat(batch.column("tf"))[0].astype(np.int64)
             m = np.repeat(batch.column("m").to_numpy(), np.diff(bounds))
             impact = 1_000_000_000 * tf // (1000 * tf + 20 * m)
             vector = sketches(terms, w[terms] * impact, bounds, len(w))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("uid"), batch.column("doc_id"), pa.array(cells.value.of(vector).astype(np.int32)),
                  batch.column("terms"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
-                                                                 pa.array(impact))],
+                                                                 pa.array(impact.astype(np.int32)))],
                 names=["uid", "doc_id", "cell", "terms", "impacts"])
 
     return vectors.where(F.size("terms") > 0).select("uid", "doc_id", "m", "terms", "tf").mapInArrow(
-        run, "uid long, doc_id long, cell int, terms array<int>, impacts array<long>")
+        run, "uid long, doc_id long, cell int, terms array<int>, impacts array<int>")
 
 
 # ---------------------------------------------------------------- blocks
@@ -197,10 +196,22 @@ def list_blocks(terms: np.ndarray, bounds: np.ndarray, vectors: np.ndarray, want
     return doc, np.append(start, len(doc)), term[start]
 
 
-def summaries(members: np.ndarray, block_bounds: np.ndarray, terms: np.ndarray, impacts: np.ndarray,
-              bounds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Greatest impact of every term in each block: numbers of lists, terms,
-    maxima, for some blocks at a time."""
+def asked_with(queries: list[Query], greatest: np.ndarray) -> dict[int, np.ndarray]:
+    """For each term whose list a query may have to visit, the terms that are
+    asked for together with it; without lists that are too light to lift a
+    document to the floor."""
+    found: dict[int, list[np.ndarray]] = {}
+    for q in queries:
+        for t in q.terms[np.cumsum(q.weights * greatest[q.terms]) >= q.floor].tolist():
+            found.setdefault(t, []).append(q.terms)
+    return {t: np.unique(np.concatenate(x)) for t, x in found.items()}
+
+
+def summaries(members: np.ndarray, block_bounds: np.ndarray, block_term: np.ndarray, terms: np.ndarray,
+              impacts: np.ndarray, bounds: np.ndarray, size: int,
+              asked: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Greatest impacts in each block, of the terms that are asked for with the
+    block's own: numbers of terms, terms, maxima, for some blocks at a time."""
     step, blocks = max(1, CELLS // size), len(block_bounds) - 1
     for first in range(0, blocks, step):
         last = min(blocks, first + step)
@@ -208,36 +219,47 @@ def summaries(members: np.ndarray, block_bounds: np.ndarray, terms: np.ndarray,
         block = np.repeat(np.arange(last - first), np.diff(block_bounds[first:last + 1]))
         length = bounds[docs + 1] - bounds[docs]
         at = np.repeat(bounds[docs] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        table = np.zeros((last - first) * size, dtype=np.int64)
+        table = np.zeros((last - first) * size, dtype=np.int32)
         np.maximum.at(table, np.repeat(block, length) * size + terms[at], impacts[at])
+        own, number = np.unique(block_term[first:last], return_inverse=True)
+        wanted = np.zeros((len(own), size), dtype=bool)
+        for row, t in zip(wanted, own.tolist()):
+            row[asked[t]] = True
+        table *= wanted[number].ravel()
         hit = np.flatnonzero(table)
         yield np.bincount(hit // size, minlength=last - first), hit % size, table[hit]
 
 
-def _index(docs: DataFrame, wanted, weights) -> DataFrame:
-    """One row for each block: ``shard, term, members, of, greatest``, members
-    as ``uid``, ``of`` and ``greatest`` the summary."""
+INDEX = ("shard int, doc_id array<long>, doc_bounds array<int>, terms array<int>, impacts array<int>, "
+         "block_term array<int>, members array<int>, member_bounds array<int>, of array<int>, "
+         "greatest array<int>, of_bounds array<int>")
+
+
+def _index(docs: DataFrame, asked, weights) -> DataFrame:
+    """The index, a row for each shard: its documents with terms and impacts;
+    its blocks by ``block_term`` with their members (places of documents), and
+    their summaries, the ``greatest`` impact of the terms ``of`` each block."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("uid")
         terms, bounds = _flat(table.column("terms"))
         impacts, _ = _flat(table.column("impacts"))
         w = weights.value
-        vectors = sketches(terms, w[terms] * impacts, bounds, len(w))
-        members, cuts, of = list_blocks(terms, bounds, vectors, wanted.value)
-        parts = list(summaries(members, cuts, terms, impacts, bounds, len(w)))
-        size, term, most = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64)
-                            for k in range(3))
-        to = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-        uid = table.column("uid").to_numpy()
-        shard = table.column("shard")[0].as_py()
-        return pa.table({
-            "shard": pa.array(np.full(len(of), shard, dtype=np.int32)), "term": pa.array(of.astype(np.int32)),
-            "members": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(uid[members])),
-            "of": pa.ListArray.from_arrays(to, pa.array(term.astype(np.int32))),
-            "greatest": pa.ListArray.from_arrays(to, pa.array(most))})
-
-    return docs.select("shard", "uid", "terms", "impacts").groupBy("shard").applyInArrow(
-        run, "shard int, term int, members array<long>, of array<int>, greatest array<long>")
+        vectors = sketches(terms, w[terms] * impacts.astype(np.int64), bounds, len(w))
+        wanted = np.zeros(len(w), dtype=bool)
+        wanted[list(asked.value)] = True
+        members, cuts, block_term = list_blocks(terms, bounds, vectors, wanted)
+        parts = list(summaries(members, cuts, block_term, terms, impacts, bounds, len(w), asked.value))
+        size, of, most = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64)
+                          for k in range(3))
+        lists = [bounds, terms, impacts, block_term, members, cuts, of, most,
+                 np.concatenate([[0], np.cumsum(size)])]
+        return pa.Table.from_arrays(
+            [table.column("shard").slice(0, 1), pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+             *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(np.int32)))
+               for x in lists]],
+            names=[c.split()[0] for c in INDEX.split(", ")])
+
+    return docs.select("shard", "uid", "doc_id", "terms", "impacts").groupBy("shard").applyInArrow(run, INDEX)
 
 
 # ---------------------------------------------------------------- search
@@ -292,37 +314,32 @@ def search_shard(query: Query, docs: tuple, blocks: tuple, k: int) -> tuple[np.n
     return found[top], scores[top], visited, len(chosen)
 
 
-def _search(docs: DataFrame, index: DataFrame, queries, size: int, k: int) -> DataFrame:
-    def run(docs: pa.Table, blocks: pa.Table) -> pa.Table:
-        rows = {"item": [], "doc_id": [], "score": []}
-        if docs.num_rows and blocks.num_rows:
-            docs, blocks = docs.sort_by("uid"), blocks.sort_by("term")
-            terms, bounds = _flat(docs.column("terms"))
-            impacts, _ = _flat(docs.column("impacts"))
-            greatest_here = np.zeros(size, dtype=np.int64)
-            np.maximum.at(greatest_here, terms, impacts)
-            ids = docs.column("doc_id").combine_chunks()
-            doc_id = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-            of_block = blocks.column("term").to_numpy()
-            first = np.flatnonzero(np.diff(of_block, prepend=-1))
-            by_term = dict(zip(of_block[first].tolist(),
-                               zip(first.tolist(), np.append(first[1:], len(of_block)).tolist())))
-            uids, member_bounds = _flat(blocks.column("members"))
-            members = np.searchsorted(docs.column("uid").to_numpy(), uids)
-            of, of_bounds = _flat(blocks.column("of"))
-            greatest, _ = _flat(blocks.column("greatest"))
-            for query in queries.value:
-                found, scores, _, _ = search_shard(
-                    query, (doc_id, terms, impacts, bounds, greatest_here),
-                    (by_term, members, member_bounds, of, greatest, of_bounds), k)
-                rows["item"] += [query.item] * len(found)
-                rows["doc_id"] += ids.take(pa.array(found)).to_pylist()
-                rows["score"] += scores.tolist()
-        return pa.table(rows, schema=pa.schema([("item", pa.int64()), ("doc_id", pa.int64()),
-                                                ("score", pa.int64())]))
-
-    left = docs.select("shard", "uid", "doc_id", "terms", "impacts").groupBy("shard")
-    return left.cogroup(index.groupBy("shard")).applyInArrow(run, "item long, doc_id long, score long")
+def _search(index: DataFrame, queries, size: int, k: int) -> DataFrame:
+    """Best documents of each shard for each query: ``item, doc_id, score``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard = batch.slice(row, 1)
+                ids = shard.column("doc_id")[0].values
+                doc_id = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+                bounds, terms, impacts, block_term, members, cuts, of, most, of_bounds = (
+                    _flat(shard.column(c))[0].astype(np.int64) for c in (
+                        "doc_bounds", "terms", "impacts", "block_term", "members", "member_bounds", "of",
+                        "greatest", "of_bounds"))
+                here = np.zeros(size, dtype=np.int64)
+                np.maximum.at(here, terms, impacts)
+                first = np.flatnonzero(np.diff(block_term, prepend=-1))
+                by_term = dict(zip(block_term[first].tolist(),
+                                   zip(first.tolist(), np.append(first[1:], len(block_term)).tolist())))
+                for query in queries.value:
+                    found, scores, _, _ = search_shard(query, (doc_id, terms, impacts, bounds, here),
+                                                       (by_term, members, cuts, of, most, of_bounds), k)
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(found), query.item)), ids.take(pa.array(found)),
+                             pa.array(scores)], names=["item", "doc_id", "score"])
+
+    return index.drop("shard").mapInArrow(run, "item long, doc_id long, score long")
 
 
 def _dealt(docs: DataFrame, cells: int) -> DataFrame:
@@ -360,7 +377,7 @@ def _round(docs: DataFrame, items: list, k: int) -> DataFrame:
     sample = vectors.where(F.size("terms") > 0).where(F.pmod(F.xxhash64("uid"), F.lit(every)) == 0) \
         .select("terms", "tf", "m").limit(2 * SAMPLE).toArrow()
     terms, bounds = _flat(sample.column("terms"))
-    tf, m_of = _flat(sample.column("tf"))[0], np.repeat(sample.column("m").to_numpy(), np.diff(bounds))
+    tf, m_of = _flat(sample.column("tf"))[0].astype(np.int64), np.repeat(sample.column("m").to_numpy(), np.diff(bounds))
     value = weights[terms] * (1_000_000_000 * tf // (1000 * tf + 20 * m_of))
     depth = min(DEPTH, max(0, math.ceil(math.log2(max(1, total) / SHARD))))
     cells = Cells.fit(sketches(terms, value, bounds, size), depth)
@@ -382,12 +399,9 @@ def _round(docs: DataFrame, items: list, k: int) -> DataFrame:
     waves = [wave == 0, (wave > 0) & (wave <= eighth), wave > eighth] if share > 1 else [F.lit(True)]
     for chosen in waves:
         queries = [Query(*q, floors.get(q[0], 1)) for q in known]
-        wanted = np.zeros(size, dtype=bool)
-        for q in queries:
-            wanted[q.terms[np.cumsum(q.weights * greatest[q.terms]) >= q.floor]] = True
         part = _dealt(impacts.where(chosen), 1 << depth)
-        index = stored(_index(part, sc.broadcast(wanted), weights_b))
-        hits = _search(part, index, sc.broadcast(queries), size, k).where("score > 0")
+        index = stored(_index(part, sc.broadcast(asked_with(queries, greatest)), weights_b))
+        hits = _search(index, sc.broadcast(queries), size, k).where("score > 0")
         found = stored(_top(hits if found is None else found.select("item", "doc_id", "score").union(hits), k))
         floors = {r["item"]: r["score"] for r in found.where(F.col("rank") == k).collect()}
     return found.select("item", "rank", "doc_id", "score")
