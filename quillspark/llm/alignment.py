@@ -18,6 +18,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,12 @@ HELD = 1 << 20        # pairs a task holds before it hands them on
 LINKS = 1 << 21       # links made at a time
 DENSE = 1 << 12       # groups of more links are taken by distinct ids
 
-# What splits a text before byte-level merges.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PIECE = 100           # characters of a text that B reads at a time, and the word they end in
+
+# What splits a text before byte-level merges, written so that no
+# step back is needed.
+PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
+_CUT = re.compile("[^ ] ")
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -84,33 +89,53 @@ class Tokenizers:
         # does, so a text can be cut before its blanks and words be remembered.
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces) \
             and "".join(self.b.encode(" a  b ", out_type=str)) == "▁▁a▁▁b▁"
-        self.blank = [self.b.piece_to_id("▁")]
-        self.words: dict[str, list[int]] = {}
-
-    def _word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.b.encode(word[1:]) if len(word) > 1 else self.blank
-            if len(word) <= 64:
-                if len(self.words) >= 1 << 17:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
-
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of both; None where either does not give back the bytes."""
-        if not text:
-            return None
-        line = " " + text
-        a = self.a.encode_ordinary(line)
-        if self.by_word:
-            b = [i for w in re.findall(" +[^ ]*", line) for i in self._word(w)]
-        else:
-            b = self.b.encode(text)
-        raw, a_bytes, b_bytes = line.encode(), self.a_bytes, self.b_bytes
-        if b"".join([a_bytes[i] for i in a]) != raw or b"".join([b_bytes[i] for i in b]) != raw:
-            return None
-        return a, b
+        self.b_start = np.cumsum(self.b_size) - self.b_size
+        self.b_flat = np.frombuffer(b"".join(self.b_bytes), np.uint8)
+
+    def _pieces(self, text: str) -> Iterator[str]:
+        """A text cut before blanks, each part without its first one, which the
+        model adds itself."""
+        first = 0
+        while self.by_word and (blank := _CUT.search(text, first + PIECE)):
+            yield text[first:blank.start() + 1]
+            first = blank.start() + 2
+        yield text[first:]
+
+    def _encode_b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has; none where bytes differ."""
+        cut = [list(self._pieces(t)) if t else [] for t in texts]
+        found = self.b.encode(list(chain.from_iterable(cut)), num_threads=1)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        of = np.repeat(np.repeat(np.arange(len(texts)), [len(c) for c in cut]), size)
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        length = np.bincount(of, self.b_size[ids], len(texts)).astype(np.int64)
+        right = length == [len(r) for r in raw]
+        ids, of = ids[right[of]], of[right[of]]
+        n = self.b_size[ids]
+        at = np.repeat(self.b_start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        wanted = np.frombuffer(b"".join([r for r, x in zip(raw, right.tolist()) if x]), np.uint8)
+        differs = np.unique(np.repeat(of, n)[self.b_flat[at] != wanted])
+        if len(differs):
+            keep = ~np.isin(of, differs)
+            ids, of = ids[keep], of[keep]
+        return ids, np.bincount(of, minlength=len(texts))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and how many each text has, then those of B; a text whose
+        bytes either does not give back has none. Byte-level tokens are parts of
+        the text, so their bytes are right if their length is."""
+        b, n_b = self._encode_b(texts)
+        found = [self.a.encode_ordinary(" " + t) if n else () for t, n in zip(texts, n_b.tolist())]
+        n_a = np.array([*map(len, found)], dtype=np.int64)
+        a = np.fromiter(chain.from_iterable(found), np.int64, int(n_a.sum()))
+        of = np.repeat(np.arange(len(texts)), n_a)
+        size = np.bincount(of, self.a_size[a], len(texts))
+        wrong = (n_a > 0) & (size != [len(t.encode()) + 1 for t in texts])
+        if wrong.any():
+            a, b = a[~np.repeat(wrong, n_a)], b[~np.repeat(wrong, n_b)]
+            n_a, n_b = np.where(wrong, 0, n_a), np.where(wrong, 0, n_b)
+        return a, n_a, b, n_b
 
 
 def _loaded(key: str, a_model: bytes, b_model: bytes) -> Tokenizers:
@@ -126,16 +151,14 @@ class Aligned:
     """Tokens of some texts in groups. ``links`` gives text, pair and how often."""
 
     def __init__(self, tok: Tokenizers, texts: list[str]):
-        found = [tok.encode(t) for t in texts]
         self.n = len(texts)
-        self.n_a = np.array([len(x[0]) if x else 0 for x in found], dtype=np.int64)
-        self.n_b = np.array([len(x[1]) if x else 0 for x in found], dtype=np.int64)
-        self.a = np.array([i for x in found if x for i in x[0]], dtype=np.int64)
-        self.b = np.array([i for x in found if x for i in x[1]], dtype=np.int64)
+        self.a, self.n_a, self.b, self.n_b = tok.encode(texts)
         self.width = len(tok.b_bytes)
         ends_a, ends_b = np.cumsum(tok.a_size[self.a]), np.cumsum(tok.b_size[self.b])
-        last_a = np.isin(ends_a, ends_b, assume_unique=True)
-        last_b = np.isin(ends_b, ends_a, assume_unique=True)
+        at = np.minimum(np.searchsorted(ends_b, ends_a), max(0, len(ends_b) - 1))
+        last_a = ends_b[at] == ends_a if len(ends_b) else np.zeros(0, dtype=bool)
+        last_b = np.zeros(len(ends_b), dtype=bool)
+        last_b[at[last_a]] = True
         self.group_a = np.cumsum(last_a) - last_a
         self.group_b = np.cumsum(last_b) - last_b
         self.last_a, self.last_b = last_a, last_b
