@@ -13,6 +13,7 @@ from ..operators.metrics import feature_columns, group_error, regression_metrics
 from ..plans import queries as q
 from ..session import materialize
 from . import models
+from .moments import walk_forward_moments
 
 LABEL = "total_orders"
 # Weekly-table inputs: everything but keys, the label and same-week class
@@ -94,12 +95,11 @@ def next_week_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def walk_forward_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GLM per walk-forward fold over the bar features."""
-    bars = q.bar_features_frame(spark, sf_dir)
+    """Least squares per walk-forward fold over the bar features,
+    from co-moments by month."""
+    bars = materialize(q.bar_features_frame(spark, sf_dir))
     inputs = feature_columns(bars.columns, BAR_EXCLUDED)
-    rows = models.walk_forward(bars, "month", inputs, "profit", 6, 6, "glm")
-    return spark.createDataFrame(rows, "fold int, train_start string, train_end string, "
-                                       "test_month string, mape double")
+    return walk_forward_moments(bars, "month", inputs, "profit", 6, 6)
 
 
 QUERIES = {

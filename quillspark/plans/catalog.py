@@ -33,6 +33,10 @@ SQL_CHECKED: dict[str, Query] = {
     "message_parse": q.message_parse,
     "message_filter": q.message_filter,
     "message_filter_month": q.message_filter_month,
+    "message_store_months": q.message_store_months,
+    "message_store_filter": q.message_store_filter,
+    "message_store_month": q.message_store_month,
+    "message_store_get": q.message_store_get,
     "regression_metrics": q.regression_metrics_q,
     "group_error_by_bin": q.group_error_by_bin,
     "walk_forward_folds": q.walk_forward_folds_q,

@@ -311,6 +311,18 @@ WHERE recipient = '{q.FILTER_RECIPIENT}'
   AND strftime(TIMESTAMP '1970-01-01 00:00:00' + ts_epoch * INTERVAL 1 SECOND, '%Y-%m') = '{q.FILTER_MONTH}'
 """
 
+MESSAGE_STORE_MONTHS = f"""
+WITH {_MESSAGES}
+SELECT strftime(TIMESTAMP '1970-01-01 00:00:00' + ts_epoch * INTERVAL 1 SECOND, '%Y-%m') AS month,
+       count(*) AS n, count(DISTINCT recipient) AS n_recipients, CAST(sum(length(body)) AS BIGINT) AS body_chars
+FROM m GROUP BY 1
+"""
+
+MESSAGE_STORE_GET = f"""
+WITH {_MESSAGES}
+SELECT row_key, recipient, date_text, sender, body FROM m WHERE row_key = '{q.GET_ROW_KEY}'
+"""
+
 WALK_FORWARD_FOLDS = """
 WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS rows FROM orders GROUP BY 1),
      i AS (SELECT month, rows, row_number() OVER (ORDER BY month) - 1 AS midx FROM m),
@@ -416,6 +428,10 @@ ORACLE = {
     "message_parse": MESSAGE_PARSE,
     "message_filter": MESSAGE_FILTER,
     "message_filter_month": MESSAGE_FILTER_MONTH,
+    "message_store_months": MESSAGE_STORE_MONTHS,
+    "message_store_filter": MESSAGE_FILTER,
+    "message_store_month": MESSAGE_FILTER_MONTH,
+    "message_store_get": MESSAGE_STORE_GET,
     "regression_metrics": REGRESSION_METRICS,
     "group_error_by_bin": GROUP_ERROR_BY_BIN,
     "walk_forward_folds": WALK_FORWARD_FOLDS,

@@ -11,6 +11,8 @@ running sums of floating values) are rounded.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +25,14 @@ from ..operators import segmented
 from ..operators.features import weekly_features, weekly_market
 from ..operators.folds import walk_forward_folds
 from ..operators.lines import label_mean_by_year, merge_lines, text_lines, words_of
+from ..operators.mailstore import read_mail_store, scan_store, write_mail_store
 from ..operators.messages import message_condition, message_table, scan_latest
 from ..operators.metrics import group_error, regression_metrics
 from ..operators.pairs import pair_counts, recommend
 from ..operators.split import balanced_parts, row_position
-from ..operators.stats import pair_correlation, pooled_t_test, two_period_counts, two_period_summary
+from ..operators.stats import pooled_t_test, top_correlations, two_period_counts, two_period_summary
 from ..operators.windows import carry_previous_block
-from ..session import materialize
+from ..session import materialize, shared_folder
 from ..sources.tables import Tables
 from ..sources.text import naive_split, parse_csv_lines, parse_messages
 
@@ -50,6 +53,7 @@ MAIL_ZONE_SECONDS = 8 * 3600
 FILTER_RECIPIENT = f"assistant@{MAIL_DOMAIN}"
 FILTER_MONTH_TEXT = "Dec 2001"
 FILTER_MONTH = "2001-12"
+GET_ROW_KEY = "conv_7/0"
 CSV_HEADER = "ID,Date,Description,Status,Priority,Price,Year"
 CSV_DDL = ("ID long, Date string, Description string, Status string, Priority string, "
            "Price double, Year string")
@@ -120,9 +124,7 @@ def pair_correlation_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = (per_cust.join(t.customer.select("c_custkey", "c_nationkey"),
                             per_cust.o_custkey == F.col("c_custkey"))
               .groupBy("c_nationkey", "year").agg(F.sum("n").alias("n")))
-    corr = pair_correlation(counts, "c_nationkey", "year", "n")
-    rounded = corr.select("entity_a", "entity_b", F.round("corr", 6).alias("corr"))
-    return agg.top_k(rounded, 10, F.desc("corr"), F.asc("entity_a"), F.asc("entity_b"))
+    return top_correlations(counts, "c_nationkey", "year", "n", 10)
 
 
 # --------------------------------------------------------------- J6: D5 E5 C16 F14 L2
@@ -145,9 +147,7 @@ def two_period_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_period_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = pooled_t_test(_per_nation_periods(spark, sf_dir))
-    return spark.createDataFrame(
-        [(res["n_obs"] // 2, round(res["t_stat"], 6), res["dof"], round(res["p_value"], 6))],
-        "n_keys long, t_stat double, dof long, p_value double")
+    return res.select("n_keys", F.round("t_stat", 6).alias("t_stat"), "dof", F.round("p_value", 6).alias("p_value"))
 
 
 # --------------------------------------------------------------- J8: F5 C4 C17
@@ -432,6 +432,44 @@ def message_filter_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_latest(parsed, message_condition(recipient=FILTER_RECIPIENT, month=FILTER_MONTH))
 
 
+# --------------------------------------------------------------- B8, D8-D10 stored messages
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def mail_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored message table of a folder, loaded once in a session: the first
+    query that needs it writes it, the others only scan."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORES:
+        path = f"{shared_folder(spark, '_mail')}/mail-{uuid.uuid4().hex}"
+        write_mail_store(_messages(spark, sf_dir), path)
+        _STORES[key] = path
+    return read_mail_store(spark, _STORES[key])
+
+
+def message_store_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the store holds in each month: the partitions are the months."""
+    return mail_store(spark, sf_dir).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("recipient").alias("n_recipients"),
+        F.sum(F.length("body")).cast("long").alias("body_chars"))
+
+
+def message_store_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 and D9 on the store: recipient AND text of the date."""
+    return scan_store(mail_store(spark, sf_dir), recipient=FILTER_RECIPIENT, date_substring=FILTER_MONTH_TEXT)
+
+
+def message_store_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 and D9 in typed form: recipient AND the month, one partition."""
+    return scan_store(mail_store(spark, sf_dir), recipient=FILTER_RECIPIENT, month=FILTER_MONTH)
+
+
+def message_store_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message by its key."""
+    return scan_store(mail_store(spark, sf_dir), row_key=GET_ROW_KEY,
+                      columns=("row_key", "recipient", "date_text", "sender", "body"))
+
+
 # --------------------------------------------------------------- L14 folds
 def walk_forward_folds_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _t(spark, sf_dir).orders.select(month_label("o_orderdate").alias("month"))

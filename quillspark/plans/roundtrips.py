@@ -1,6 +1,6 @@
 """File-to-file jobs (A1, A3, A5-A8, B1-B10) over the given tables.
 
-Each query writes a table through a writer into a folder of the warehouse,
+Each query writes a table through a writer into the shared folder,
 reads the files back through the matching reader, and returns what a reader of
 those files computes. The folder is named anew on every call.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators.lines import label_mean_by_year
 from ..operators.messages import message_table
+from ..session import shared_folder
 from ..sinks import writers
 from ..sources import text
 from ..sources.tables import Tables
@@ -23,7 +24,7 @@ from . import queries as q
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_roundtrip/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark, '_roundtrip')}/{name}-{uuid.uuid4().hex}"
 
 
 def files_header_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

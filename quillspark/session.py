@@ -50,12 +50,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    folder = shared_folder(spark, "_checkpoints")
     sc.setCheckpointDir(folder)
     return folder
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Where files go that driver and executors share: ``spark.checkpoint.dir``,
+    or, where that is unset, the folder ``name`` of the warehouse. A cluster
+    without the setting is refused if its warehouse is on a machine's own disk."""
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return conf.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{warehouse}/{name}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint a frame that several jobs or branches read: lineage is cut,
     a lost executor costs a re-read, and the files go when the frame does

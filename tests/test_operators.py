@@ -12,7 +12,7 @@ from quillspark.operators.folds import walk_forward_folds
 from quillspark.operators.metrics import group_error, regression_metrics
 from quillspark.operators.pairs import pair_counts, recommend
 from quillspark.operators.split import balanced_parts, row_position
-from quillspark.operators.stats import pair_correlation, pooled_t_test, two_period_summary
+from quillspark.operators.stats import pair_correlation, pooled_t_test, t_p_value, top_correlations, two_period_summary
 
 
 def test_avg_of_counts_uses_existing_combinations_only(spark):
@@ -183,7 +183,7 @@ def test_two_period_summary_and_pvalue(spark):
     sp = ((len(a) - 1) * a.var(ddof=1) + (len(b) - 1) * b.var(ddof=1)) / (len(a) + len(b) - 2)
     t = (a.mean() - b.mean()) / math.sqrt(sp * (2 / len(a)))
     assert abs(s["t_stat"] - t) < 1e-9
-    res = pooled_t_test(df)
+    res = pooled_t_test(df).first()
     assert abs(res["t_stat"] - t) < 1e-9 and res["dof"] == 58
     assert abs(res["p_value"] - _t_two_sided_p(t, 58)) < 1e-9
 
@@ -194,7 +194,7 @@ def test_golden_pvalue_from_published_moments(spark):
     # just these moments.
     (m1, sd1), (m2, sd2) = (39394.15517241379, 65020.151918542935), (19927.543103448275, 24194.618659083822)
     rows = [(i, m1 + (sd1 if i % 2 else -sd1), m2 + (sd2 if i % 2 else -sd2)) for i in range(116)]
-    res = pooled_t_test(spark.createDataFrame(rows, "k int, n_first double, n_second double"))
+    res = pooled_t_test(spark.createDataFrame(rows, "k int, n_first double, n_second double")).first()
     assert res["dof"] == 230 and abs(res["p_value"] - 0.002912385408589375) < 1e-9
 
 
@@ -319,3 +319,58 @@ def test_frequency_index_ranged_equals_window(spark):
     a = {r["k"]: r["kIndex"] for r in frequency_index(df, "k").select("k", "kIndex").distinct().collect()}
     b = {r["k"]: r["kIndex"] for r in frequency_index(df, "k", ranged=True).select("k", "kIndex").distinct().collect()}
     assert a == b and sorted(a.values()) == [float(i) for i in range(len(a))]
+
+
+def test_t_p_value_at_odd_and_even_degrees_of_freedom(spark):
+    # Known quantiles: the two-sided 5 % and 1 % points, and far tails.
+    rows = [(12.706204736, 1, 0.05), (4.302652730, 2, 0.05), (2.570581836, 5, 0.05), (2.228138852, 10, 0.05),
+            (3.169272673, 10, 0.01), (1.983971519, 100, 0.05), (1.960201264, 10000, 0.05), (0.0, 7, 1.0), (-2.570581836, 5, 0.05)]
+    df = spark.createDataFrame(rows, "t double, dof long, p double")
+    for r in df.withColumn("got", t_p_value(F.col("t"), F.col("dof"))).collect():
+        assert abs(r["got"] - r["p"]) < 1e-8, r
+    wide = spark.createDataFrame([(t / 4, d) for t in range(1, 40) for d in (1, 2, 3, 8, 57, 230)],
+                                 "t double, dof long")
+    for r in wide.withColumn("got", t_p_value(F.col("t"), F.col("dof"))).collect():
+        assert abs(r["got"] - _t_two_sided_p(r["t"], r["dof"])) < 1e-7, r
+
+
+def test_top_correlations_prunes_and_equals_all_pairs(spark):
+    """Families of like series and noise: the same rows as from all pairs, and
+    only a small part of the pairs computed."""
+    import quillspark.operators.stats as stats
+
+    rnd, rows = np.random.default_rng(4), []
+    for e in range(1500):
+        base = np.random.default_rng(e % 50).normal(size=24) * 20
+        for p, v in enumerate(base + rnd.normal(size=24) * (1 + e % 7)):
+            rows.append((e, p, float(v)))
+    df = spark.createDataFrame(rows, "e int, p int, n double")
+    x = np.array([r[2] for r in rows]).reshape(1500, 24)
+    c = np.corrcoef(x)
+    i, j = np.triu_indices(1500, 1)
+    order = np.lexsort((j, i, -np.round(c[i, j], 6)))[:10]
+    want = [(int(i[k]), int(j[k]), round(float(c[i[k], j[k]]), 6)) for k in order]
+    made, inner = [], stats._met
+
+    def counted(*args):
+        out = inner(*args)
+        made.append(out.count())
+        return out
+
+    stats._met = counted
+    try:
+        got = [tuple(r) for r in top_correlations(df, "e", "p", "n", 10).collect()]
+    finally:
+        stats._met = inner
+    assert sorted(got) == sorted(want)
+    assert sum(made) < 0.02 * len(i), sum(made)
+
+
+def test_top_correlations_of_few_and_tied_entities(spark):
+    rows = [(e, p, float((p * 7 + (e % 2) * p * p) % 5)) for e in range(6) for p in range(5)]
+    df = spark.createDataFrame(rows, "e int, p int, n double")
+    got = [tuple(r) for r in top_correlations(df, "e", "p", "n", 10).collect()]
+    want = sorted([(r["entity_a"], r["entity_b"], round(r["corr"], 6)) for r in
+                   pair_correlation(df, "e", "p", "n").collect()], key=lambda r: (-r[2], r[0], r[1]))[:10]
+    assert sorted(got) == sorted(want)
+    assert top_correlations(df.limit(0), "e", "p", "n", 10).count() == 0
