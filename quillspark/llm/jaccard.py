@@ -175,11 +175,16 @@ def _fits(percent: int) -> Column:
     return (100 + percent) * common >= percent * (F.col("na") + F.col("nb"))
 
 
+def _shared_parts() -> Column:
+    """No more of ``a`` and ``b`` is common than the smaller holds of each part."""
+    return F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"),
+                       lambda x, y: x + y)
+
+
 def _reach(percent: int) -> Column:
     """Whether ``a`` and ``b`` that have their first common n-gram here can be
-    similar: it leaves the rest of either set, and in no part of the sets more
-    is common than the smaller one holds."""
-    common = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
+    similar: it leaves the rest of either set, and their parts allow it."""
+    common = _shared_parts()
     need = percent * (F.col("na") + F.col("nb"))
     return ((100 + percent) * F.least(F.col("sa") - F.col("ka"), F.col("sb") - F.col("kb")) >= need) \
         & ((100 + percent) * common >= need)
@@ -208,9 +213,8 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """
     segments = _segments(sets)
     length = (F.col("s") - _least("n", percent) + 1).cast("int")
-    prefix = sets.select("cid", "n", "s", "parts",
-                         F.posexplode(F.slice("tokens", F.lit(1), length)).alias("k", "t"))
-    prefix = stored(prefix.select("cid", "n", "s", "k", "parts", F.col("t.token").alias("token"),
+    prefix = sets.select("cid", "n", "s", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("k", "t"))
+    prefix = stored(prefix.select("cid", "n", "s", "k", F.col("t.token").alias("token"),
                                   F.floor("t.at").cast("long").alias("df")))
     spread = F.pmod(F.xxhash64("cid"), F.ceil(F.col("df") / SPREAD))
     met = []
@@ -227,12 +231,12 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     first = stored(_verified(pairs, segments, percent))
     joined = components(first)
     placed = stored(prefix.join(joined, prefix["cid"] == joined["node"], "left")
-                    .select("token", "cid", "n", "s", "k", "parts", F.coalesce("root", "cid").alias("root")))
+                    .select("token", "cid", "n", "s", "k", F.coalesce("root", "cid").alias("root")))
     # On each n-gram: who is not of its largest group meets everyone outside the own group.
     by_root = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
     largest = by_root.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("most"),
                                            F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    open_ = stored(placed.join(largest.select("token", "most"), "token"))
+    open_ = stored(placed.join(largest.select("token", "most"), "token").join(sets.select("cid", "parts"), "cid"))
 
     def side(rows: DataFrame, x: str) -> DataFrame:
         names = {"cid": x, "n": f"n{x}", "s": f"s{x}", "k": f"k{x}", "parts": f"p{x}", "root": f"r{x}"}
@@ -240,10 +244,25 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 
     rest = side(open_.where("root <> most"), "a").join(side(open_, "b"), "token") \
         .where((F.col("ra") != F.col("rb")) & _reach(percent)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-    return first.union(_verified(rest, segments, percent))
+        .select("a", "b", "na", "nb", "rb", _shared_parts().alias("bound"))
+    rest = stored(rest.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("na", "nb", "rb", "bound")]))
+    # One link joins a set with a whole group, so the likeliest pair goes first.
+    likely = rest.groupBy("a", "rb").agg(F.max_by(F.struct("b", "na", "nb"), F.struct("bound", "b")).alias("p"))
+    second = stored(_verified(_once(likely.select("a", "p.*")), segments, percent))
+    joined = components(first.union(second))
+    of_a = joined.select(F.col("node").alias("a"), F.col("root").alias("ga"))
+    of_b = joined.select(F.col("node").alias("b"), F.col("root").alias("gb"))
+    left = rest.join(of_a, "a", "left").join(of_b, "b", "left") \
+        .where(F.coalesce("ga", "a") != F.coalesce("gb", "b"))
+    return first.union(second).union(_verified(_once(left), segments, percent))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair once, whichever of its ends came first."""
+    turned = F.col("a") > F.col("b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                        F.when(turned, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                        F.when(turned, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct()
 
 
 def jaccard_groups(docs: DataFrame, shingle: int = 4, percent: int = 85,
