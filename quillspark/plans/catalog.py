@@ -30,6 +30,8 @@ SQL_CHECKED: dict[str, Query] = {
     "forward_fill_bars": q.forward_fill_bars,
     "bar_features": q.bar_features,
     "dirty_csv_parse": q.dirty_csv_parse,
+    "dirty_csv_years": q.dirty_csv_years,
+    "flag_text_counts": q.flag_text_counts,
     "message_parse": q.message_parse,
     "message_filter": q.message_filter,
     "message_filter_month": q.message_filter_month,

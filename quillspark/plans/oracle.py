@@ -311,6 +311,22 @@ WHERE recipient = '{q.FILTER_RECIPIENT}'
   AND strftime(TIMESTAMP '1970-01-01 00:00:00' + ts_epoch * INTERVAL 1 SECOND, '%Y-%m') = '{q.FILTER_MONTH}'
 """
 
+DIRTY_CSV_YEARS = """
+WITH d AS (SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED') THEN NULL
+                       ELSE CAST(o_orderdate AS DATE) END AS date
+           FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
+       count(date) AS n_dates
+FROM d GROUP BY 1
+"""
+
+FLAG_TEXT_COUNTS = """
+SELECT o_orderpriority AS priority, count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS n_loose,
+       count(*) FILTER (WHERE o_orderstatus = 'F') AS n_exact,
+       count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS n_known
+FROM orders GROUP BY 1
+"""
+
 MESSAGE_STORE_MONTHS = f"""
 WITH {_MESSAGES}
 SELECT strftime(TIMESTAMP '1970-01-01 00:00:00' + ts_epoch * INTERVAL 1 SECOND, '%Y-%m') AS month,
@@ -428,6 +444,8 @@ ORACLE = {
     "message_parse": MESSAGE_PARSE,
     "message_filter": MESSAGE_FILTER,
     "message_filter_month": MESSAGE_FILTER_MONTH,
+    "dirty_csv_years": DIRTY_CSV_YEARS,
+    "flag_text_counts": FLAG_TEXT_COUNTS,
     "message_store_months": MESSAGE_STORE_MONTHS,
     "message_store_filter": MESSAGE_FILTER,
     "message_store_month": MESSAGE_FILTER_MONTH,

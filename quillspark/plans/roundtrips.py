@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators.lines import label_mean_by_year
 from ..operators.messages import message_table
-from ..session import shared_folder
+from ..session import materialize, shared_folder
 from ..sinks import writers
 from ..sources import text
 from ..sources.tables import Tables
@@ -54,6 +54,21 @@ def files_declared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"quillspark_files.{name}")
 
 
+def files_catalogue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: a declared table, loaded in two steps and read by its name only. The
+    table is dropped once its result is written; the files are the folder's."""
+    name, path = f"quillspark_files.t_{uuid.uuid4().hex}", _folder(spark, "catalogue")
+    supplier = Tables(spark, sf_dir).supplier
+    text.declare_table(spark, name, "s_nationkey INT, s_suppkey BIGINT, s_name STRING", path, sep="\t")
+    odd = F.col("s_suppkey") % 2 == 1
+    text.load_table(spark, name, supplier.where(odd))
+    text.load_table(spark, name, supplier.where(~odd))
+    out = materialize(spark.table(name).groupBy("s_nationkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("s_suppkey").alias("key_sum"), F.min("s_name").alias("first_name")))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def files_ngram_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words as n-gram lines, label means as key-value lines."""
     source, result = _folder(spark, "ngrams"), _folder(spark, "label_means")
@@ -151,7 +166,7 @@ def files_balanced_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (files_header_csv, files_declared_table, files_ngram_means, files_csv_folder_max,
+    f.__name__: f for f in (files_header_csv, files_declared_table, files_catalogue_table, files_ngram_means, files_csv_folder_max,
                             files_messages, files_whole_messages, files_reports, files_merged,
                             files_balanced_parts)}
 
@@ -167,6 +182,10 @@ FROM orders GROUP BY 1
 """,
     "files_declared_table": """
 SELECT p_type, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size_sum FROM part GROUP BY 1
+""",
+    "files_catalogue_table": """
+SELECT CAST(s_nationkey AS INTEGER) AS s_nationkey, count(*) AS n, CAST(sum(s_suppkey) AS BIGINT) AS key_sum,
+       min(s_name) AS first_name FROM supplier GROUP BY 1
 """,
     "files_csv_folder_max": f"""
 SELECT {_NAME} AS artist, max(o_totalprice) AS max_value

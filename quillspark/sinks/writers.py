@@ -118,17 +118,13 @@ def read_lines_in_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out
 
 
-def merge_files(spark: SparkSession, paths: Sequence[str], out: str, one_file: bool = False) -> None:
+def merge_files(spark: SparkSession, paths: Sequence[str], out: str) -> None:
     """Concatenate files in argument order (files of a folder by name).
 
-    The output is range-sorted, so its part files follow each other in order
-    and are written in parallel. ``one_file`` is for readers that need a single
-    file: one task then sorts and writes all lines.
+    The output is range-sorted: its part files follow each other in order, are
+    written in parallel, and read as one folder.
     """
-    lines = read_lines_in_order(spark, paths)
-    ordered = (lines.repartition(1).sortWithinPartitions(*LINE_ORDER) if one_file
-               else lines.orderBy(*LINE_ORDER))
-    ordered.select("value").write.mode("overwrite").text(out)
+    read_lines_in_order(spark, paths).orderBy(*LINE_ORDER).select("value").write.mode("overwrite").text(out)
 
 
 def write_balanced_parts(df: DataFrame, out: str, order: Sequence[str], parts: int,

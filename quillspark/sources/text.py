@@ -37,6 +37,20 @@ def read_declared_table(spark: SparkSession, path: str, ddl: str, sep: str = ","
     return spark.read.schema(ddl).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
 
 
+def declare_table(spark: SparkSession, name: str, ddl: str, location: str, sep: str = ",") -> None:
+    """A5: declare a delimited folder as a catalogue table, read by name from
+    then on; ``load_table`` fills it."""
+    quoted = {"\t": "\\t"}.get(sep, sep)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING csv OPTIONS (sep '{quoted}', mode 'PERMISSIVE') "
+              f"LOCATION '{location}'")
+
+
+def load_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """A5: bulk load: the rows are added to the files of a declared table."""
+    rows.select(*spark.table(name).columns).write.insertInto(name)
+
+
 # ---------------------------------------------------------------- A7
 def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """The lines (``value``) of every ``glob`` file of a folder; no file
@@ -115,10 +129,21 @@ def parse_ngram_lines(df: DataFrame, line: str, max_year: int = 2024) -> DataFra
 
 
 # ---------------------------------------------------------------- A8
+def _message_bytes(spark: SparkSession, root: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", "length", F.try_validate_utf8(F.col("content").cast("string")).alias("text"))
+
+
 def read_message_files(spark: SparkSession, root: str) -> DataFrame:
-    """One message per file anywhere below ``root`` -> (path, text)."""
-    return (spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"),
-                               F.col("value").alias("text")))
+    """One message per file anywhere below ``root`` -> (path, text). Bytes are
+    decoded strictly; a file that is not UTF-8 is no message and is skipped (see
+    ``unreadable_messages``). Spark packs small files into tasks by size."""
+    return _message_bytes(spark, root).where("text is not null").select("path", "text")
+
+
+def unreadable_messages(spark: SparkSession, root: str) -> DataFrame:
+    """The files that ``read_message_files`` skips: path, length."""
+    return _message_bytes(spark, root).where("text is null").select("path", "length")
 
 
 def _header(block: Column, name: str) -> Column:
@@ -158,4 +183,4 @@ def parse_messages(df: DataFrame, path: str = "path", text: str = "text",
 
 __all__ = ["read_header_csv", "read_declared_table", "read_csv_dir", "artist_durations",
            "parse_csv_lines", "naive_split", "read_ngram_lines", "parse_ngram_lines",
-           "read_message_files", "parse_messages", "digits_only"]
+           "read_message_files", "unreadable_messages", "parse_messages", "digits_only"]
