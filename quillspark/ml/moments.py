@@ -110,4 +110,4 @@ def walk_forward_moments(df: DataFrame, month: str, inputs: Sequence[str], label
         F.avg(abs_pct_error(F.col("y"), dot + F.element_at("c", -1))).alias("mape"))
     folds = spark.createDataFrame([f[:4] for f in fits], schema)
     return folds.join(scored, "test_month", "left").select(
-        "fold", "train_start", "train_end", "test_month", "mape")
+        "fold", "train_start", "train_end", "test_month", "mape").orderBy("fold")
