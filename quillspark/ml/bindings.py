@@ -24,6 +24,8 @@ WEEKLY_INPUTS = (["entity_index", "year", "week_of_year", "avg_weekly_close", "w
                   "num_segments", "num_statuses", "num_customers", "num_priorities"]
                  + [f"{c}_lag_{k}" for k in (1, 2, 3, 4)
                     for c in ("total_orders", "total_fulfilled", "total_pending")])
+# Inputs of the single splits, each with fewer values than a tree has bins.
+SPLIT_INPUTS = ["year", "week_of_year", "num_segments", "num_priorities"]
 # Columns never used as bar-model inputs.
 BAR_EXCLUDED = ("time_stamp", "bar_num", "direction", "trade_id", "id", "month", "profit", "avg_profit")
 
@@ -64,6 +66,18 @@ def linear_one_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_train long, slope double, intercept double")
 
 
+def tree_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split and both leaf means of a one-tree forest and of one round
+    of boosting over the weekly table, which SQL finds by prefix sums."""
+    train, _ = _key_split(_weekly(spark, sf_dir))
+    rows = []
+    for name in ("rf", "gbt"):
+        column, threshold, left, right = models.single_split(train, SPLIT_INPUTS, LABEL, name)
+        rows.append((name, column, threshold, round(left, 6), round(right, 6)))
+    return spark.createDataFrame(rows, "model string, input string, threshold double, "
+                                       "left_mean double, right_mean double")
+
+
 def _model_metrics(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = _weekly_split(spark, sf_dir)
@@ -105,6 +119,7 @@ def walk_forward_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "model_checks": model_checks,
     "linear_one_input": linear_one_input,
+    "tree_splits": tree_splits,
     "rf_metrics": _model_metrics("rf"),
     "gbt_metrics": _model_metrics("gbt"),
     "lr_metrics": _model_metrics("lr"),

@@ -48,6 +48,23 @@ def fit_pipeline(train: DataFrame, inputs: Sequence[str], label: str, name: str,
     return Pipeline(stages=[assembler, regressor(name, label=label, seed=seed)]).fit(train)
 
 
+def single_split(train: DataFrame, inputs: Sequence[str], label: str, name: str,
+                 max_bins: int = 64) -> tuple[str, float, float, float]:
+    """L5/L6 in their smallest form, which SQL can check: a forest of one tree of
+    depth one without resampling, or one round of boosting. Returns the input
+    that is split, the threshold and the means on its left and right. Inputs with
+    fewer than ``max_bins`` values have all midpoints between neighbours tried.
+    """
+    few = {"maxDepth": 1, "maxBins": max_bins, "featureSubsetStrategy": "all", "labelCol": label}
+    tree = {"rf": lambda: RandomForestRegressor(numTrees=1, bootstrap=False, **few),
+            "gbt": lambda: GBTRegressor(maxIter=1, **few)}[name]()
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="skip")
+    root = Pipeline(stages=[assembler, tree]).fit(train).stages[-1].trees[0]._java_obj.rootNode()
+    at = root.split()
+    return (inputs[at.featureIndex()], float(at.threshold()), float(root.leftChild().prediction()),
+            float(root.rightChild().prediction()))
+
+
 def split(df: DataFrame, train_fraction: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Seeded random split, as ``randomSplit([0.8, 0.2], seed)``."""
     train, test = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)

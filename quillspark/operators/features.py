@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_point_mean, pct_change
 from ..session import materialize
+from .distinct import grouped
 from .split import row_position
 from .windows import add_lags, global_lag
 
@@ -65,7 +66,8 @@ def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame
                     demo_key: str, total: str = "total",
                     lag_columns: Sequence[str] = ("total",),
                     lags: Sequence[int] = (1, 2, 3, 4), fixed: bool = False,
-                    approx_distinct: bool = False, fact_filter: Column | None = None) -> DataFrame:
+                    approx_distinct: bool = False, fact_filter: Column | None = None,
+                    dictionaries: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per (entity, year, ISO week) with class totals, flag sums,
     distinct counts, lags of the totals and the entity's static attributes.
 
@@ -73,20 +75,24 @@ def weekly_features(facts: DataFrame, market: DataFrame, demographics: DataFrame
     1))`` so an entity-week without a match is NULL, not 0 (F6). ``total``
     is the sum of the class totals, NULL if any is NULL (F7) unless
     ``fixed`` coalesces them first; the final fill turns NULLs to 0 only
-    after the lags. ``approx_distinct`` swaps exact distinct counts (an
-    Expand of the input per distinct column) for HyperLogLog sketches.
+    after the lags. Distinct counts are exact, by bitmaps (``distinct.grouped``,
+    which ``dictionaries`` is for); ``approx_distinct`` swaps them for
+    HyperLogLog sketches.
     ``fact_filter`` (e.g. ``col.isin(classes)``) restricts the facts first;
     it is pushed to the fact scan.
     """
     if fact_filter is not None:
         facts = facts.where(fact_filter)
-    counted = F.approx_count_distinct if approx_distinct else F.count_distinct
     aggs = ([F.sum(F.when(c == 1, 1)).alias(n) for n, c in class_flags.items()]
-            + [F.sum(c).alias(n) for n, c in flag_sums.items()]
-            + [counted(F.col(c)).alias(n) for n, c in distincts.items()]
-            + [F.count(F.lit(1)).alias("_rows")])
-    weeks = facts.groupBy(F.col(entity), F.year(ts).alias("year"),
-                          F.weekofyear(ts).alias("week_of_year")).agg(*aggs)
+            + [F.sum(c).alias(n) for n, c in flag_sums.items()])
+    rows = F.count(F.lit(1)).alias("_rows")
+    keys = [entity, "year", "week_of_year"]
+    dated = facts.withColumns({"year": F.year(ts), "week_of_year": F.weekofyear(ts)})
+    if approx_distinct:
+        sketches = [F.approx_count_distinct(c).alias(n) for n, c in distincts.items()]
+        weeks = dated.groupBy(*keys).agg(*aggs, *sketches, rows)
+    else:
+        weeks = grouped(dated, keys, [*aggs, rows], distincts, dictionaries)
     # Entity-weeks are an aggregate (entities x weeks rows) read by the rank
     # and by the lag/demographics branch: checkpointed once so the fact scan
     # and joins are not re-run per branch.

@@ -128,6 +128,27 @@ def cumulative_sum(df: DataFrame, partition: Sequence[str], position: str, colum
                        cumulative=[(column, out or f"cumulative_{column}", None)])
 
 
+def range_total(df: DataFrame, partition: Sequence[str], order: str, column: str,
+                out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Running sum by ``order`` with the RANGE rule: rows that tie share the
+    total up to the last of them, as in ``windows.cumulative_sum``.
+
+    The ties of an entity are peers: their values are summed first (a partial
+    aggregate, so no task holds all peers of a hot value), the running sum goes
+    over one row per peer group in chunks, and a join gives every row the total
+    of its group. Ties therefore never straddle a chunk. Null order values are
+    peers of each other and come first; null values add nothing, and a total is
+    null until the first value.
+    """
+    of = {"_entity": entity_key(partition), "_peer": F.struct(order)}
+    peers = df.select(*[c.alias(n) for n, c in of.items()], F.col(column).alias("_value")) \
+        .groupBy(*of).agg(F.sum("_value").alias("_sum"))
+    peers = row_position(peers, ["_peer"], ["_entity"], out="_place")
+    totals = cumulative_sum(peers, ["_entity"], "_place", "_sum", "_total", chunk_rows, dense=True)
+    return df.withColumns(of).join(totals.select(*of, "_total"), list(of)) \
+        .withColumnRenamed("_total", out or f"cumulative_{column}").drop(*of)
+
+
 def forward_fill(df: DataFrame, partition: Sequence[str], position: str, column: str,
                  out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                  dense: bool = False) -> DataFrame:

@@ -41,6 +41,7 @@ SQL_CHECKED: dict[str, Query] = {
     "message_store_get": q.message_store_get,
     "regression_metrics": q.regression_metrics_q,
     "group_error_by_bin": q.group_error_by_bin,
+    "range_totals": q.range_totals,
     "walk_forward_folds": q.walk_forward_folds_q,
     "next_period_rows": q.next_period_rows,
     "split_balanced": q.split_balanced,

@@ -422,7 +422,38 @@ SELECT count(*) AS n_train, round(regr_slope(total_orders, total_orders_lag_1),
 FROM wf WHERE NOT {_SPLIT}
 """
 
+# Every midpoint between neighbouring values of every input; the best one leaves
+# the least squared error, which is the largest sum of squared leaf sums by rows.
+TREE_SPLITS = f"""
+WITH {WEEKLY_FEATURES_CTE},
+tr AS (SELECT * FROM wf WHERE NOT {_SPLIT}),
+cells AS (SELECT input, v, count(*) AS n, CAST(sum(y) AS DOUBLE) AS s FROM (
+            SELECT 1 AS k, 'year' AS input, CAST(year AS DOUBLE) AS v, total_orders AS y FROM tr
+            UNION ALL SELECT 2, 'week_of_year', CAST(week_of_year AS DOUBLE), total_orders FROM tr
+            UNION ALL SELECT 3, 'num_segments', CAST(num_segments AS DOUBLE), total_orders FROM tr
+            UNION ALL SELECT 4, 'num_priorities', CAST(num_priorities AS DOUBLE), total_orders FROM tr)
+          GROUP BY input, v),
+cuts AS (SELECT input, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                sum(n) OVER (PARTITION BY input) AS n, sum(s) OVER (PARTITION BY input) AS s
+         FROM cells WINDOW w AS (PARTITION BY input ORDER BY v)),
+best AS (SELECT input, threshold, sl / nl AS left_mean, (s - sl) / (n - nl) AS right_mean
+         FROM cuts WHERE threshold IS NOT NULL
+         ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, threshold LIMIT 1)
+SELECT model, input, CAST(threshold AS DOUBLE) AS threshold, round(CAST(left_mean AS DOUBLE), 6) AS left_mean,
+       round(CAST(right_mean AS DOUBLE), 6) AS right_mean
+FROM best, (SELECT unnest(['rf', 'gbt']) AS model)
+"""
+
+RANGE_TOTALS = """
+SELECT o_orderkey, o_orderpriority,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT))
+            OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate) AS BIGINT) AS total_cents
+FROM orders
+"""
+
 ORACLE = {
+    "range_totals": RANGE_TOTALS,
+    "tree_splits": TREE_SPLITS,
     "avg_count_by_month": AVG_COUNT_BY_MONTH,
     "top_keys_recent": TOP_KEYS_RECENT,
     "pair_correlation_top": PAIR_CORRELATION_TOP,

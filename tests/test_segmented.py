@@ -86,3 +86,17 @@ def test_any_positions_and_exclude_current(spark):
     plain = df.withColumn("r", F.avg("x").over(w.rowsBetween(-4, -1))) \
         .withColumn("c", F.sum("v").over(w.rowsBetween(win.Window.unboundedPreceding, -1)))
     assert _as_dict(before, ["r", "c"]) == _as_dict(plain, ["r", "c"])
+
+
+def test_range_totals_share_ties(spark):
+    rnd = random.Random(4)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice(["a", None]), rnd.choice([None, *range(40)]),
+             rnd.choice([None, *range(9)]), k) for k in range(900)]
+    df = spark.createDataFrame(rows + [("late", 1, None, 900), ("late", 2, 5, 901)],
+                               "t string, pos int, x long, id int")
+    for chunk in (1, 3, 1000):
+        got = seg.range_total(df, ["t"], "pos", "x", "c", chunk_rows=chunk)
+        want = win.cumulative_sum(df, ["t"], ["pos"], "x", "c")
+        assert got.columns == want.columns
+        assert sorted(got.select("id", "c").collect()) == sorted(want.select("id", "c").collect())
+    assert seg.range_total(df.limit(0), ["t"], "pos", "x").count() == 0
