@@ -26,8 +26,9 @@ PART_ROWS = 8192  # labelled rows learned by one task
 MOST_ROWS = 65536  # labelled rows learned at most
 EPOCHS = 6
 ALPHA, BETA = 8.0, 1.0  # rate per coordinate: ALPHA / (BETA + root of its squared gradients)
-L1_PER_ROOT = 0.09  # sparsity; chance alone moves a gradient sum by the root of its rows
-LEAST_SEEN = 3  # rows of a task that must hold a coordinate
+# Sparsity; chance alone moves a gradient sum by the root of its rows. Chosen on an
+# inner fold: learned from crc32 remainder 0, compared on remainder 2.
+L1_PER_ROOT = 0.25
 PREDICT = 0.7
 
 # Word characters: letters, digits and all bytes of other scripts.
@@ -88,14 +89,14 @@ def _train_part(pdf: pd.DataFrame) -> pd.DataFrame:
     seen = np.zeros(1 << BITS, dtype=np.int32)
     for i in rows:
         seen[i] += 1
-    place = np.cumsum(seen >= LEAST_SEEN)  # from 1: the bias comes first
-    rows = [np.append(0, place[i[seen[i] >= LEAST_SEEN]]) for i in rows]
+    place = np.cumsum(seen > 0)  # from 1: the bias comes first
+    rows = [np.append(0, place[i]) for i in rows]
     model, labels = Ftrl(int(place[-1]) + 1, L1_PER_ROOT * len(rows) ** 0.5), pdf["label"].tolist()
     for _ in range(EPOCHS):
         for i, label in zip(rows, labels):
             model.learn(i, label)
     every = np.arange(len(model.z))
-    return pd.DataFrame({"i": np.append(0, np.flatnonzero(seen >= LEAST_SEEN) + 1).astype(np.int32),
+    return pd.DataFrame({"i": np.append(0, np.flatnonzero(seen) + 1).astype(np.int32),
                          "w": model.weights(every), "n": model.n})
 
 
