@@ -150,10 +150,12 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The wanted blocks with the bytes of their contexts."""
+    """The wanted blocks with the bytes of their contexts. Rows that repeat an
+    id and its text bring the text once: their repeats are settled before."""
     lists = wanted.groupBy("id", "hash").agg(
         F.collect_list(F.struct("block", "at", "n", "back")).alias("cuts"))
-    met = _packed(texts.select("id", "hash", "text")).join(lists, ["id", "hash"])
+    met = _packed(texts.select("id", "hash", "text")).dropDuplicates(["id", "hash"]) \
+        .join(lists, ["id", "hash"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
