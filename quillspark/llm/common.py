@@ -69,3 +69,16 @@ def root_buckets(count: Column) -> Column:
     """How many hash buckets split ``count`` rows so that both the buckets and
     the rows in one grow with the square root only."""
     return F.greatest(F.lit(1), F.ceil(F.sqrt(count.cast("double")))).cast("long")
+
+
+# monotonically_increasing_id: the task above, the row in it below.
+_TASK_BITS = 33
+
+
+def with_task(df: DataFrame, row: str = "row", task: str = "task") -> DataFrame:
+    """Number the rows, for tables that are written next: ``row`` is unique and
+    ``task`` says which of the writing tasks had it. Rows that agree in all that
+    orders them can then be counted by task and placed by those counts, so that
+    a row repeated any number of times is never numbered in one task."""
+    return df.withColumn(row, F.monotonically_increasing_id()) \
+        .withColumn(task, F.shiftright(row, _TASK_BITS))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, id_text, root_buckets, stored, text_or_empty, unit
+from .common import WORD, id_text, root_buckets, stored, text_or_empty, unit, with_task
 
 # Share of a source over training time as (t, height) knots, linear between
 # them; dealt to the sources in turn: falling, flat, rising.
@@ -108,6 +108,12 @@ def position_of(words: Column, target: Column, rank: Column,
     return F.when(share < 1.0, inside).otherwise(share)
 
 
+def _before(value: Column, of: Sequence[str], order: Sequence[str]) -> Column:
+    """Sum of ``value`` over the rows before, 0 for the first."""
+    over = Window.partitionBy(*of).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(over), F.lit(0))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int = 3,
         schedules: Sequence = SCHEDULES, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Mix documents to target weights.
@@ -122,7 +128,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
 
     The running count of words before a document is a sum over whole digest
     buckets plus a sum inside one; a source has as many buckets as the root of
-    its rows, so no task holds a source, however large its share.
+    its rows, so no task holds a source, however large its share. Rows that
+    share id and size are counted first, by the task that wrote them; their
+    places follow from the counts, so a repeated or null id is spread as well.
 
     Null texts are empty: size 0, nothing taken. A null source is a source of
     its own, after the others. Ties in the digest order (repeated ids) fall to
@@ -133,7 +141,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
                         F.md5(id_text().cast("binary")).alias("digest"),
                         F.col("source").cast("string").alias("source"),
                         word_count().alias("size"))
-    sized = stored(sized)
+    sized = stored(with_task(sized))
     # Written, so that Spark knows its size when it plans the join: one row per
     # source is broadcast if that is small, and texts need no shuffle for it.
     targets = stored(source_targets(sized, weights, max_repeats))
@@ -145,16 +153,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
     # A struct is never null, so the join below is a plain one on the columns
     # that the window has dealt the rows by.
     rows = rows.withColumn("of", F.struct("source"))
-    sums = rows.groupBy("of", "bucket").agg(F.sum("size").alias("words"))
-    over = Window.partitionBy("of").orderBy("bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("of", "bucket",
-                       F.coalesce(F.sum("words").over(over), F.lit(0)).alias("earlier"))
-    inner = Window.partitionBy("of", "bucket").orderBy("digest", "size") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    rows = rows.join(sums, ["of", "bucket"]) \
-        .withColumn("start", F.col("within") + F.col("earlier"))
+    # From rows to (digest, size) to bucket, each step a sum of the one before.
+    same = ["of", "bucket", "digest", "size"]
+    by_task = rows.groupBy(*same, "task").agg(F.count(F.lit(1)).alias("n"))
+    alike = by_task.groupBy(*same).agg(F.sum("n").alias("n"))
+    words = F.col("size") * F.col("n")
+    sums = alike.groupBy("of", "bucket").agg(F.sum(words).alias("words"))
+    sums = sums.select("of", "bucket", _before(F.col("words"), ["of"], ["bucket"]).alias("earlier"))
+    alike = alike.withColumn("within", _before(words, ["of", "bucket"], ["digest", "size"])) \
+        .join(sums, ["of", "bucket"]).drop("n")
+    firsts = by_task.withColumn("copies", _before(F.col("n"), same, ["task"])).join(alike, same) \
+        .select(*same, "task", (F.col("earlier") + F.col("within")
+                                + F.col("copies") * F.col("size")).alias("first"))
+    place = F.row_number().over(Window.partitionBy(*same, "task").orderBy("row")) - 1
+    rows = rows.withColumn("place", place).join(firsts, [*same, "task"]) \
+        .withColumn("start", F.col("first") + F.col("place") * F.col("size"))
     goal = F.floor("target").cast("long")
     taken, copies = F.lit(0).cast("long"), F.lit(0)
     for k in range(max_repeats):

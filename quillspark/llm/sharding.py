@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, root_buckets, stored, text_or_empty
+from .common import id_text, root_buckets, stored, text_or_empty, with_task
 
 FAN_IN = 4096
 
@@ -113,21 +113,33 @@ def pack(groups: DataFrame, shards: int, fan_in: int = FAN_IN) -> DataFrame:
     return at.select(F.col("group").alias("item"), "pile")
 
 
-def slots(rows: DataFrame, shard: str, order: Column, prefix: Column) -> DataFrame:
-    """Gapless ``slot`` from 0 inside each shard by ``order`` (which starts
-    with a hash in [0, 1) given as ``prefix``): a running count over hash
-    buckets plus the place inside one, so that no task numbers a whole shard."""
+def slots(rows: DataFrame, shard: str, order: str, prefix: Column) -> DataFrame:
+    """Gapless ``slot`` from 0 inside each shard by the column ``order`` (which
+    starts with a hash in [0, 1) given as ``prefix``): a running count over hash
+    buckets plus the place inside one, so that no task numbers a whole shard.
+
+    Rows equal in ``order`` are counted by ``task`` (``common.with_task``) and
+    placed by those counts, so that no task numbers all copies of a row."""
     counts = rows.groupBy(shard).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select(shard, root_buckets(F.col("n")).alias("buckets"))
     rows = rows.join(F.broadcast(counts), shard) \
         .withColumn("part", F.floor(prefix * F.col("buckets")).cast("long"))
-    before = Window.partitionBy(shard).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy(shard, "part").agg(F.count(F.lit(1)).alias("n")) \
-        .select(shard, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    place = F.row_number().over(Window.partitionBy(shard, "part").orderBy(order)) - 1
-    return rows.withColumn("place", place).join(parts, [shard, "part"]) \
+
+    def before(of: list[str], by: list[str]) -> Column:
+        over = Window.partitionBy(*of).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(over), F.lit(0))
+
+    same = [shard, "part", order, "task"]
+    by_task = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    parts = by_task.groupBy(shard, "part").agg(F.sum("n").alias("n")) \
+        .select(shard, "part", before([shard], ["part"]).alias("earlier"))
+    firsts = by_task.withColumn("within", before([shard, "part"], [order, "task"])) \
+        .join(parts, [shard, "part"]) \
+        .select(*same, (F.col("earlier") + F.col("within")).alias("first"))
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("row")) - 1
+    return rows.withColumn("place", place).join(firsts, same) \
         .withColumn("slot", (F.col("first") + F.col("place")).cast("long")) \
-        .drop("buckets", "part", "place", "first")
+        .drop("buckets", "part", "place", "first", "row", "task")
 
 
 def assign(docs: DataFrame, shards: int = 8, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -139,21 +151,23 @@ def assign(docs: DataFrame, shards: int = 8, keep: tuple[str, ...] = ("doc_id",)
     all later steps run on its size and digests.
 
     Null texts count as empty and share their group. Repeated rows and copies
-    are weighed together, by partial sums before any shuffle. Ties in the
+    are weighed together, by partial sums before any shuffle, and numbered by
+    the tasks that wrote them. Ties in the
     differencing go by text digest, so reruns agree. No rows give no rows.
     Other columns are ignored.
     """
     text = text_or_empty().cast("binary")
-    rows = stored(docs.select(*[F.col(c).alias(f"k_{c}") for c in keep],
-                              (F.octet_length(text) + 1).cast("long").alias("size"),
-                              F.crc32(text).alias("text_crc32"), F.md5(text).alias("text_md5"),
-                              F.md5(F.concat_ws("/", id_text(), F.md5(text)).cast("binary"))
-                              .alias("digest")))
+    rows = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep],
+                       (F.octet_length(text) + 1).cast("long").alias("size"),
+                       F.crc32(text).alias("text_crc32"), F.md5(text).alias("text_md5"),
+                       F.md5(F.concat_ws("/", id_text(), F.md5(text)).cast("binary"))
+                       .alias("digest"))
+    rows = stored(with_task(rows))
     groups = rows.groupBy(F.col("text_md5").alias("item")).agg(F.sum("size").alias("bytes"))
     piles = pack(groups, shards).select(F.col("item").alias("text_md5"),
                                         F.col("pile").cast("int").alias("shard"))
     placed = rows.join(piles, "text_md5")
     prefix = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
-    return slots(placed, "shard", F.col("digest"), prefix) \
+    return slots(placed, "shard", "digest", prefix) \
         .select(*[F.col(f"k_{c}").alias(c) for c in keep], "size", "text_crc32", "text_md5",
                 "shard", "slot")

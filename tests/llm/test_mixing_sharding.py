@@ -101,3 +101,37 @@ def test_sharding_odd_rows(spark, docs_of, odd):
     for s in range(8):
         mine = sorted(r["slot"] for r in rows if r["shard"] == s)
         assert mine == list(range(len(mine)))
+
+
+def hot(n=1500):
+    """A third of the ids null, a third one repeated row, over some tasks."""
+    return [(None if k % 3 == 0 else 7 if k % 3 == 1 else k,
+             "same words here" if k % 3 == 1 else "w " * (k % 5), "ab"[k % 2]) for k in range(n)]
+
+
+def test_mix_with_frequent_ids(spark, docs_of):
+    rows = hot()
+    docs = docs_of(rows).repartition(6)
+    mixed = mixing.mix(docs)
+    got = mixed.select("doc_id", "size", "source_size", "taken").collect()
+    key = lambda r: (str(r[0]), r[1], r[2], r[3])
+    assert sorted(map(tuple, got), key=key) == sorted(((w[0], w[1], w[2], w[4]) for w in plain_mix(rows)),
+                                                      key=key)
+    # No two rows of a source start at one place, unless the first has no words.
+    starts = mixed.where("size > 0").select("source", "start")
+    assert starts.count() == starts.distinct().count()
+
+
+def test_slots_with_frequent_rows(spark, docs_of):
+    rows = sharding.assign(docs_of(hot()).repartition(6)).toPandas()
+    assert len(rows) == 1500
+    for _, mine in rows.groupby("shard"):
+        assert sorted(mine["slot"]) == list(range(len(mine)))
+
+
+def test_repeats_are_numbered_by_task(spark, docs_of):
+    """The windows that number rows hold the rows of one task at most."""
+    rows = [(7, "same words here", "a")] * 900
+    plan = sharding.assign(docs_of(rows).repartition(6))._jdf.queryExecution().optimizedPlan().toString()
+    numbering = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
+    assert numbering and all("task" in line.split("], [")[1] for line in numbering)
