@@ -13,6 +13,7 @@ from quillspark.llm.labelled import training_rows
 from quillspark.sources.tables import table
 
 SF_LARGE = "/root/testdata/sf0.1"
+CHECK_LARGE = "/root/testdata/check_l"
 
 
 def _accuracy(rows: pd.DataFrame, labels: pd.DataFrame, label: str):
@@ -108,6 +109,45 @@ def test_op3_recall_and_scores(spark):
     assert hits >= 0.9 * 10 * len(asked)
 
 
+def test_probes_compare_less_than_half_of_a_larger_table(spark):
+    frame = table(spark, CHECK_LARGE, "embeddings")
+    index = ann.build(frame)
+    held = np.array([index.sizes.get(p, 0) for p in range(len(index.model["b"]))])
+    rows = index.rows.toPandas()
+    assert held.sum() == len(rows) == frame.count()
+    x, part, ids = np.stack(rows["v"]).astype(np.float64), rows["part"].to_numpy(), rows["vec_id"]
+    asked = np.flatnonzero(ids.to_numpy() % 100 == 0)
+    order = np.argsort(-ann.odds(x[asked], index.model), axis=1, kind="stable")[:, :index.probes]
+    share = held[order].sum(axis=1).mean() / len(rows)
+    hits = 0
+    for q, probed in zip(asked, order):
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += np.isin(part[np.argpartition(far, 9)[:10]], probed).sum()
+    print(f"parts {len(held)}, probed {index.probes}, rows {share:.3f}, "
+          f"recall {hits / 10 / len(asked):.3f}")
+    assert hits >= 0.9 * 10 * len(asked)
+    assert share < 0.5
+
+
+def test_repeated_rows_do_not_fill_the_parts(spark):
+    rows = [(100, [1.0, 0.0])] * 300 + [(i, [float(i), 1.0]) for i in range(1, 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = ann.build(frame)
+    assert index.rows.count() == 40 and sum(index.sizes.values()) == 40
+    got = ann.search(frame).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got if r["query_id"] == 100] == list(range(1, 11))
+
+
+def test_probes_reach_the_recall():
+    order = np.array([[0, 1, 2, 3], [3, 2, 1, 0]])
+    asked, parts = np.array([0] * 5 + [1] * 5), np.array([0, 0, 0, 0, 1, 3, 3, 3, 3, 0])
+    assert ann.probes_for(order, asked, parts, 0.8) == 1
+    assert ann.probes_for(order, asked, parts, 0.9) == 2
+    assert ann.probes_for(order, asked, parts, 0.95) == 4
+    assert ann.probes_for(order, asked[:0], parts[:0], 0.9) == 4
+
+
 def test_search_on_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(30)]
