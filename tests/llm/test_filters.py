@@ -1,4 +1,8 @@
 import hashlib
+import math
+import random
+import re
+from collections import Counter
 
 import pytest
 from brute import base_secrets, bench_words, contamination, rule_of, url_parts
@@ -143,6 +147,101 @@ def test_battery_finds_random_tokens_and_spares_words(spark):
     assert got[i][1] == f"random:4:{4 + len(planted[i])}"
 
 
+def _tail(z):
+    return 1 / (1 + math.exp(min(700, z * 1.5976 + z ** 3 * 0.07056)))
+
+
+def _battery(token, alphabet, shift):
+    """Both p-values of a token, computed plainly."""
+    codes = [alphabet.index(c) + 1 for c in token]
+    n, k = len(codes), len(alphabet)
+    chi = sum((codes.count(c) - n / k) ** 2 / (n / k) for c in range(1, k + 1))
+    spread = 2 / (9 * (k - 1))
+    p_chi = _tail(((chi / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    sides = [c > (k + 1) / 2 for c in codes]
+    runs = 1 + sum(a != b for a, b in zip(sides, sides[1:]))
+    expect = 2 * sum(sides) * (n - sum(sides)) / n + 1
+    var = (expect - 1) * (expect - 2) / (n - 1)
+    z_runs = (runs - expect) / math.sqrt(var) if var > 0 else math.sqrt(n)
+    d = [c - (k + 1) / 2 for c in codes]
+    mean = sum(d) / n
+    var = sum(x * x for x in d) / n - mean * mean
+    serial = ((sum(a * b for a, b in zip(d, d[1:])) / n - mean * mean) / var * math.sqrt(n)
+              if var > 0 else math.sqrt(n))
+    two = [max(1e-12, min(1, 2 * _tail(abs(z)))) for z in (z_runs, serial)]
+    half = -math.log(max(1e-12, p_chi) * two[0] * two[1])
+    far = n * shift
+    return (math.exp(-half) * (1 + half + half * half / 2),
+            max(1e-19, _tail((k - 1 + far - chi) / math.sqrt(2 * (k - 1 + 2 * far))),
+                *(_tail(math.sqrt(n) - abs(z)) for z in (z_runs, serial))))
+
+
+def test_p_values_equal_a_plain_computation(spark):
+    rng = random.Random(5)
+    want = {}
+    for name, _, alphabet, shift in secrets.ENCODINGS:
+        letters = alphabet[:-2] if name == "base64" else alphabet  # the two are translated
+        for n in (16, 17, 40, 90):
+            token = "".join(rng.choices(letters, k=n))
+            want[token] = (name, *_battery(token, alphabet, shift))
+        word = letters[:8] * 5
+        want[word] = (None, *_battery(word, alphabet, shift)) if name == "base64" else (None,)
+    rows = spark.createDataFrame([(t,) for t in want], "token string") \
+        .select("token", secrets.battery(F.col("token")).alias("p")).select("token", "p.*").collect()
+    compared = 0
+    for r in rows:
+        if r["kind"] == want[r["token"]][0]:
+            compared += 1
+            assert r["random"] == pytest.approx(want[r["token"]][1], rel=1e-6, abs=1e-15)
+            assert r["other"] == pytest.approx(want[r["token"]][2], rel=1e-6, abs=1e-15)
+    assert compared >= 24
+
+
+def test_step_up_rule_equals_a_plain_one(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([16, 22, 30, 60, 200]), 10 ** -rng.uniform(0, 8) if rng.random() < 0.3
+             else rng.uniform(0.01, 1)) for _ in range(3000)]
+    got = {r["class"]: r["cell"] for r in secrets.thresholds(
+        spark.createDataFrame(rows, "length int, other double"), 0.01).collect()}
+    for c in range(len(secrets.LENGTHS) + 1):
+        cells = sorted(math.ceil(math.log10(p) * 10) for n, p in rows
+                       if sum(n >= b for b in secrets.LENGTHS) == c)
+        good = [x for x in cells if 10 ** (x / 10) <= 0.01 * sum(y <= x for y in cells) / len(cells)]
+        assert got.get(c) == (max(good) if good else None)
+
+
+def test_found_and_false_alarms_by_length(spark):
+    """Planted tokens that no base pattern matches, among words, paths and numbers."""
+    rng = random.Random(9)
+    letters = secrets.ENCODINGS[-1][2][:-2]
+    words = [t for r in table(spark, SF_CHECK, "documents").where("lang = 'en'").collect()
+             for t in re.findall("[A-Za-z]+", r["text"] or "")]
+    texts, planted = [], {}
+    for i in range(1200):
+        n = (16, 24, 32, 44)[i % 4]
+        name = "_".join(rng.choices(words, k=n // 5))
+        path = "/".join(rng.choices(words, k=n // 6)) + f"/{rng.randrange(3000)}"
+        text = f"in {name} of {path} no {rng.randrange(10 ** 15, 10 ** 16)}"
+        if i % 3 == 0:
+            planted[i] = (n, len(text) + 1)
+            text += " " + "".join(rng.choices(letters, k=n))
+        texts.append((i, text))
+    got = _base(spark, spark.createDataFrame(texts, "doc_id long, text string"))
+    hits, all_, false = Counter(), Counter(), 0
+    for i, (_, found) in got.items():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found.split(",")
+                 if s.startswith("random")]
+        if i in planted:
+            n, at = planted[i]
+            all_[n] += 1
+            hits[n] += (at, at + n) in spans
+            spans = [s for s in spans if s != (at, at + n)]
+        false += len(spans)
+    print({n: (hits[n], all_[n]) for n in sorted(all_)}, "false", false)
+    assert hits[44] >= 0.9 * all_[44] and hits[32] >= 0.8 * all_[32]
+    assert false <= 0.05 * sum(hits.values())
+
+
 def _check_contamination(spark, docs, items):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
