@@ -263,7 +263,8 @@ def _probes(asked: DataFrame, index: DataFrame, model: dict, k: int) -> int:
         ids, x = shared.value
         best = np.full((len(x), k), np.inf)
         where = np.zeros((len(x), k), dtype=np.int64)
-        for batch in batches:
+        few = (b.slice(i, 2048) for b in batches for i in range(0, len(b), 2048))
+        for batch in few:
             rows, v = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"))
             part = batch.column("part").to_numpy()
             with np.errstate(all="ignore"):
