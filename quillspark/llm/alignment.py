@@ -7,6 +7,7 @@ first pass aligns all documents and collects what pairs there are, a minimal
 perfect hash gives each distinct pair a place without gaps, counts are dense
 vectors over those places that are summed up a tree, and a second pass aligns
 the documents again and looks its pairs up, checked against the stored keys.
+Texts are encoded once; both passes align the stored token ids.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,9 +152,10 @@ def _loaded(key: str, a_model: bytes, b_model: bytes) -> Tokenizers:
 class Aligned:
     """Tokens of some texts in groups. ``links`` gives text, pair and how often."""
 
-    def __init__(self, tok: Tokenizers, texts: list[str]):
-        self.n = len(texts)
-        self.a, self.n_a, self.b, self.n_b = tok.encode(texts)
+    def __init__(self, tok: Tokenizers, a: np.ndarray, n_a: np.ndarray, b: np.ndarray,
+                 n_b: np.ndarray):
+        self.n = len(n_a)
+        self.a, self.n_a, self.b, self.n_b = a, n_a, b, n_b
         self.width = len(tok.b_bytes)
         ends_a, ends_b = np.cumsum(tok.a_size[self.a]), np.cumsum(tok.b_size[self.b])
         at = np.minimum(np.searchsorted(ends_b, ends_a), max(0, len(ends_b) - 1))
@@ -239,6 +242,41 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, ["" if t is None else t for t in column.slice(first, last - first).to_pylist()]
 
 
+def _cells(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Ids of each row as bytes, four to an id."""
+    bounds = np.append(0, np.cumsum(sizes) * 4).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [
+        None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(ids.astype("<i4").tobytes())]) \
+        .cast(pa.binary())
+
+
+def encoded(docs: DataFrame, load: Callable[[], Tokenizers], keep: list[str]) -> DataFrame:
+    """``keep..., ids_a, ids_b``: the token ids of every text, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = load()
+        for batch in batches:
+            for first, texts in _texts(batch.column(len(keep))):
+                part = batch.slice(first, len(texts))
+                a, n_a, b, n_b = tok.encode(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:len(keep)], _cells(a, n_a), _cells(b, n_b)],
+                    names=[*keep, "ids_a", "ids_b"])
+
+    shape = docs.select(*keep, F.lit(b"").alias("ids_a"), F.lit(b"").alias("ids_b")).schema
+    return docs.select(*keep, "text").mapInArrow(run, shape)
+
+
+def _aligned(batch: pa.RecordBatch, tok: Tokenizers) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """Rows and their alignment, in pieces of about a megabyte of ids."""
+    a, b = batch.column("ids_a"), batch.column("ids_b")
+    sizes = [pc.binary_length(c).to_numpy(zero_copy_only=False).astype(np.int64) // 4 for c in (a, b)]
+    for first, last in chunks(np.append(0, np.cumsum(sizes[0] + sizes[1]) * 4)):
+        part = batch.slice(first, last - first)
+        ids = [np.frombuffer(b"".join(part.column(c).to_pylist()), "<i4").astype(np.int64)
+               for c in ("ids_a", "ids_b")]
+        yield part, Aligned(tok, ids[0], sizes[0][first:last], ids[1], sizes[1][first:last])
+
+
 # ---------------------------------------------------------------- minimal perfect hash
 def _mixed(keys: np.ndarray) -> np.ndarray:
     """24 bits that deal pairs out to the shards."""
@@ -301,7 +339,7 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 # ---------------------------------------------------------------- counts
-def _partial_counts(docs: DataFrame, load: Callable[[], Tokenizers]) -> DataFrame:
+def _partial_counts(tokens: DataFrame, load: Callable[[], Tokenizers]) -> DataFrame:
     """``pair, n, mixed, part``: first pass, pairs of the documents of each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, part = load(), TaskContext.get().partitionId()
@@ -319,8 +357,8 @@ def _partial_counts(docs: DataFrame, load: Callable[[], Tokenizers]) -> DataFram
                 names=["pair", "n", "mixed", "part"])
 
         for batch in batches:
-            for _, texts in _texts(batch.column(0)):
-                held.append(Aligned(tok, texts).pairs())
+            for _, aligned in _aligned(batch, tok):
+                held.append(aligned.pairs())
                 if sum(len(k) for k, _ in held) > HELD:
                     held[:] = [merged()]
                     if len(held[0][0]) > HELD // 2:
@@ -330,7 +368,7 @@ def _partial_counts(docs: DataFrame, load: Callable[[], Tokenizers]) -> DataFram
             held[:] = [merged()]
             yield out()
 
-    return docs.select("text").mapInArrow(run, "pair long, n long, mixed int, part int")
+    return tokens.select("ids_a", "ids_b").mapInArrow(run, "pair long, n long, mixed int, part int")
 
 
 def _hashed(pairs: pd.DataFrame) -> pd.DataFrame:
@@ -356,14 +394,14 @@ def _added(vectors: pd.DataFrame) -> pd.DataFrame:
                          "vector": [total.tobytes()]})
 
 
-def pair_counts(docs: DataFrame, load: Callable[[], Tokenizers]) -> DataFrame:
+def pair_counts(tokens: DataFrame, load: Callable[[], Tokenizers]) -> DataFrame:
     """Shards of the count table: ``shard, fields, keys, counts``, the keys and
     counts standing at the places that the hash of ``fields`` gives.
 
     A shard holds about ``PER_SHARD`` pairs. Partial counts of its pairs meet
     in vectors of ``PER_VECTOR`` of them, which are added ``FAN_IN`` at a time.
     """
-    partial = stored(_partial_counts(docs, load))
+    partial = stored(_partial_counts(tokens, load))
     distinct = stored(partial.select("pair", "mixed").distinct())
     shards = max(1, math.ceil(distinct.count() / PER_SHARD))
     nodes = max(1, math.ceil(partial.count() / (shards * PER_VECTOR)))
@@ -398,7 +436,7 @@ def _best(table: DataFrame, width: int) -> dict[int, int]:
 def _looked_up(rows: DataFrame, load: Callable[[], Tokenizers], slices, top, shards: int, last: bool,
                keep: list[str]) -> DataFrame:
     """Second pass: ``n_best`` and ``count_sum`` grow by the links whose pairs
-    are in ``slices``; the last one adds the other columns and drops the text."""
+    are in ``slices``; the last one adds the other columns and drops the tokens."""
     measures = ["n_a", "n_b", "n_groups", "n_links"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,9 +444,7 @@ def _looked_up(rows: DataFrame, load: Callable[[], Tokenizers], slices, top, sha
         table = {s: (_unpack(f), np.frombuffer(k, np.int64), np.frombuffer(c, np.int64))
                  for s, f, k, c in slices.value}
         for batch in batches:
-            for first, texts in _texts(batch.column("text")):
-                part = batch.slice(first, len(texts))
-                aligned = Aligned(tok, texts)
+            for part, aligned in _aligned(batch, tok):
                 sums = {c: part.column(c).to_numpy().copy() for c in ("n_best", "count_sum")}
                 for text, pair, often in aligned.links():
                     distinct, inverse = np.unique(pair, return_inverse=True)
@@ -427,7 +463,7 @@ def _looked_up(rows: DataFrame, load: Callable[[], Tokenizers], slices, top, sha
                 if last:
                     columns |= {c: pa.array(getattr(aligned, c)) for c in measures}
                 else:
-                    columns["text"] = part.column("text")
+                    columns |= {c: part.column(c) for c in ("ids_a", "ids_b")}
                 columns |= {c: pa.array(v) for c, v in sums.items()}
                 if last:
                     columns["groups"] = pa.array(aligned.groups(), pa.string())
@@ -436,8 +472,8 @@ def _looked_up(rows: DataFrame, load: Callable[[], Tokenizers], slices, top, sha
     new = [F.lit(0).cast("long").alias(c) for c in measures]
     sums = ["n_best", "count_sum"]
     shape = rows.select(*keep, *new, *sums, F.lit("").alias("groups")) if last \
-        else rows.select(*keep, "text", *sums)
-    return rows.select(*keep, "text", *sums).mapInArrow(run, shape.schema)
+        else rows.select(*keep, "ids_a", "ids_b", *sums)
+    return rows.select(*keep, "ids_a", "ids_b", *sums).mapInArrow(run, shape.schema)
 
 
 def align(docs: DataFrame, a_model: bytes, b_model: bytes, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -469,6 +505,7 @@ def align(docs: DataFrame, a_model: bytes, b_model: bytes, keep: tuple[str, ...]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep,
                        F.col("text").cast("string").alias("text"))
+    rows = stored(encoded(rows, load, ["doc_id", *keep]))
     table = pair_counts(rows, load)
     shards = table.count()
     width = len(Tokenizers(a_model, b_model).b_bytes)

@@ -98,7 +98,7 @@ def test_groups_of_very_many_links_are_linked_by_distinct_ids(monkeypatch):
 
     def total():
         found = collections.Counter()
-        for text, pair, often in alignment.Aligned(tok, texts).links():
+        for text, pair, often in alignment.Aligned(tok, *tok.encode(texts)).links():
             for t, p, n in zip(text.tolist(), pair.tolist(), often.tolist()):
                 found[t, p] += n
         return found
