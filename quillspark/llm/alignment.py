@@ -45,7 +45,7 @@ PIECE = 100           # characters of a text that B reads at a time, and the wor
 # What splits a text before byte-level merges, written so that no
 # step back is needed.
 PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
-_CUT = re.compile("[^ ] ")
+_CUT = re.compile(r"[^ ] (?!\Z)")
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -96,7 +96,8 @@ class Tokenizers:
 
     def _pieces(self, text: str) -> Iterator[str]:
         """A text cut before blanks, each part without its first one, which the
-        model adds itself."""
+        model adds itself; it adds none to an empty part, so the last character
+        of a text is never cut off."""
         first = 0
         while self.by_word and (blank := _CUT.search(text, first + PIECE)):
             yield text[first:blank.start() + 1]

@@ -86,6 +86,16 @@ def test_alignment_equals_plain_on_odd_texts(spark, monkeypatch, shard, rounds):
     assert alignment.align(_docs(spark, ODD).limit(0), *MODELS).count() == 0
 
 
+def test_texts_with_blanks_at_their_end_keep_their_tokens():
+    """Around the places where a text is cut for the second tokenizer."""
+    tok = alignment.Tokenizers(*MODELS)
+    texts = ["x" * n + " " * blanks for n in (1, *range(95, 206)) for blanks in range(4)]
+    texts += ["some words and a line \n" * 20, "some words " * 20, "é 漢 " * 40]
+    ids, n_a, _, n_b = tok.encode(texts)
+    assert (n_a > 0).all() and n_b.tolist() == [len(tok.b.encode(t)) for t in texts]
+    assert b"".join(tok.a_bytes[i] for i in ids) == b"".join((" " + t).encode() for t in texts)
+
+
 def test_alignment_equals_plain_on_documents(spark):
     rows = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     got = [tuple(r) for r in alignment.align(table(spark, SF_SMALL, "documents"), *MODELS).collect()]
