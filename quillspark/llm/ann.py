@@ -31,14 +31,15 @@ BLOCK = 4096  # vectors, or queries, that meet in one task's product
 
 
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
-    """Nearest other rows of each row."""
+    """Nearest other rows of each row, some rows at a time."""
     norm = (x * x).sum(axis=1)
-    out = []
-    for a in range(0, len(x), 512):
-        d = norm[None, :] - 2 * x[a:a + 512] @ x.T
+    out = np.empty((len(x), k), dtype=np.int64)
+    for a in range(0, len(x), 256):
+        d = norm[None, :] - 2 * x[a:a + 256] @ x.T
         d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
-        out.append(np.argpartition(d, k - 1, axis=1)[:, :k])
-    return np.concatenate(out)
+        # Copied: a slice kept would keep the order of all rows behind it.
+        out[a:a + 256] = np.argpartition(d, k - 1, axis=1)[:, :k]
+    return out
 
 
 def balanced_parts(near: np.ndarray, parts: int, rounds: int = 60) -> np.ndarray:
