@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +24,7 @@ BITS = 20  # coordinates are 2 ** BITS
 PART_ROWS = 8192  # labelled rows learned by one task
 MOST_ROWS = 65536  # labelled rows learned at most
 EPOCHS = 6
+PIECE = 1 << 18  # bytes of text whose n-grams are made at a time
 ALPHA, BETA = 8.0, 1.0  # rate per coordinate: ALPHA / (BETA + root of its squared gradients)
 # Sparsity; chance alone moves a gradient sum by the root of its rows. Chosen on an
 # inner fold: learned from crc32 remainder 0, compared on remainder 2.
@@ -76,28 +76,34 @@ class Ftrl:
         self.n[i] = n + g * g
 
 
-def _train_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    powers, rows, mask = Powers(), [], (1 << BITS) - 1
-    pdf = pdf.sort_values(["part", "label", "text"], kind="stable")
-    data, bounds = flat(pa.array(pdf["text"].fillna("").tolist(), pa.large_string()))
-    for first, last in chunks(bounds):
+def _train_part(part: pa.Table) -> pa.Table:
+    """Weights of one part. Its coordinates stand in one array, four bytes each:
+    they are what the task holds while it learns."""
+    part = part.select(["text", "label", "part"]) \
+        .sort_by([(c, "ascending") for c in ("part", "label", "text")])
+    powers, found, sizes = Powers(), [], [np.zeros(1, np.int64)]
+    labels = part.column("label").to_pylist()
+    data, bounds = flat(part.column("text"))
+    for first, last in chunks(bounds, PIECE):
         low = bounds[first]
         i, of = grams(data[low:bounds[last]], bounds[first:last + 1] - low, powers, BITS)
         pairs = np.unique(of * (1 << BITS) + i)
-        cut = np.searchsorted(pairs, np.arange(last - first + 1) << BITS)
-        rows += [(pairs[a:b] & mask).astype(np.int32) for a, b in zip(cut, cut[1:])]
-    seen = np.zeros(1 << BITS, dtype=np.int32)
-    for i in rows:
-        seen[i] += 1
-    place = np.cumsum(seen > 0)  # from 1: the bias comes first
-    rows = [np.append(0, place[i]) for i in rows]
-    model, labels = Ftrl(int(place[-1]) + 1, L1_PER_ROOT * len(rows) ** 0.5), pdf["label"].tolist()
+        found.append((pairs & ((1 << BITS) - 1)).astype(np.int32))
+        sizes.append(np.bincount(pairs >> BITS, minlength=last - first))
+    rows, cut = np.concatenate(found), np.cumsum(np.concatenate(sizes))
+    del part, data, bounds, powers, found, sizes
+    seen = np.zeros(1 << BITS, dtype=bool)
+    seen[rows] = True
+    rows = np.cumsum(seen, dtype=np.int32)[rows]  # from 1: the bias comes first
+    model = Ftrl(int(seen.sum()) + 1, L1_PER_ROOT * len(labels) ** 0.5)
     for _ in range(EPOCHS):
-        for i, label in zip(rows, labels):
-            model.learn(i, label)
-    every = np.arange(len(model.z))
-    return pd.DataFrame({"i": np.append(0, np.flatnonzero(seen) + 1).astype(np.int32),
-                         "w": model.weights(every), "n": model.n})
+        for label, a, b in zip(labels, cut, cut[1:]):
+            model.learn(np.append(0, rows[a:b]), label)
+    del rows
+    size = len(model.z)
+    w = [model.weights(np.arange(a, min(a + PIECE, size))) for a in range(0, size, PIECE)]
+    return pa.table({"i": np.append(0, np.flatnonzero(seen) + 1).astype(np.int32),
+                     "w": np.concatenate(w), "n": model.n})
 
 
 def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +111,8 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     2 ** BITS + 1 rows reach the driver, in practice some thousands."""
     parts = max(1, round(rows.count() / PART_ROWS))
     part = F.least(F.floor(F.col("part") * parts), F.lit(parts - 1)).cast("int")
-    found = rows.withColumn("task", part).groupBy("task").applyInPandas(
-        lambda pdf: _train_part(pdf), "i int, w double, n double")
+    found = rows.withColumn("task", part).groupBy("task").applyInArrow(
+        lambda part: _train_part(part), "i int, w double, n double")
     # A part without evidence on a coordinate has no say on it.
     mixed = found.where("n > 0").groupBy("i") \
         .agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).where("w <> 0").toPandas().sort_values("i")
@@ -115,7 +121,8 @@ def train(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def score_rows(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str],
                text: str = "text") -> DataFrame:
-    """``keep`` plus ``score`` in (0, 1)."""
+    """``keep`` plus ``score`` in (0, 1). A text that is kept goes to the tasks
+    once, and rows come back in pieces of about PIECE bytes of text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,22 +131,23 @@ def score_rows(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list
         dense[at] = w
         bias, powers = float(dense[0]), Powers()
         for batch in batches:
-            data, bounds = flat(batch.column(len(keep)))
-            total = np.full(len(bounds) - 1, bias)
-            for first, last in chunks(bounds):
+            kept = batch.select(keep)
+            data, bounds = flat(batch.column(text))
+            for first, last in chunks(bounds, PIECE):
                 low = bounds[first]
                 i, of = grams(data[low:bounds[last]], bounds[first:last + 1] - low, powers, BITS)
                 hit = dense[i + 1] != 0
                 pairs = np.unique(of[hit] * (1 << BITS) + i[hit])
-                total[first:last] += np.bincount(
+                total = bias + np.bincount(
                     pairs >> BITS, weights=dense[(pairs & ((1 << BITS) - 1)) + 1],
                     minlength=last - first)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(_sigmoid(total), pa.float64())],
-                names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.slice(first, last - first).columns, pa.array(_sigmoid(total), pa.float64())],
+                    names=[*keep, "score"])
 
     schema = docs.select(*keep, F.lit(0.0).alias("score")).schema
-    return docs.select(*keep, F.col(text).cast("string").alias(text)).mapInArrow(run, schema)
+    read = [] if text in keep else [F.col(text).cast("string").alias(text)]
+    return docs.select(*keep, *read).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",),
@@ -158,8 +166,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
     model = train(rows)
     if not len(model[0]):
         model = (np.zeros(1, np.int64), np.zeros(1))
+    kept = "text" in keep and dict(docs.dtypes)["text"] == "string"
     base = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep],
-                       (fold("doc_id", folds) == held_out).alias("held_out"), "text")
-    out = score_rows(base, model, [f"k_{c}" for c in keep] + ["held_out"])
+                       (fold("doc_id", folds) == held_out).alias("held_out"),
+                       *[] if kept else ["text"])
+    out = score_rows(base, model, [f"k_{c}" for c in keep] + ["held_out"], "k_text" if kept else "text")
     return out.select(*[F.col(f"k_{c}").alias(c) for c in keep], "held_out", "score",
                       (F.col("score") >= PREDICT).cast("int").alias("predicted"))

@@ -1,9 +1,11 @@
 import hashlib
+import re
 import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from fixtures import docs_of, odd  # noqa: F401
 from pyspark.sql import functions as F
@@ -86,6 +88,32 @@ def test_ftrl_learns_and_thins():
     assert w[0] < 0 < w[1] and w[1] > 3 * np.abs(w[2:]).max() and (w[2:] == 0).any()
 
 
+def test_learning_holds_a_few_bytes_for_each_coordinate_of_a_row():
+    rng = np.random.default_rng(0)
+    texts = [" ".join(map(str, rng.integers(0, 300, 400))) for _ in range(1500)]
+    part = pa.table({"text": texts, "label": pa.array(rng.integers(0, 2, 1500), pa.int32()),
+                     "part": rng.random(1500)})
+    held = 1500 * 400 * 3 * 4  # at most: words, pairs, skipped pairs, four bytes each
+    tracemalloc.start()
+    weights = toxicity._train_part(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert weights.column_names == ["i", "w", "n"] and weights["i"][0].as_py() == 0
+    assert peak < 3 * held + (40 << 20)  # 40 MB for the weights and a piece of text
+
+
+def test_a_kept_text_goes_to_the_scoring_tasks_once(spark, capsys):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs, labels, keep=("doc_id", "text"))
+    rows.explain()
+    asked = re.search(r"MapInArrow run\((.*?)\)", capsys.readouterr().out).group(1)
+    assert len(re.findall(r"text#", asked)) == 1
+    plain = toxicity.toxicity(docs, labels)
+    assert sorted(map(tuple, rows.drop("text").collect())) == sorted(map(tuple, plain.collect()))
+    assert {(r["doc_id"], r["text"]) for r in rows.collect()} == {(i, f"text {i}") for i in range(12)}
+
+
 def _nearest(ids, x, q, k):
     d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
     order = [i for i in np.lexsort((ids, d)) if ids[i] != ids[q]][:k]
