@@ -4,8 +4,8 @@
 whole (or a third of the) data in one task. ``row_position`` gives the same
 numbers from one range sort on the real columns: Spark samples the range
 bounds over all sort columns, so a busy lead value is split by the next
-column, and as many tasks sort as there are shuffle partitions. The place of a
-row is then the rows of the ranges before its own plus its place in there.
+column. There are as many ranges as the rows need, so that the rows one task
+sorts do not grow with the input. The place of a row is then the rows of the ranges before its own plus its place in there.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, tasks_for
 
 _RANGE_BITS = 33  # monotonically_increasing_id: range above, row in it below
 
@@ -28,10 +28,12 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     column with the row count of the row's partition.
 
     The sorted rows are checkpointed once, so that every branch sees the same
-    ranges; the tables joined back have one row per range and per partition key.
+    ranges; the tables joined back have one row per range, which is broadcast,
+    and one per partition key.
     """
     placed = materialize(df.withColumn("_pk", F.struct(*partition) if partition else F.struct(F.lit(0)))
-                         .orderBy(*partition, *order)
+                         .repartitionByRange(tasks_for(df.count()), *partition, *order)
+                         .sortWithinPartitions(*partition, *order)
                          .withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.withColumn("_range", F.shiftright("_id", _RANGE_BITS)) \
         .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << _RANGE_BITS) - 1)))
@@ -39,11 +41,13 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     rank = F.col("_start") + F.col("_row")
-    ranked = placed.join(starts, "_range").withColumn("_rank", rank)
+    ranked = placed.join(F.broadcast(starts), "_range").withColumn("_rank", rank)
     firsts = placed.groupBy("_pk").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     firsts = firsts.withColumn("_range", F.shiftright("_first", _RANGE_BITS)).join(starts, "_range") \
         .select("_pk", "_n", (F.col("_start") + F.col("_first").bitwiseAND(
             F.lit((1 << _RANGE_BITS) - 1))).alias("_base"))
+    if not partition:  # a single row
+        firsts = F.broadcast(firsts)
     res = ranked.join(firsts, "_pk").withColumn(out, F.col("_rank") - F.col("_base") + 1)
     if total:
         res = res.withColumn(total, F.col("_n"))

@@ -6,6 +6,8 @@ builder here is for tests, ``bench.py`` and local experiments only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run of the library expects. AQE gives runtime broadcast
@@ -25,6 +27,18 @@ BASE_CONF = {
 }
 
 
+# Rows that one task sorts or groups, where their number sets the number of tasks.
+TASK_ROWS = 1 << 18
+MOST_TASKS = 1 << 14
+
+
+def tasks_for(rows: int | None) -> int:
+    """Tasks that share ``rows`` rows, about ``TASK_ROWS`` each. Partitions made
+    by number are not merged by the size of their files, so what a task holds
+    does not grow with the input; beyond ``MOST_TASKS`` tasks spill."""
+    return max(1, min(MOST_TASKS, math.ceil((rows or 0) / TASK_ROWS)))
+
+
 def local_session(cpus: int = 8, partitions: int | None = None,
                   app: str = "quillspark", driver_memory: str = "16g") -> SparkSession:
     """A ``local[cpus]`` session configured like the cluster sessions."""
