@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+from quillspark import session
 from quillspark.operators import aggregates as agg
 from quillspark.operators import windows as win
 from quillspark.operators.folds import walk_forward_folds
@@ -101,6 +102,27 @@ def test_pair_counts_with_hot_user_salting(spark):
     assert got == dict(_brute_pairs(data))
 
 
+def test_pair_counts_are_dealt_to_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    data = [(u, m) for u in range(30) for m in range(u % 5, 12)] + [(None, 1), (3, None)]
+    got = pair_counts(spark.createDataFrame(data, "u long, m long"), "u", "m", max_items=5) \
+        .withColumn("task", F.spark_partition_id()).collect()
+    assert {(r["m1"], r["m2"]): r["pair_cnt"] for r in got} == dict(_brute_pairs(data[:-2]))
+    assert len({r["task"] for r in got}) > 8  # more than the shuffle partitions of the session
+
+
+def test_row_positions_are_sorted_in_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    got = row_position(df, ["k"]).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["k"], r["row_pos"]) for r in got) == [(i, i + 1) for i in range(1000)]
+    assert len({r["task"] for r in got}) > 8
+    lines = df.select((F.col("k") % 3).alias("source_no"), "k")
+    got = row_position(lines, ["k"], ["source_no"], out="n", total="of").collect()
+    assert {(r["source_no"], r["k"], r["n"], r["of"]) for r in got} == \
+        {(k % 3, k, k // 3 + 1, 334 if k % 3 == 0 else 333) for k in range(1000)}
+
+
 def test_recommend_matches_pair_table(spark):
     rnd = random.Random(3)
     data = [(u, rnd.randint(0, 30), rnd.randint(1, 5)) for u in range(30) for _ in range(rnd.randint(1, 12))]
