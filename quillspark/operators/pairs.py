@@ -36,8 +36,8 @@ def pair_counts(ratings: DataFrame, user: str, item: str, liked: Column | None =
                         .agg(F.count(F.lit(1)).alias("c")))
     per_user = likes.groupBy("user").agg(F.count(F.lit(1)).alias("n_u")) \
         .withColumn("s", F.ceil(F.col("n_u") / max_items).cast("int"))
-    # Every step below is dealt to as many tasks as its rows need, so that what
-    # one task holds does not grow with the input.
+    # The pairs are dealt to as many tasks as they need. The join was seen to run
+    # in the session's shuffle partitions all the same.
     n = F.col("n_u").cast("double")
     need = per_user.agg(F.sum(n * F.col("s")).alias("sides"), F.sum(n * (n - 1) / 2).alias("pairs")).first()
     split = per_user.where(F.col("s") > 1).select("user", "s")
