@@ -95,16 +95,17 @@ def _stride(items: DataFrame, least: float) -> int:
     return int(items.agg(F.coalesce(F.min(run), F.lit(1))).first()[0])
 
 
-def _sieve(shingles: DataFrame) -> Column:
-    """Bit set of the shingle hashes as a constant of fixed size."""
+def _sieve(shingles: DataFrame) -> DataFrame:
+    """Bit set of the shingle hashes: one row, an array of longs of fixed size."""
     place = F.pmod("hash", F.lit(SIEVE)).cast("int")
-    parts = shingles.select(F.shiftright(place, 6).alias("part"), F.call_function(
+    bits = shingles.select(F.shiftright(place, 6).alias("part"), F.call_function(
         "shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63))).alias("bit")) \
-        .groupBy("part").agg(F.bit_or("bit").alias("bits")).collect()
-    row = [0] * (SIEVE // 64)
-    for p in parts:
-        row[p["part"]] = p["bits"]
-    return F.split(F.lit(",".join(map(str, row))), ",").cast("array<long>")
+        .groupBy("part").agg(F.bit_or("bit").alias("bits"))
+    every = shingles.sparkSession.range(SIEVE // 64).select(F.col("id").cast("int").alias("part"))
+    row = every.join(F.broadcast(bits), "part", "left") \
+        .select("part", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return row.agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "bits"))),
+                               lambda x: x["bits"]).alias("sieve"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id",),
@@ -140,24 +141,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("
                        words.alias("words"))
     keys = [f"k_{c}" for c in keep] + ["text_md5"]
 
-    def hash_at(i: Column) -> Column:
-        return F.xxhash64(F.array_join(F.slice(F.col("words"), i, SHINGLE), " "))
+    def hash_at(words: Column, i: Column) -> Column:
+        return F.xxhash64(F.array_join(F.slice(words, i, SHINGLE), " "))
 
-    def passes(h: Column) -> Column:
+    def passes(sieve: Column, h: Column) -> Column:
         at = F.pmod(h, F.lit(SIEVE)).cast("int")
         bits = F.element_at(sieve, F.shiftright(at, 6) + 1)
         return F.call_function("shiftrightunsigned", bits, at.bitwiseAND(F.lit(63))) \
             .bitwiseAND(F.lit(1).cast("long")) == 1
 
-    final = F.size("words") - (SHINGLE - 1)
-    tested = F.transform(F.sequence(F.lit(1), final, F.lit(stride)),
-                         lambda i: F.struct(i.alias("i"), hash_at(i).alias("hash")))
-    # Texts with a hit get a flag for every shingle that may be one of an item.
-    flags = F.transform(F.sequence(F.lit(1), final), lambda i: passes(hash_at(i)))
-    met = let(F.filter(tested, lambda x: passes(x["hash"])), lambda hits: F.when(
-        F.size(hits) > 0, F.struct(hits.alias("hits"), flags.alias("flags"))))
-    hits = rows.where(F.size("words") >= SHINGLE).select(*keys, "words", met.alias("met")) \
-        .select(*keys, "words", F.col("met.flags").alias("flags"),
+    def meeting(of: Column) -> Column:
+        words, sieve = of["words"], of["sieve"]
+        final = F.size(words) - (SHINGLE - 1)
+        tested = F.transform(F.sequence(F.lit(1), final, F.lit(stride)),
+                             lambda i: F.struct(i.alias("i"), hash_at(words, i).alias("hash")))
+        # Texts with a hit get a flag for every shingle that may be one of an item.
+        flags = F.transform(F.sequence(F.lit(1), final), lambda i: passes(sieve, hash_at(words, i)))
+        return let(F.filter(tested, lambda x: passes(sieve, x["hash"])), lambda hits: F.when(
+            F.size(hits) > 0, F.struct(words.alias("words"), hits.alias("hits"), flags.alias("flags"))))
+
+    # The sieve is a subquery and not a constant: plans stay small, and so do the
+    # texts of them that the driver keeps. Words and sieve are used once, so that
+    # they need no rows of their own.
+    hits = rows.where(F.size("words") >= SHINGLE).withColumn("sieve", sieve.scalar()) \
+        .select(*keys, let(F.struct("words", "sieve"), meeting).alias("met")) \
+        .select(*keys, F.col("met.words").alias("words"), F.col("met.flags").alias("flags"),
                 F.explode("met.hits").alias("hit"))
     i, first = F.col("hit.i"), F.greatest(F.lit(1), F.col("hit.i") - longest)
     marks = F.filter(F.sequence(first, F.least(F.size("flags"), i + longest)),

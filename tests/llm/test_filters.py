@@ -282,6 +282,16 @@ def test_decontamination_of_edited_windows(spark):
     _check_contamination(spark, docs, items)
 
 
+def test_decontamination_plan_does_not_hold_the_sieve(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "b c d e f g")], "item_id long, text string")
+    found = decontam.contaminated(docs, items)
+    assert len(found._jdf.queryExecution().toString()) < 500_000  # the sieve has 131072 longs
+    # Nor do the rows: it goes from the subquery to its one use.
+    assert "array(struct(words, " in found._jdf.queryExecution().sparkPlan().toString()
+    assert [r["item_id"] for r in found.collect()] == [1]
+
+
 def test_decontamination_of_moved_blocks(spark):
     items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (40, 50, 59, 90, 150)]
     items.append((30, " ".join(f"r{k % 7}" for k in range(30))))
