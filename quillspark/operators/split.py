@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, tasks_for
 
+FEW_KEYS = 1 << 16  # rows per range and key that are broadcast at most
 _RANGE_BITS = 33  # monotonically_increasing_id: range above, row in it below
 
 
@@ -28,30 +29,35 @@ def row_position(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
     column with the row count of the row's partition.
 
     The sorted rows are checkpointed once, so that every branch sees the same
-    ranges; the tables joined back have one row per range, which is broadcast,
-    and one per partition key.
+    ranges. Joined back is one row per range and key, keys and ranges together
+    at most: broadcast if few; if many, the rows are dealt by range and key, so
+    that a key of many rows is spread like any others.
     """
+    rows = df.count()
     placed = materialize(df.withColumn("_pk", F.struct(*partition) if partition else F.struct(F.lit(0)))
-                         .repartitionByRange(tasks_for(df.count()), *partition, *order)
+                         .repartitionByRange(tasks_for(rows), *partition, *order)
                          .sortWithinPartitions(*partition, *order)
                          .withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.withColumn("_range", F.shiftright("_id", _RANGE_BITS)) \
         .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << _RANGE_BITS) - 1)))
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    here = materialize(placed.groupBy("_range", "_pk")
+                       .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size")))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    rank = F.col("_start") + F.col("_row")
-    ranked = placed.join(F.broadcast(starts), "_range").withColumn("_rank", rank)
-    firsts = placed.groupBy("_pk").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    firsts = firsts.withColumn("_range", F.shiftright("_first", _RANGE_BITS)).join(starts, "_range") \
-        .select("_pk", "_n", (F.col("_start") + F.col("_first").bitwiseAND(
-            F.lit((1 << _RANGE_BITS) - 1))).alias("_base"))
-    if not partition:  # a single row
-        firsts = F.broadcast(firsts)
-    res = ranked.join(firsts, "_pk").withColumn(out, F.col("_rank") - F.col("_base") + 1)
+    starts = here.groupBy("_range").agg(F.sum("_size").alias("_size")) \
+        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    here = here.join(F.broadcast(starts), "_range")
+    keys = here.groupBy("_pk").agg(F.min(F.col("_start") + F.col("_first")).alias("_base"),
+                                   F.sum("_size").alias("_n"))
+    here = materialize(here.join(keys, "_pk").select(
+        "_range", "_pk", (F.col("_start") - F.col("_base")).alias("_shift"), "_n"))
+    if here.count() <= FEW_KEYS:
+        here = F.broadcast(here)
+    else:
+        placed = placed.repartition(tasks_for(rows), "_range", "_pk")
+    res = placed.join(here, ["_range", "_pk"]).withColumn(out, F.col("_row") + F.col("_shift") + 1)
     if total:
         res = res.withColumn(total, F.col("_n"))
-    return res.drop("_pk", "_id", "_range", "_row", "_start", "_rank", "_n", "_base")
+    return res.drop("_pk", "_id", "_range", "_row", "_shift", "_n")
 
 
 def ntile_part(position: str | Column, total: Column, parts: int) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillspark import session
 from quillspark.operators import aggregates as agg
+from quillspark.operators import split
 from quillspark.operators import windows as win
 from quillspark.operators.folds import walk_forward_folds
 from quillspark.operators.metrics import group_error, regression_metrics
@@ -123,6 +124,28 @@ def test_row_positions_are_sorted_in_as_many_tasks_as_their_rows_need(spark, mon
         {(k % 3, k, k // 3 + 1, 334 if k % 3 == 0 else 333) for k in range(1000)}
 
 
+def test_row_positions_come_back_without_gathering_the_rows_of_a_key(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    lines = spark.range(1000).select((F.col("id") % 3).alias("source_no"),
+                                     (F.col("id") * 7919 % 1000).alias("k"))
+    lines = lines.withColumn("source_no", F.when(F.col("source_no") > 0, F.col("source_no")))
+    sides = {}
+    for r in lines.collect():
+        sides.setdefault(r["source_no"], []).append(r["k"])
+    want = {(s, k, i, len(ks)) for s, ks in sides.items() for i, k in enumerate(sorted(ks), 1)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in (split.FEW_KEYS, 0):
+            monkeypatch.setattr(split, "FEW_KEYS", few)
+            got = row_position(lines, ["k"], ["source_no"], out="n", total="of") \
+                .withColumn("task", F.spark_partition_id()).collect()
+            assert {(r["source_no"], r["k"], r["n"], r["of"]) for r in got} == want
+            tasks = [r["task"] for r in got]
+            assert max(map(tasks.count, tasks)) < 300  # a key has 333 rows or more
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_recommend_matches_pair_table(spark):
     rnd = random.Random(3)
     data = [(u, rnd.randint(0, 30), rnd.randint(1, 5)) for u in range(30) for _ in range(rnd.randint(1, 12))]
