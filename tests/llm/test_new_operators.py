@@ -275,3 +275,44 @@ def test_jaccard_groups_equal_plain_on_families(spark, monkeypatch, seed, spread
     rows += [(5000 + i, rows[i % 5][1].upper()) for i in range(40)]
     got = jaccard.jaccard_groups(_docs(spark, rows))
     assert sorted(map(tuple, got.collect())) == sorted(_plain_groups(rows))
+
+
+def test_copies_without_near_partners_are_no_candidates(spark):
+    """Their texts are sent on to no comparison, however many copies there are."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(5)]
+    rows = [(i, texts[i % 5]) for i in range(60)] + [(100, texts[0] + " more"), (101, None)]
+    base = _docs(spark, rows).withColumn("key", F.xxhash64("doc_id", "text")) \
+        .select("doc_id", "key", F.coalesce(F.octet_length("text"), F.lit(-1)).alias("size"), "text")
+    found = jaccard._candidates(jaccard._rows(base, 4, 0.25), 85).collect()
+    assert sorted(r["n"] for r in found) == [57, 58]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_shared_ngrams_equal_plain(spark, monkeypatch, packed):
+    """Small batches and buckets, ids that come twice, n-grams of most sets."""
+    monkeypatch.setattr(jaccard, "BUCKET", 64)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rnd = random.Random(3)
+        sets = {i: {rnd.randrange(-2 ** 63, 2 ** 63) for _ in range(rnd.randrange(30))} for i in range(60)}
+        common = [rnd.randrange(-2 ** 63, 2 ** 63) for _ in range(80)]
+        for i in range(60):
+            sets[i] |= set(rnd.sample(common, rnd.randrange(20))) | ({common[0]} if i % 4 else set())
+        rows = [(i, sorted(t)) for i, t in sets.items()] + [(i, sorted(sets[i])) for i in range(0, 60, 3)]
+        if packed:
+            rows = [(i, b"".join(int(x).to_bytes(8, "little")[:jaccard.SHORT] for x in
+                                 jaccard._short(np.array(t, dtype=np.int64).view(np.uint64)))) for i, t in rows]
+        frame = spark.createDataFrame(rows, "id long, tokens " + ("binary" if packed else "array<long>"))
+        got = {r["id"]: r["got"] for r in jaccard._shared(frame.repartition(3), 2000).collect()}
+        df = collections.Counter(t for s in sets.values() for t in s)
+        assert got == {i: n for i, s in sets.items() if (n := sum(df[t] > 1 for t in s))}
+        assert jaccard._shared(frame.limit(0), 0).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_sieve_keeps_what_is_asked_for(spark):
+    ids = spark.range(0, 3000, 3)
+    kept = {r["id"] for r in jaccard._sieved(spark.range(3000), ids, "id").collect()}
+    assert kept >= set(range(0, 3000, 3)) and len(kept) < 1300
+    assert jaccard._sieved(spark.range(3000), ids.limit(0), "id").count() == 0
